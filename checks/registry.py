@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from checks import oracle as o
 from playlens.config import DEFAULT_GAME, FLATTEN_A, FLATTEN_B, LOCAL_ZONE
-from playlens.functions import bags, dates, labels
+from playlens.functions import dates, labels
+from playlens.functions.bags import Bag
 from playlens.functions.numbers import pct, per_mille, ratio
 from playlens.operators import ads, cohorts, filters, keys, sessions
 from playlens.plans import (
@@ -127,6 +128,14 @@ def _(events):
 # --- projections -----------------------------------------------------------
 
 
+def params() -> Bag:
+    return Bag("event_params")
+
+
+def properties() -> Bag:
+    return Bag("user_properties")
+
+
 @on_raw(
     "struct_fields",
     o.sql(
@@ -153,20 +162,20 @@ def _(raw):
     return raw.select(
         USER,
         TS,
-        bags.max_by_key("event_params", "placement", "string_value").alias("placement"),
-        bags.max_by_key("event_params", "ga_session_id", "int_value").alias("session_id"),
-        bags.max_by_key("event_params", "result", "string_value").alias("result"),
-        bags.max_by_key("event_params", "value", "double_value").alias("paid"),
-        bags.max_by_key("user_properties", "campaign", "string_value").alias("campaign"),
-        bags.max_by_key("user_properties", "adset", "int_value").alias("adset_number"),
-        bags.max_by_key("user_properties", "adset", "string_value").alias("adset_text"),
+        params().max_by_key("placement", "string_value").alias("placement"),
+        params().max_by_key("ga_session_id", "int_value").alias("session_id"),
+        params().max_by_key("result", "string_value").alias("result"),
+        params().max_by_key("value", "double_value").alias("paid"),
+        properties().max_by_key("campaign", "string_value").alias("campaign"),
+        properties().max_by_key("adset", "int_value").alias("adset_number"),
+        properties().max_by_key("adset", "string_value").alias("adset_text"),
     )
 
 
 @on_raw("kv_prefix_max", o.sql(f"SELECT {o.ID}, {o.ARM_MAX} AS experiment FROM e"))
 def _(raw):
     return raw.select(
-        USER, TS, bags.max_by_prefix("user_properties", "firebase_exp_").alias("experiment")
+        USER, TS, properties().max_by_prefix("firebase_exp_").alias("experiment")
     )
 
 
@@ -183,8 +192,8 @@ def _(raw):
     return raw.select(
         USER,
         TS,
-        *[bags.first_str("event_params", p).alias(p) for p in text],
-        bags.first_int_text("event_params", "ga_session_id").alias("ga_session_id"),
+        *[params().first_str(p).alias(p) for p in text],
+        params().first_int_text("ga_session_id").alias("ga_session_id"),
     )
 
 
@@ -198,8 +207,8 @@ def _(raw):
     return raw.select(
         USER,
         TS,
-        bags.first_num("event_params", "value").alias("value"),
-        bags.first_num("event_params", "play_duration").alias("seconds"),
+        params().first_num("value").alias("value"),
+        params().first_num("play_duration").alias("seconds"),
     )
 
 
@@ -213,19 +222,19 @@ def _(raw):
 def _(raw):
     props = {"screen": "current_Screen", "campaign": "campaign", "adset": "adset", "missing": "none"}
     return raw.select(
-        USER, TS, *[bags.first_property("user_properties", k).alias(a) for a, k in props.items()]
+        USER, TS, *[properties().first_property(k).alias(a) for a, k in props.items()]
     )
 
 
 @on_raw("kv_fixed_concat", o.sql(f"SELECT {o.ID}, {o.STAGE_A['action_sequence']} AS actions FROM e"))
 def _(raw):
-    joined = bags.concat_keys("event_params", FLATTEN_A.action_keys)
+    joined = params().concat_keys(FLATTEN_A.action_keys)
     return raw.select(USER, TS, joined.alias("actions"))
 
 
 @on_raw("kv_ordered_concat", o.sql(f"SELECT {o.ID}, {o.STAGE_B['action_sequence']} AS actions FROM e"))
 def _(raw):
-    joined = bags.concat_prefix("event_params", FLATTEN_B.action_prefix)
+    joined = params().concat_prefix(FLATTEN_B.action_prefix)
     return raw.select(USER, TS, joined.alias("actions"))
 
 
@@ -242,7 +251,7 @@ def _(raw):
     ),
 )
 def _(raw):
-    entries = raw.select(F.inline(bags.lift_values("event_params")))
+    entries = raw.select(F.inline(params().lifted()))
     return entries.groupBy("key").agg(
         F.count(F.lit(1)).alias("entries"),
         F.count("string_value").alias("texts"),
@@ -257,13 +266,13 @@ def _(raw):
 
 @on_raw("variant_label", o.sql(f"SELECT {o.ID}, arm, arm_label AS label FROM e"))
 def _(raw):
-    arm = bags.first_property("user_properties", "firebase_exp_8")
+    arm = properties().first_property("firebase_exp_8")
     return raw.select(USER, TS, arm.alias("arm"), labels.variant_label(arm).alias("label"))
 
 
 @on_raw("ad_format_group", o.sql("SELECT fmt AS ad_format, COALESCE(grp, 'OTHER') AS grp, COUNT(*) AS n FROM e GROUP BY fmt, grp"))
 def _(raw):
-    fmt = bags.first_str("event_params", "ad_format")
+    fmt = params().first_str("ad_format")
     rows = raw.select(fmt.alias("ad_format"))
     grouped = rows.withColumn("grp", labels.ad_format_group(F.col("ad_format")))
     return grouped.groupBy("ad_format", "grp").agg(F.count(F.lit(1)).alias("n"))
@@ -278,7 +287,7 @@ def _(raw):
 )
 def _(raw):
     day = dates.export_date(F.col("event_date"))
-    opened = bags.max_by_key("user_properties", "first_open_time", "int_value")
+    opened = properties().max_by_key("first_open_time", "int_value")
     return raw.select(
         USER,
         TS,

@@ -3,117 +3,149 @@
 Lookups use ``array_position`` on generated code rather than one lambda filter per
 column: Spark interprets lambdas element by element, and a wide table reads dozens
 of keys from each bag. What all columns of a projection have in common (the keys,
-the bag sorted by slot, the entries as text) is written identically everywhere, so
-Spark computes it once per row as a common subexpression.
+the bag sorted by slot, the entries as text) is built once per ``Bag`` and computed
+once per row, as a common subexpression.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SLOTS = ("string_value", "int_value", "float_value", "double_value")
+
 
 def _at(values: Column, keys: Column, key: str | Column) -> Column:
     # array_position is 1-based with 0 for "absent"; get() turns -1 into NULL.
-    key = F.lit(key) if isinstance(key, str) else key
     return F.get(values, (F.array_position(keys, key) - 1).cast("int"))
 
 
-def first_slot(bag: str, key: str | Column, slot: str) -> Column:
-    """One value slot of the first entry with ``key``."""
-    return _at(F.col(f"{bag}.value.{slot}"), F.col(f"{bag}.key"), key)
+class Bag:
+    """Column expressions over one bag column.
 
+    A ``key`` may also be a column that is NULL on rows that must not read it.
+    """
 
-def first_str(bag: str, key: str | Column) -> Column:
-    """First entry with ``key`` as text, whichever slot is filled.
+    def __init__(self, column: str) -> None:
+        self.column = column
+        self._slots: dict[str, Column] = {}
+        self._ranked: dict[str, tuple[Column, Column]] = {}
+
+    @cached_property
+    def entries(self) -> Column:
+        return F.col(self.column)
+
+    @cached_property
+    def keys(self) -> Column:
+        return F.col(f"{self.column}.key")
+
+    def slot(self, name: str) -> Column:
+        """One value slot of all entries, next to ``keys``."""
+        if name not in self._slots:
+            self._slots[name] = F.col(f"{self.column}.value.{name}")
+        return self._slots[name]
+
+    @cached_property
+    def texts(self) -> Column:
+        """All entries as text, whichever slot is filled."""
+        return F.transform(
+            F.col(f"{self.column}.value"),
+            lambda v: F.coalesce(
+                v["string_value"],
+                v["int_value"].cast("string"),
+                v["double_value"].cast("string"),
+                v["float_value"].cast("string"),
+            ),
+        )
 
-    ``key`` may be a condition that is NULL on rows that must not read it.
-    """
-    texts = F.transform(
-        F.col(f"{bag}.value"),
-        lambda v: F.coalesce(
-            v["string_value"],
-            v["int_value"].cast("string"),
-            v["double_value"].cast("string"),
-            v["float_value"].cast("string"),
-        ),
-    )
-    return _at(texts, F.col(f"{bag}.key"), key)
-
-
-def first_num(bag: str, key: str | Column) -> Column:
-    """First entry with ``key`` as a double; unparsable text becomes NULL."""
-    return F.coalesce(
-        first_slot(bag, key, "double_value"),
-        first_slot(bag, key, "float_value"),
-        first_slot(bag, key, "int_value").cast("double"),
-        first_slot(bag, key, "string_value").try_cast("double"),
-    )
-
-
-def first_property(bag: str, key: str) -> Column:
-    """First user property with ``key`` as text (text or integer slot)."""
-    return F.coalesce(
-        first_slot(bag, key, "string_value"),
-        first_slot(bag, key, "int_value").cast("string"),
-    )
-
-
-def first_int_text(bag: str, key: str) -> Column:
-    """Integer slot of the first entry with ``key``, as text."""
-    return first_slot(bag, key, "int_value").cast("string")
-
-
-def max_by_key(bag: str, key: str, slot: str) -> Column:
-    """Largest non-NULL slot value among all entries with ``key``.
-
-    The bag is sorted once per slot in descending (key, value) order with NULLs
-    last, so the first hit is the maximum even when a key repeats. All columns
-    that read the same slot share the sort as a common subexpression.
-    """
-    ranked = F.sort_array(
-        F.arrays_zip(
-            F.col(f"{bag}.key").alias("k"), F.col(f"{bag}.value.{slot}").alias("v")
-        ),
-        asc=False,
-    )
-    return _at(ranked["v"], ranked["k"], key)
-
-
-def max_by_prefix(bag: str, prefix: str) -> Column:
-    """Largest text value among keys LIKE ``prefix%`` (``_`` matches any char)."""
-    hits = F.filter(F.col(bag), lambda e: e["key"].like(prefix + "%"))
-    return F.array_max(F.transform(hits, lambda e: e["value"]["string_value"]))
-
-
-def concat_keys(bag: str, keys: Sequence[str], sep: str = "|") -> Column:
-    """Text values of the given keys in the given order; missing ones skipped."""
-    return F.array_join(F.array(*[max_by_key(bag, k, "string_value") for k in keys]), sep)
-
-
-def concat_prefix(bag: str, prefix: str, sep: str = "|") -> Column:
-    """Text values of keys LIKE ``prefix%`` by key order; NULL without any."""
-    hits = F.filter(
-        F.col(bag),
-        lambda e: e["key"].like(prefix + "%") & e["value"]["string_value"].isNotNull(),
-    )
-    pairs = F.array_sort(
-        F.transform(
-            hits,
-            lambda e: F.struct(e["key"].alias("k"), e["value"]["string_value"].alias("v")),
+    def _rank(self, slot: str) -> tuple[Column, Column]:
+        if slot not in self._ranked:
+            pairs = F.sort_array(
+                F.arrays_zip(self.keys.alias("k"), self.slot(slot).alias("v")), asc=False
+            )
+            self._ranked[slot] = (pairs["k"], pairs["v"])
+        return self._ranked[slot]
+
+    # -- first entry with a key ---------------------------------------------
+
+    def first_slot(self, key: str | Column, slot: str) -> Column:
+        """One value slot of the first entry."""
+        return _at(self.slot(slot), self.keys, key)
+
+    def first_str(self, key: str | Column) -> Column:
+        """The first entry as text, whichever slot is filled."""
+        return _at(self.texts, self.keys, key)
+
+    def first_num(self, key: str | Column) -> Column:
+        """The first entry as a double; unparsable text becomes NULL."""
+        return F.coalesce(
+            self.first_slot(key, "double_value"),
+            self.first_slot(key, "float_value"),
+            self.first_slot(key, "int_value").cast("double"),
+            self.first_slot(key, "string_value").try_cast("double"),
+        )
+
+    def first_property(self, key: str | Column) -> Column:
+        """The first entry as text, from the text or the integer slot."""
+        return F.coalesce(
+            self.first_slot(key, "string_value"),
+            self.first_slot(key, "int_value").cast("string"),
+        )
+
+    def first_int_text(self, key: str | Column) -> Column:
+        """Integer slot of the first entry, as text."""
+        return self.first_slot(key, "int_value").cast("string")
+
+    # -- all entries with a key ---------------------------------------------
+
+    def max_by_key(self, key: str, slot: str) -> Column:
+        """Largest non-NULL slot value among all entries with ``key``.
+
+        The bag is sorted once per slot in descending (key, value) order with
+        NULLs last, so the first hit is the maximum even when a key repeats.
+        """
+        keys, values = self._rank(slot)
+        return _at(values, keys, key)
+
+    def max_number_of_text(self, key: str) -> Column:
+        """Largest integer among the texts of all entries with ``key``."""
+        hits = F.filter(self.entries, lambda e: e["key"] == F.lit(key))
+        return F.array_max(
+            F.transform(hits, lambda e: e["value"]["string_value"].try_cast("bigint"))
+        )
+
+    def max_by_prefix(self, prefix: str) -> Column:
+        """Largest text among keys LIKE ``prefix%`` (``_`` matches any character)."""
+        hits = F.filter(self.entries, lambda e: e["key"].like(prefix + "%"))
+        return F.array_max(F.transform(hits, lambda e: e["value"]["string_value"]))
+
+    def concat_keys(self, keys: Sequence[str], sep: str = "|") -> Column:
+        """Texts of the given keys in the given order; missing ones skipped."""
+        return F.array_join(
+            F.array(*[self.max_by_key(k, "string_value") for k in keys]), sep
+        )
+
+    def concat_prefix(self, prefix: str, sep: str = "|") -> Column:
+        """Texts of keys LIKE ``prefix%`` in key order; NULL without any."""
+        hits = F.filter(
+            self.entries,
+            lambda e: e["key"].like(prefix + "%") & e["value"]["string_value"].isNotNull(),
+        )
+        pairs = F.array_sort(
+            F.transform(
+                hits,
+                lambda e: F.struct(
+                    e["key"].alias("k"), e["value"]["string_value"].alias("v")
+                ),
+            )
+        )
+        return F.when(F.size(hits) > 0, F.array_join(pairs["v"], sep))
+
+    def lifted(self) -> Column:
+        """The bag with the value slots lifted next to the key."""
+        return F.arrays_zip(
+            self.keys.alias("key"), *[self.slot(s).alias(s) for s in SLOTS]
         )
-    )
-    return F.when(F.size(hits) > 0, F.array_join(pairs["v"], sep))
-
-
-def lift_values(bag: str) -> Column:
-    """The bag with the value slots lifted next to the key."""
-    return F.arrays_zip(
-        F.col(f"{bag}.key").alias("key"),
-        *[
-            F.col(f"{bag}.value.{s}").alias(s)
-            for s in ("string_value", "int_value", "float_value", "double_value")
-        ],
-    )

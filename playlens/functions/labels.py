@@ -30,10 +30,13 @@ def surrogate_key(user: str, micros: str, name: str) -> Column:
 
 def variant_label(raw: Column) -> Column:
     """Experiment arm as A/B/C/D; anything else keeps its own spelling."""
-    label = raw
-    for name, spellings in VARIANT_LABELS.items():
-        label = F.when(F.lower(raw).isin(*spellings), F.lit(name)).otherwise(label)
-    return label
+    pairs = [
+        F.lit(text)
+        for label, spellings in VARIANT_LABELS.items()
+        for spelling in spellings
+        for text in (spelling, label)
+    ]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(raw)), raw)
 
 
 def ad_format_group(fmt: Column, extra: dict[str, tuple[str, ...]] | None = None) -> Column:

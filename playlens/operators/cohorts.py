@@ -50,12 +50,13 @@ def active_days(
 
 
 def user_version(events: DataFrame, event: str) -> DataFrame:
-    """One version per user, the smallest, where any would do."""
-    return (
-        events.where(F.col("event_name") == event)
-        .groupBy(USER)
-        .agg(F.min(VERSION).alias(VERSION))
-    )
+    """One version per user, the smallest, where any would do.
+
+    Distinct pairs first: they hash-aggregate, while a minimum of text sorts its
+    input, which should not be all events.
+    """
+    pairs = events.where(F.col("event_name") == event).select(USER, VERSION).distinct()
+    return pairs.groupBy(USER).agg(F.min(VERSION).alias(VERSION))
 
 
 def no_null(df: DataFrame, dims: Sequence[str]) -> DataFrame:

@@ -85,6 +85,8 @@ def variant_summary(
         .select(USER)
         .join(
             events.where(F.col(VARIANT).isNotNull())
+            .select(USER, VARIANT)
+            .distinct()
             .groupBy(USER)
             .agg(F.max(VARIANT).alias("arm")),
             USER,

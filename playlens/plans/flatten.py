@@ -8,20 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.config import BASE_COLUMNS, EXPERIMENT_PREFIX, LOCAL_ZONE, FlattenSpec
-from playlens.functions.bags import (
-    concat_keys,
-    concat_prefix,
-    lift_values,
-    max_by_key,
-    max_by_prefix,
-)
+from playlens.functions.bags import Bag
 from playlens.functions.dates import export_date, local_date_from_micros, local_date_from_millis
 from playlens.functions.labels import surrogate_key, variant_label
 from playlens.operators.keys import dedup_first, new_rows_only
 
 KEY = "surrogate_key"
-PARAMS = "event_params"
-PROPERTIES = "user_properties"
 # Output column -> field of the raw event.
 FIELDS = {
     "event_timestamp": "event_timestamp",
@@ -43,58 +35,55 @@ FIELDS = {
 
 def flatten(raw: DataFrame, spec: FlattenSpec, zone: str = LOCAL_ZONE) -> DataFrame:
     """Nested events as flat rows, still with duplicates; a narrow projection."""
+    params, properties = Bag("event_params"), Bag("user_properties")
     day = (
         local_date_from_micros(F.col("event_timestamp"), zone)
         if spec.date_from_timestamp
         else export_date(F.col("event_date"))
     )
     level = (
-        max_by_key(PARAMS, "level", "string_value").try_cast("bigint")
+        params.max_by_key("level", "string_value").try_cast("bigint")
         if spec.text_level
-        else max_by_key(PARAMS, "level", "int_value")
+        else params.max_by_key("level", "int_value")
     )
     duration = (
-        F.round(max_by_key(PARAMS, "play_time", "double_value")).try_cast("bigint")
+        F.round(params.max_by_key("play_time", "double_value")).try_cast("bigint")
         if spec.rounded_duration
-        else max_by_key(PARAMS, "play_duration", "int_value")
+        else params.max_by_key("play_duration", "int_value")
     )
     actions = (
-        concat_prefix(PARAMS, spec.action_prefix)
+        params.concat_prefix(spec.action_prefix)
         if spec.action_prefix
-        else concat_keys(PARAMS, spec.action_keys)
+        else params.concat_keys(spec.action_keys)
+    )
+    # The text-level game casts the largest text, the other takes the largest number;
+    # they differ when the property repeats ("9" > "10" as text).
+    current_level = (
+        properties.max_by_key("current_level", "string_value").try_cast("bigint")
+        if spec.text_level
+        else properties.max_number_of_text("current_level")
     )
     exprs: dict[str, Column] = {out: F.col(src) for out, src in FIELDS.items()}
-    exprs.update({o: max_by_key(PARAMS, *where) for o, where in spec.params.items()})
-    exprs.update({o: max_by_key(PROPERTIES, *where) for o, where in spec.properties.items()})
+    exprs.update({o: params.max_by_key(*where) for o, where in spec.params.items()})
+    exprs.update({o: properties.max_by_key(*where) for o, where in spec.properties.items()})
     exprs.update(
         {
             KEY: surrogate_key("user_pseudo_id", "event_timestamp", "event_name"),
             "event_date": day,
-            "current_level": _current_level(spec),
+            "current_level": current_level,
             "first_open_date": local_date_from_millis(
-                max_by_key(PROPERTIES, "first_open_time", "int_value"), zone
+                properties.max_by_key("first_open_time", "int_value"), zone
             ),
-            "firebase_exp": variant_label(max_by_prefix(PROPERTIES, EXPERIMENT_PREFIX)),
+            "firebase_exp": variant_label(properties.max_by_prefix(EXPERIMENT_PREFIX)),
             "level": level,
             "play_duration": duration,
             "action_sequence": actions,
-            "event_params_json": lift_values(PARAMS),
+            "event_params_json": params.lifted(),
         }
     )
     return raw.select(*[exprs[c].alias(c) for c in spec.columns])
 
 
-def _current_level(spec: FlattenSpec) -> Column:
-    # The text-level game casts the largest text; the other takes the largest
-    # number, which differs when the property repeats ("9" > "10" as text).
-    if spec.text_level:
-        return max_by_key(PROPERTIES, "current_level", "string_value").try_cast("bigint")
-    hits = F.filter(F.col(PROPERTIES), lambda e: e["key"] == F.lit("current_level"))
-    return F.array_max(
-        F.transform(hits, lambda e: e["value"]["string_value"].try_cast("bigint"))
-    )
-
-
 def unique_events(flat: DataFrame) -> DataFrame:
     """One row per key. The key holds the timestamp, so ordering by time alone
     always ties; the content decides, to get the same row on every run."""

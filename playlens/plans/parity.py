@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.config import DEFAULT_EXCLUDED_GEO
-from playlens.functions.bags import first_slot
+from playlens.functions.bags import Bag
 from playlens.functions.numbers import per_mille, ratio
 from playlens.operators.ads import IMPRESSION
 from playlens.operators.cohorts import USER, VERSION
@@ -65,7 +65,7 @@ def parity_report(
         F.col("app_info.version").alias(VERSION),
         F.col("geo.country").alias("country"),
         "event_name",
-        first_slot("event_params", "value", "double_value").alias("rev"),
+        Bag("event_params").first_slot("value", "double_value").alias("rev"),
     )
     typed_rows = events.select(
         USER, VERSION, F.col("geo_country").alias("country"), "event_name",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlens.config import DEFAULT_GAME, Game
-from playlens.functions.bags import first_int_text, first_num, first_property, first_str
+from playlens.functions.bags import Bag
 from playlens.functions.dates import export_date
 
 BASE = (
@@ -57,12 +57,13 @@ def split_events(
     kept = list(game.events if names is None else names)
     name = F.col("event_name")
     in_context = name.isin(list(game.context_events))
+    params, properties = Bag("event_params"), Bag("user_properties")
 
     def param(p: str) -> Column:
-        read = first_num if p in game.numeric_params else first_str
+        read = params.first_num if p in game.numeric_params else params.first_str
         # A parameter an event does not declare is dropped. The condition sits on
         # the key, not around the lookup, so the lookups still share their work.
-        return read("event_params", F.when(name.isin(game.owners(p)), F.lit(p))).alias(p)
+        return read(F.when(name.isin(game.owners(p)), F.lit(p))).alias(p)
 
     cols: list[Column] = [
         F.col("user_pseudo_id"),
@@ -71,19 +72,19 @@ def split_events(
         export_date(F.col("event_date")).alias("event_date"),
         F.col("event_timestamp"),
         F.timestamp_micros("event_timestamp").alias("event_ts"),
-        first_int_text("event_params", "ga_session_id").alias("ga_session_id"),
-        first_property("user_properties", game.screen_property).alias("current_screen"),
+        params.first_int_text("ga_session_id").alias("ga_session_id"),
+        properties.first_property(game.screen_property).alias("current_screen"),
         *[F.when(in_context, F.col(src)).alias(out) for out, src in CONTEXT_FIELDS.items()],
         *[
-            F.when(in_context, first_property("user_properties", key)).alias(out)
+            F.when(in_context, properties.first_property(key)).alias(out)
             for out, key in CONTEXT_PROPERTIES.items()
         ],
         # Kept on every row: session-1 journeys need it. event_table() hides it.
-        first_int_text("event_params", "ga_session_number").alias("ga_session_number"),
+        params.first_int_text("ga_session_number").alias("ga_session_number"),
         *[param(p) for p in game.params],
     ]
     if game.variant_property:
-        cols.append(first_property("user_properties", game.variant_property).alias(VARIANT))
+        cols.append(properties.first_property(game.variant_property).alias(VARIANT))
     return raw.where(name.isin(kept)).select(*cols)
 
 

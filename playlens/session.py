@@ -29,6 +29,8 @@ def local_session(cores: int | str = 8, partitions: int = 8, name: str = "playle
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Recording the Python call site of every column costs more than the column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,12 +85,25 @@ def build_day(raw: DataFrame, root: str, day: dt.date, game: Game = DEFAULT_GAME
 
 
 def backfill(
-    raw: DataFrame, root: str, first: dt.date, last: dt.date, game: Game = DEFAULT_GAME
+    raw: DataFrame,
+    root: str,
+    first: dt.date,
+    last: dt.date,
+    game: Game = DEFAULT_GAME,
+    parallel_days: int = 4,
 ) -> None:
-    """Rebuild a range of days. Each day is its own job, so a failed range can be
-    restarted at the day it stopped."""
-    for offset in range((last - first).days + 1):
-        build_day(raw, root, first + dt.timedelta(days=offset), game)
+    """Rebuild a range of days, some at a time.
+
+    Each day is its own job on its own folder, so days do not wait for each
+    other's stragglers and a failed range can be restarted at any day.
+    """
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    build = inheritable_thread_target(raw.sparkSession)(
+        lambda day: build_day(raw, root, day, game)
+    )
+    with ThreadPoolExecutor(parallel_days) as pool:
+        for done in [pool.submit(build, day) for day in days]:
+            done.result()
 
 
 def append_days(df: DataFrame, root: str) -> None:

@@ -2,7 +2,7 @@
 
 Each sample row (event_id, ts, user_id, event_type, value, props) becomes one
 nested raw event; every field is a formula of the user number ``u``, the number
-``k`` inside ``props`` and the time. The map is row by row: no shuffle. The two
+``k`` inside ``props`` and the time, written as SQL text. The map is row by row: no shuffle. The two
 stores write the result in the layout a real export has, so queries run against
 partitioned tables.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.config import DEFAULT_GAME, Game
@@ -46,198 +46,188 @@ EXTENDED_GAME = Game(
 )
 
 
-def _pick(names: list[str | None], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(n) for n in names]), index.cast("int"))
+def _quoted(text: str | None) -> str:
+    return "CAST(NULL AS STRING)" if text is None else f"'{text}'"
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
+def _pick(names: list[str | None], index: str) -> str:
+    return f"get(array({', '.join(_quoted(n) for n in names)}), CAST({index} AS INT))"
 
 
-def _entry(
-    key: str,
-    text: Column | None = None,
-    number: Column | None = None,
-    real: Column | None = None,
-) -> Column:
-    def slot(c: Column | None, kind: str) -> Column:
-        return (F.lit(None) if c is None else c).cast(kind)
-
-    value = F.struct(
-        slot(text, "string").alias("string_value"),
-        slot(number, "bigint").alias("int_value"),
-        F.lit(None).cast("double").alias("float_value"),
-        slot(real, "double").alias("double_value"),
+def _entry(key: str, text: str = "NULL", number: str = "NULL", real: str = "NULL") -> str:
+    """SQL of one bag entry."""
+    return (
+        f"named_struct('key', '{key}', 'value', named_struct("
+        f"'string_value', CAST({text} AS STRING), 'int_value', CAST({number} AS BIGINT), "
+        f"'float_value', CAST(NULL AS DOUBLE), 'double_value', CAST({real} AS DOUBLE)))"
     )
-    return F.struct(F.lit(key).alias("key"), value.alias("value"))
 
 
-def _bag(always: list[Column], optional: list[tuple[Column, list[Column]]]) -> Column:
-    """A bag of entries, some of them only under a condition."""
-    empty = F.array_except(F.array(always[0]), F.array(always[0]))
-    return F.concat(
-        F.array(*always),
-        *[F.when(cond, F.array(*entries)).otherwise(empty) for cond, entries in optional],
-    )
+def _bag(always: list[str], optional: list[tuple[str, list[str]]]) -> str:
+    """SQL of a bag of entries, some of them only under a condition."""
+    none = f"slice(array({always[0]}), 1, 0)"
+    parts = [f"array({', '.join(always)})"] + [
+        f"CASE WHEN {cond} THEN array({', '.join(entries)}) ELSE {none} END"
+        for cond, entries in optional
+    ]
+    return f"concat({', '.join(parts)})"
 
 
-def raw_events(
-    spark: SparkSession, sf_dir: str, *, some_without_session: bool = False, purchases: bool = False
-) -> DataFrame:
-    """Raw nested events, one per sample row.
-
-    ``some_without_session`` gives every 13th user engagement events in place of
-    session starts; ``purchases`` turns a tenth of the impressions into
-    purchases.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "ts",
-        "user_id",
-        "event_type",
-        "value",
-        F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
-    )
-    U, K, kind = F.col("user_id"), F.col("k"), F.col("event_type")  # noqa: N806
-    name = F.lit(None).cast("string")
-    for sample, ours in EVENT_NAMES.items():
-        name = F.when(kind == sample, F.lit(ours)).otherwise(name)
-    if some_without_session:
-        name = F.when((kind == "view") & (U % 13 == 0), "user_engagement").otherwise(name)
-    if purchases:
-        name = F.when((kind == "purchase") & (K % 10 == 3), "in_app_purchase").otherwise(name)
-    screen = _pick(SCREENS, K % 4)
-    day = F.dayofmonth("ts")
-    playing = kind.isin("click", "error")
-    ending, paying = kind == "error", kind == "purchase"
-    floor_value = F.floor("value")
-    amount = F.col("value")
-    params = _bag(
+def _params(screen: str) -> str:
+    playing, ending, paying = "kind IN ('click', 'error')", "kind = 'error'", "kind = 'purchase'"
+    result = _pick(["win", "lose", "quit"], "(k DIV 4) % 4")
+    return _bag(
         [
-            _entry("ga_session_id", number=U * 1000 + day),
-            _entry("ga_session_number", number=F.floor((day - 1) / 10) + 1),
-            _entry("engagement_time_msec", number=K * 100),
-            _entry("current_screen", text=F.concat(F.lit("ep_"), screen)),
-            _entry("placement", text=F.concat(F.lit("p"), _text(K % 7))),
+            _entry("ga_session_id", number="u * 1000 + dayofmonth(ts)"),
+            _entry("ga_session_number", number="(dayofmonth(ts) - 1) DIV 10 + 1"),
+            _entry("engagement_time_msec", number="k * 100"),
+            _entry("current_screen", text=f"'ep_' || {screen}"),
+            _entry("placement", text="'p' || k % 7"),
         ],
         [
             # A repeated key: the first and the largest entry differ.
-            (K % 6 == 0, [_entry("placement", text=F.concat(F.lit("q"), _text(K % 5)))]),
+            ("k % 6 = 0", [_entry("placement", text="'q' || k % 5")]),
             (
-                playing & (K % 17 != 0),
-                [_entry("minigame_id", text=_pick(SCREENS, F.floor(K / 3) % 4))],
+                f"{playing} AND k % 17 <> 0",
+                [_entry("minigame_id", text=_pick(SCREENS, "(k DIV 3) % 4"))],
             ),
             (
                 playing,
                 [
-                    _entry("attempt", number=K % 5),
-                    _entry("level", text=F.when(K % 19 == 0, "L").otherwise(_text(K)), number=K),
-                    _entry("play_type", text=F.concat(F.lit("t"), _text(K % 3))),
-                    _entry("play_index", number=K),
+                    _entry("attempt", number="k % 5"),
+                    _entry("level", text="if(k % 19 = 0, 'L', string(k))", number="k"),
+                    _entry("play_type", text="'t' || k % 3"),
+                    _entry("play_index", number="k"),
                 ],
             ),
             (
                 ending,
                 [
-                    _entry("deaths", text=F.when(K % 9 == 0, "x").otherwise(_text(K % 4))),
+                    _entry("deaths", text="if(k % 9 = 0, 'x', string(k % 4))"),
                     _entry(
                         "play_duration",
-                        text=F.when(K % 13 == 0, "bad"),
-                        number=F.when((K % 13 != 0) & (K % 2 == 0), K),
-                        real=F.when((K % 13 != 0) & (K % 2 == 1), K + 0.5),
+                        text="if(k % 13 = 0, 'bad', NULL)",
+                        number="if(k % 13 <> 0 AND k % 2 = 0, k, NULL)",
+                        real="if(k % 13 <> 0 AND k % 2 = 1, k + 0.5D, NULL)",
                     ),
-                    _entry("play_time", real=K * 0.75),
-                    _entry("lose_by", text=F.concat(F.lit("l"), _text(K % 6))),
+                    _entry("play_time", real="k * 0.75D"),
+                    _entry("lose_by", text="'l' || k % 6"),
                 ],
             ),
             (
-                ending & (F.floor(K / 4) % 4 < 3),
-                [
-                    _entry("result_by", text=_pick(["win", "lose", "quit"], F.floor(K / 4) % 4)),
-                    _entry("result", text=_pick(["win", "lose", "quit"], F.floor(K / 4) % 4)),
-                ],
+                f"{ending} AND (k DIV 4) % 4 < 3",
+                [_entry("result_by", text=result), _entry("result", text=result)],
             ),
             (
                 paying,
                 [
                     _entry(
                         "value",
-                        text=F.when(K % 7 == 0, _text(amount)),
-                        number=F.when((K % 7 != 0) & (K % 5 == 0), floor_value),
-                        real=F.when((K % 7 != 0) & (K % 5 != 0), amount),
+                        text="if(k % 7 = 0, value, NULL)",
+                        number="if(k % 7 <> 0 AND k % 5 = 0, floor(value), NULL)",
+                        real="if(k % 7 <> 0 AND k % 5 <> 0, value, NULL)",
                     ),
-                    _entry("currency", text=F.lit("USD")),
-                    _entry("ad_format", text=_pick(FORMATS, K % 6)),
-                    _entry("ad_network", text=F.concat(F.lit("n"), _text(K % 4))),
-                    _entry("network_name", text=F.concat(F.lit("nn"), _text(K % 3))),
-                    _entry("ad_platform", text=F.concat(F.lit("pf"), _text(K % 3))),
-                    _entry("ad_source", text=F.concat(F.lit("s"), _text(K % 2))),
-                    _entry("ad_duration", number=K % 31),
+                    _entry("currency", text="'USD'"),
+                    _entry("ad_format", text=_pick(FORMATS, "k % 6")),
+                    _entry("ad_network", text="'n' || k % 4"),
+                    _entry("network_name", text="'nn' || k % 3"),
+                    _entry("ad_platform", text="'pf' || k % 3"),
+                    _entry("ad_source", text="'s' || k % 2"),
+                    _entry("ad_duration", number="k % 31"),
                 ],
             ),
-            (K % 2 == 0, [_entry("action_seq_10", text=F.concat(F.lit("ten"), _text(K)))]),
-            (K % 3 == 0, [_entry("action_seq_2", text=F.concat(F.lit("two"), _text(K)))]),
-            (K % 5 == 0, [_entry("action_seq_1", text=F.concat(F.lit("one"), _text(K)))]),
+            ("k % 2 = 0", [_entry("action_seq_10", text="'ten' || k")]),
+            ("k % 3 = 0", [_entry("action_seq_2", text="'two' || k")]),
+            ("k % 5 = 0", [_entry("action_seq_1", text="'one' || k")]),
         ],
     )
-    properties = _bag(
+
+
+def _properties(screen: str) -> str:
+    return _bag(
         [
             _entry("current_Screen", text=screen),
-            _entry("current_screen", text=F.concat(F.lit("up_"), screen)),
-            _entry("current_level", text=F.when(K % 19 == 0, "x").otherwise(_text(K))),
-            _entry("first_open_time", number=F.lit(1701388800000) + (U % 60) * 43200000),
-            _entry("campaign", text=F.concat(F.lit("c"), _text(U % 5))),
-            _entry("adset", number=U % 9),
-            _entry("media_source", text=F.concat(F.lit("m"), _text(U % 4))),
+            _entry("current_screen", text=f"'up_' || {screen}"),
+            _entry("current_level", text="if(k % 19 = 0, 'x', string(k))"),
+            _entry("first_open_time", number="1701388800000 + (u % 60) * 43200000"),
+            _entry("campaign", text="'c' || u % 5"),
+            _entry("adset", number="u % 9"),
+            _entry("media_source", text="'m' || u % 4"),
         ],
         [
-            (U % 8 != 7, [_entry("firebase_exp_8", text=_pick(ARMS, U % 8))]),
-            (K % 24 == 1, [_entry("firebase_exp_9", text=F.lit("zz"))]),
+            ("u % 8 <> 7", [_entry("firebase_exp_8", text=_pick(ARMS, "u % 8"))]),
+            ("k % 24 = 1", [_entry("firebase_exp_9", text="'zz'")]),
         ],
     )
-    shard = F.date_format("ts", "yyyyMMdd")
-    bump = F.when(K % 10 == 0, 1).otherwise(0)
-    return rows.select(
-        shard.alias("shard"),
-        shard.alias("event_date"),
+
+
+def _record(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in fields.items()) + ")"
+
+
+def raw_events(
+    spark: SparkSession, sf_dir: str, *, some_without_session: bool = False, purchases: bool = False
+) -> DataFrame:
+    """Raw nested events, one per sample row.
+
+    ``some_without_session`` gives every 13th user engagement events in place of
+    session starts; ``purchases`` turns a tenth of the impressions into
+    purchases.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "ts",
+        F.col("user_id").alias("u"),
+        F.col("event_type").alias("kind"),
+        "value",
+        F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
+        F.date_format("ts", "yyyyMMdd").alias("shard"),
         utc_micros(F.col("ts")).alias("event_timestamp"),
-        name.alias("event_name"),
-        _text(U).alias("user_pseudo_id"),
-        F.lit(None).cast("string").alias("user_id"),
-        F.when(U % 2 == 0, "ANDROID").otherwise("IOS").alias("platform"),
-        F.when(paying, amount).alias("event_value_in_usd"),
-        params.alias("event_params"),
-        properties.alias("user_properties"),
-        F.struct(
-            F.concat(F.lit("1.0."), _text(7 + (U + bump) % 3)).alias("version"),
-            F.lit("game.app").alias("id"),
-            F.lit("store").alias("install_store"),
-            F.lit(None).cast("string").alias("install_source"),
-        ).alias("app_info"),
-        F.struct(
-            F.lit("mobile").alias("category"),
-            F.when(U % 2 == 0, "Android").otherwise("iOS").alias("operating_system"),
-            _text(10 + U % 4).alias("operating_system_version"),
-            F.concat(F.lit("brand"), _text(U % 3)).alias("mobile_brand_name"),
-            F.concat(F.lit("model"), _text(U % 6)).alias("mobile_model_name"),
-            F.concat(F.lit("phone"), _text(U % 6)).alias("mobile_marketing_name"),
-            F.lit("en").alias("language"),
-            F.concat(F.lit("ad"), _text(U)).alias("advertising_id"),
-        ).alias("device"),
-        F.struct(
-            F.when(U % 7 == 0, "China")
-            .when(U % 11 == 0, F.lit(None).cast("string"))
-            .otherwise(_pick(COUNTRIES, U % 3))
-            .alias("country"),
-            F.concat(F.lit("r"), _text(U % 4)).alias("region"),
-            F.concat(F.lit("city"), _text(U % 10)).alias("city"),
-            F.lit("Asia").alias("continent"),
-        ).alias("geo"),
-        F.struct(
-            F.lit("organic").alias("name"),
-            F.lit(None).cast("string").alias("medium"),
-            F.concat(F.lit("src"), _text(U % 2)).alias("source"),
-        ).alias("traffic_source"),
     )
+    names = dict(EVENT_NAMES)
+    cases = [f"WHEN kind = '{sample}' THEN '{ours}'" for sample, ours in names.items()]
+    if some_without_session:
+        cases.insert(0, "WHEN kind = 'view' AND u % 13 = 0 THEN 'user_engagement'")
+    if purchases:
+        cases.insert(0, "WHEN kind = 'purchase' AND k % 10 = 3 THEN 'in_app_purchase'")
+    screen = _pick(SCREENS, "k % 4")
+    missing = "CAST(NULL AS STRING)"
+    columns = {
+        "shard": "shard",
+        "event_date": "shard",
+        "event_timestamp": "event_timestamp",
+        "event_name": f"CASE {' '.join(cases)} END",
+        "user_pseudo_id": "CAST(u AS STRING)",
+        "user_id": missing,
+        "platform": "if(u % 2 = 0, 'ANDROID', 'IOS')",
+        "event_value_in_usd": "if(kind = 'purchase', value, NULL)",
+        "event_params": _params(screen),
+        "user_properties": _properties(screen),
+        "app_info": _record(
+            version="'1.0.' || (7 + (u + if(k % 10 = 0, 1, 0)) % 3)",
+            id="'game.app'",
+            install_store="'store'",
+            install_source=missing,
+        ),
+        "device": _record(
+            category="'mobile'",
+            operating_system="if(u % 2 = 0, 'Android', 'iOS')",
+            operating_system_version="CAST(10 + u % 4 AS STRING)",
+            mobile_brand_name="'brand' || u % 3",
+            mobile_model_name="'model' || u % 6",
+            mobile_marketing_name="'phone' || u % 6",
+            language="'en'",
+            advertising_id="'ad' || u",
+        ),
+        "geo": _record(
+            country=f"CASE WHEN u % 7 = 0 THEN 'China' WHEN u % 11 = 0 THEN NULL "
+            f"ELSE {_pick(COUNTRIES, 'u % 3')} END",
+            region="'r' || u % 4",
+            city="'city' || u % 10",
+            continent="'Asia'",
+        ),
+        "traffic_source": _record(name="'organic'", medium=missing, source="'src' || u % 2"),
+    }
+    return rows.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
 # Frames over stored tables of this driver process, by session and variant.
