@@ -3,8 +3,9 @@
 Lookups use ``array_position`` on generated code rather than one lambda filter per
 column: Spark interprets lambdas element by element, and a wide table reads dozens
 of keys from each bag. What all columns of a projection have in common (the keys,
-the bag sorted by slot, the entries as text) is built once per ``Bag`` and computed
-once per row, as a common subexpression.
+the bag sorted by slot) is computed once per row as a common subexpression. Spark
+does not share expressions that hold a lambda, so a projection that reads many keys
+as text stages that step in a column of its own (``with_texts``).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLOTS = ("string_value", "int_value", "float_value", "double_value")
@@ -23,6 +24,16 @@ def _at(values: Column, keys: Column, key: str | Column) -> Column:
     return F.get(values, (F.array_position(keys, key) - 1).cast("int"))
 
 
+def unfused(column: Column) -> Column:
+    """The same value, taken through a lambda.
+
+    Spark leaves a projection that holds a lambda out of whole-stage code. A very
+    wide projection needs that: fused, it becomes one method above the 8000 bytes
+    the JVM compiles and runs interpreted (measured: almost three times slower).
+    """
+    return F.get(F.transform(F.array(column), lambda x: x), 0)
+
+
 class Bag:
     """Column expressions over one bag column.
 
@@ -42,6 +53,13 @@ class Bag:
     def keys(self) -> Column:
         return F.col(f"{self.column}.key")
 
+    def with_texts(self, df: DataFrame) -> DataFrame:
+        """``df`` with the entries as text in a helper column that lookups then use."""
+        name = f"_{self.column}_texts"
+        staged = df.withColumn(name, self.texts)
+        self.texts = F.col(name)
+        return staged
+
     def slot(self, name: str) -> Column:
         """One value slot of all entries, next to ``keys``."""
         if name not in self._slots:
@@ -80,7 +98,10 @@ class Bag:
         return _at(self.texts, self.keys, key)
 
     def first_num(self, key: str | Column) -> Column:
-        """The first entry as a double; unparsable text becomes NULL."""
+        """The first entry as a double; unparsable text becomes NULL.
+
+        Read slot by slot: only the entry that is asked for gets parsed.
+        """
         return F.coalesce(
             self.first_slot(key, "double_value"),
             self.first_slot(key, "float_value"),

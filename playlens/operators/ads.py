@@ -60,7 +60,10 @@ def active_and_ads(
 
 
 def user_day_ads(events: DataFrame, extra: ExtraFormats | None = None) -> DataFrame:
-    """Ad metrics of each user-day with at least one impression."""
+    """Ad metrics of each user-day with at least one impression.
+
+    ``day_rev`` is the plain sum, NULL when no impression of the day has a value.
+    """
     return (
         events.where(F.col("event_name") == IMPRESSION)
         .select(
@@ -70,7 +73,7 @@ def user_day_ads(events: DataFrame, extra: ExtraFormats | None = None) -> DataFr
             F.col("value").alias("rev"),
         )
         .groupBy(USER, "event_date")
-        .agg(*format_metrics(extra))
+        .agg(F.sum("rev").alias("day_rev"), *format_metrics(extra))
     )
 
 

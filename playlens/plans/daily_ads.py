@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playlens.functions.labels import variant_label
@@ -51,13 +50,23 @@ def daily_ads(
             *[F.sum(m).alias(m) for m in metrics],
         )
     )
-    # Users who joined exactly one day earlier. At this point there is one row per
-    # day (and version), so the frame works on a few thousand rows at most.
-    day_before = W.partitionBy(*dims).orderBy(F.unix_date("event_date")).rangeBetween(-1, -1)
-    base = F.sum("joined").over(day_before)
+    # Each day also hands its joiners on to the following day, where they are the
+    # base of the return rate; a day nobody was active on drops out again.
+    figures = ["active_user", "returned", *metrics]
+    ahead = F.col("ahead") == 1
+    dated = (
+        daily.withColumn("ahead", F.explode(F.array(F.lit(0), F.lit(1))))
+        .groupBy(*dims, F.date_add("event_date", F.col("ahead")).alias("event_date"))
+        .agg(
+            F.sum(F.when(ahead, F.col("joined"))).alias("base"),
+            *[F.sum(F.when(~ahead, F.col(c))).alias(c) for c in figures],
+        )
+        .where(F.col("active_user").isNotNull())
+    )
+    base = F.nullif(F.col("base"), F.lit(0))
     dau = F.col("active_user")
     prefixes = list(formats_with(extra_formats))
-    return daily.select(
+    return dated.select(
         *[F.col(d).alias("version") for d in dims],
         F.col("event_date").alias("date"),
         dau,

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playlens.config import DEFAULT_EXCLUDED_GEO
 from playlens.functions.numbers import per_mille, ratio
 from playlens.operators.ads import ExtraFormats, formats_with, metric_names, user_day_ads
 from playlens.operators.cohorts import USER, VERSION, active_days, cohort_identity
-from playlens.plans.ltv import cohort_revenue
+from playlens.plans.ltv import with_copies
 
 FUNNEL_HORIZONS = (0, 3, 7)
 # Rewarded ads are rare, so their impressions per user get a third digit.
@@ -36,55 +37,113 @@ def funnel_monetization(
     identity = cohort_identity(
         events, versions=versions, exclude_geo=exclude_geo, event=cohort_event
     )
-    active = active_days(events, versions=versions, by=(VERSION,))
-    ads = user_day_ads(events, extra_formats)
     metrics = metric_names(extra_formats)
-    # (user, version, day) is unique, so plain counts are distinct counts.
-    daily = (
-        active.join(identity, [USER, VERSION])
-        .join(ads, [USER, "event_date"], "left")
-        .groupBy(VERSION, "event_date")
-        .agg(
-            F.count(F.lit(1)).alias("dau"),
-            F.count_if(F.col("join_date") == F.col("event_date")).alias("new_users"),
-            *[F.sum(F.coalesce(F.col(m), F.lit(0))).alias(m) for m in metrics],
-        )
+    days = _member_days(events, identity, versions, extra_formats, fanout)
+    active, paid_day = F.col("active") == 1, F.col("total_imps").isNotNull()
+    offset = F.datediff("event_date", "join_date")
+    # Daily figures and cohort values come out of one aggregation, so impressions
+    # are read and joined once. (user, version, day) is unique: counts are distinct.
+    facts = days.select(
+        VERSION,
+        "event_date",
+        "join_date",
+        "member",
+        F.when(active, 1).otherwise(0).alias("dau"),
+        F.when(active & (offset == 0), 1).otherwise(0).alias("new_users"),
+        *[F.when(active, F.coalesce(F.col(m), F.lit(0))).otherwise(0).alias(m) for m in metrics],
+        *[
+            F.when(paid_day & offset.between(0, h), F.col("credited"))
+            .otherwise(F.lit(0.0))
+            .alias(f"rev_d{h}")
+            for h in horizons
+        ],
     )
-    ltv = (
-        cohort_revenue(events, identity, horizons=horizons, fanout=fanout)
-        .groupBy(VERSION)
+    sums = ("member", "dau", "new_users", *metrics, *[f"rev_d{h}" for h in horizons])
+    both = facts.groupingSets(
+        [[VERSION, "event_date"], [VERSION, "join_date"]], VERSION, "event_date", "join_date"
+    ).agg(F.grouping("event_date").alias("is_cohort"), *[F.sum(c).alias(c) for c in sums])
+    is_day = (F.col("is_cohort") == 0) & (F.col("dau") > 0)
+    prefixes = list(formats_with(extra_formats))
+
+    def of_days(column: Column) -> Column:
+        return F.when(is_day, column)
+
+    def per_dau(metric: str) -> Column:
+        return F.avg(of_days(ratio(F.col(metric), F.col("dau"))))
+
+    def viewers(prefix: str) -> Column:
+        return F.avg(of_days(ratio(F.col(f"{prefix}_seen") * F.lit(100.0), F.col("dau"))))
+
+    def ecpm(prefix: str) -> Column:
+        rev, imps = F.col(f"{prefix}_rev"), F.col(f"{prefix}_imps")
+        return per_mille(F.sum(of_days(rev)), F.sum(of_days(imps)))
+
+    def value(horizon: int) -> Column:
+        per_user = ratio(F.col(f"rev_d{horizon}"), F.col("member"))
+        return F.round(F.avg(F.when(F.col("is_cohort") == 1, per_user)), 6)
+
+    return (
+        both.groupBy(F.col(VERSION).alias("version"))
         .agg(
+            F.min(of_days(F.col("event_date"))).alias("date_from"),
+            F.max(of_days(F.col("event_date"))).alias("date_to"),
+            F.count_if(is_day).alias("num_days"),
+            F.round(F.avg(of_days(F.col("dau"))), 1).alias("avg_dau"),
+            F.round(F.avg(of_days(F.col("new_users"))), 1).alias("avg_new_users"),
             *[
-                F.round(F.avg(ratio(F.col(f"rev_d{h}"), F.col("new_users"))), 6).alias(f"ltv_d{h}")
-                for h in horizons
-            ]
+                F.round(per_dau(f"{p}_imps"), IMP_DIGITS.get(p, 2)).alias(f"{p}_imp_per_dau")
+                for p in ("total", *prefixes)
+            ],
+            F.round(viewers("total"), 2).alias("ad_viewer_rate"),
+            *[F.round(viewers(p), 2).alias(f"{p}_viewer_rate") for p in prefixes],
+            F.round(per_dau("total_rev"), 6).alias("arpdau"),
+            ecpm("total").alias("ecpm"),
+            *[ecpm(p).alias(f"{p}_ecpm") for p in prefixes],
+            *[value(h).alias(f"ltv_d{h}") for h in horizons],
         )
+        .where("num_days > 0")
     )
-    prefixes = list(formats_with(extra_formats))
 
-    def per_dau(metric: str):
-        return F.avg(ratio(F.col(metric), F.col("dau")))
 
-    def viewers(prefix: str):
-        return F.avg(ratio(F.col(f"{prefix}_seen") * F.lit(100.0), F.col("dau")))
-
-    def ecpm(prefix: str):
-        return per_mille(F.sum(f"{prefix}_rev"), F.sum(f"{prefix}_imps"))
+def _member_days(
+    events: DataFrame,
+    identity: DataFrame,
+    versions: Sequence[str],
+    extra_formats: ExtraFormats | None,
+    fanout: str,
+) -> DataFrame:
+    """One row per cohort member and day with activity or impressions.
 
-    summary = daily.groupBy(VERSION).agg(
-        F.min("event_date").alias("date_from"),
-        F.max("event_date").alias("date_to"),
-        F.count(F.lit(1)).alias("num_days"),
-        F.round(F.avg("dau"), 1).alias("avg_dau"),
-        F.round(F.avg("new_users"), 1).alias("avg_new_users"),
-        *[
-            F.round(per_dau(f"{p}_imps"), IMP_DIGITS.get(p, 2)).alias(f"{p}_imp_per_dau")
-            for p in ("total", *prefixes)
-        ],
-        F.round(viewers("total"), 2).alias("ad_viewer_rate"),
-        *[F.round(viewers(p), 2).alias(f"{p}_viewer_rate") for p in prefixes],
-        F.round(per_dau("total_rev"), 6).alias("arpdau"),
-        ecpm("total").alias("ecpm"),
-        *[ecpm(p).alias(f"{p}_ecpm") for p in prefixes],
+    Activity counts for the member of the same version, impressions for every
+    version of the user. A member without any such day keeps one row with a NULL
+    day. ``member`` is 1 on one row of each member.
+    """
+    metrics = metric_names(extra_formats)
+    active = active_days(events, versions=versions, by=(VERSION,)).select(
+        F.col(USER).alias("who"), "event_date", F.col(VERSION).alias("seen_in"),
+        F.lit(1).alias("active"),
+    )
+    ads = user_day_ads(events, extra_formats).withColumnRenamed(USER, "who")
+    facts = active.where(F.col("seen_in").isNotNull()).unionByName(ads, allowMissingColumns=True)
+    mine = F.col("seen_in").isNull() | (F.col("seen_in") == F.col(VERSION))
+    days = (
+        with_copies(identity, fanout)
+        .dropna(subset=[VERSION])
+        .join(facts, (F.col(USER) == F.col("who")) & mine, "left")
+        .groupBy(USER, VERSION, "join_date", "copies", "event_date")
+        .agg(
+            F.max("active").alias("active"),
+            F.max("day_rev").alias("day_rev"),
+            *[F.max(m).alias(m) for m in metrics],
+        )
+    )
+    order = F.row_number().over(W.partitionBy(USER, VERSION).orderBy("event_date"))
+    return days.select(
+        VERSION,
+        "join_date",
+        "event_date",
+        "active",
+        (F.col("day_rev") * F.col("copies")).alias("credited"),
+        *metrics,
+        F.when((order == 1) & F.col(USER).isNotNull(), 1).otherwise(0).alias("member"),
     )
-    return summary.join(ltv, VERSION, "left").withColumnRenamed(VERSION, "version")

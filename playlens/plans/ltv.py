@@ -18,6 +18,19 @@ from playlens.plans.retention import mature, renamed
 HORIZONS = (0, 1, 3, 7)
 
 
+def with_copies(identity: DataFrame, fanout: str) -> DataFrame:
+    """How often a cohort row counts its user's revenue, as ``copies``.
+
+    ``fanout="compat"`` keeps the reports' rule: each of a user's k cohort rows is
+    credited k times the user's daily revenue. ``"fix"`` credits it once to each.
+    """
+    if fanout not in ("compat", "fix"):
+        raise ValueError(f"unknown fanout {fanout!r}")
+    per_user = W.partitionBy(USER)
+    copies = F.count(F.lit(1)).over(per_user) if fanout == "compat" else F.lit(1)
+    return identity.withColumn("copies", copies)
+
+
 def cohort_revenue(
     events: DataFrame,
     identity: DataFrame,
@@ -29,14 +42,9 @@ def cohort_revenue(
 ) -> DataFrame:
     """Users and cumulated revenue per cohort: (*dims, join_date, new_users, rev_d*).
 
-    A user seen in k versions belongs to k cohorts. ``fanout="compat"`` keeps the
-    reports' rule: each of them is credited k times the user's daily revenue.
-    ``"fix"`` credits it once to each.
+    A user seen in k versions belongs to k cohorts; see ``with_copies``.
     """
-    if fanout not in ("compat", "fix"):
-        raise ValueError(f"unknown fanout {fanout!r}")
-    copies = F.count(F.lit(1)).over(W.partitionBy(USER)) if fanout == "compat" else F.lit(1)
-    members = identity.withColumn("copies", copies)
+    members = with_copies(identity, fanout)
     daily = user_day_revenue(events, *revenue).withColumnRenamed(USER, "payer")
     day = F.datediff("event_date", "join_date")
     credited = F.col("day_rev") * F.col("copies")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlens.config import DEFAULT_GAME, Game
-from playlens.functions.bags import Bag
+from playlens.functions.bags import Bag, unfused
 from playlens.functions.dates import export_date
 
 BASE = (
@@ -59,15 +59,19 @@ def split_events(
     in_context = name.isin(list(game.context_events))
     params, properties = Bag("event_params"), Bag("user_properties")
 
+    rows = params.with_texts(raw.where(name.isin(kept)))
+
     def param(p: str) -> Column:
-        read = params.first_num if p in game.numeric_params else params.first_str
-        # A parameter an event does not declare is dropped. The condition sits on
-        # the key, not around the lookup, so the lookups still share their work.
-        return read(F.when(name.isin(game.owners(p)), F.lit(p))).alias(p)
+        # A parameter an event does not declare is dropped.
+        declared = name.isin(game.owners(p))
+        if p in game.numeric_params:
+            return F.when(declared, params.first_num(p)).alias(p)
+        # The condition sits on the key, so that the lookups still share their work.
+        return params.first_str(F.when(declared, F.lit(p))).alias(p)
 
     cols: list[Column] = [
         F.col("user_pseudo_id"),
-        F.col("user_id"),
+        unfused(F.col("user_id")).alias("user_id"),
         name,
         export_date(F.col("event_date")).alias("event_date"),
         F.col("event_timestamp"),
@@ -85,7 +89,7 @@ def split_events(
     ]
     if game.variant_property:
         cols.append(properties.first_property(game.variant_property).alias(VARIANT))
-    return raw.where(name.isin(kept)).select(*cols)
+    return rows.select(*cols)
 
 
 def typed_schema(game: Game = DEFAULT_GAME) -> T.StructType:

@@ -65,12 +65,8 @@ def _entry(key: str, text: str = "NULL", number: str = "NULL", real: str = "NULL
 
 def _bag(always: list[str], optional: list[tuple[str, list[str]]]) -> str:
     """SQL of a bag of entries, some of them only under a condition."""
-    none = f"slice(array({always[0]}), 1, 0)"
-    parts = [f"array({', '.join(always)})"] + [
-        f"CASE WHEN {cond} THEN array({', '.join(entries)}) ELSE {none} END"
-        for cond, entries in optional
-    ]
-    return f"concat({', '.join(parts)})"
+    entries = always + [f"if({cond}, {e}, NULL)" for cond, some in optional for e in some]
+    return f"array_compact(array({', '.join(entries)}))"
 
 
 def _params(screen: str) -> str:
