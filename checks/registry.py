@@ -740,9 +740,9 @@ def _(raw):
 @on_raw(
     "layer2_split",
     o.sql(
-        f"SELECT {o.ID}, ev AS event_name, {o.iso('d')} AS event_date, CAST(sid AS VARCHAR) AS ga_session_id, "
-        "scr AS current_screen, CAST(snum AS VARCHAR) AS ga_session_number, "
-        "CASE WHEN ev IN ('first_open', 'session_start') THEN ver END AS app_version, "
+        f"SELECT {o.ID}, ev AS event_name, {o.iso('d')} AS event_date, CAST(NULL AS VARCHAR) AS user_id, "
+        "CAST(sid AS VARCHAR) AS ga_session_id, scr AS current_screen, "
+        "CAST(snum AS VARCHAR) AS ga_session_number, CASE WHEN ev IN ('first_open', 'session_start') THEN ver END AS app_version, "
         "CASE WHEN ev IN ('first_open', 'session_start') THEN geo END AS geo_country, "
         "CASE WHEN ev IN ('first_open', 'session_start') THEN CAST(u % 9 AS VARCHAR) END AS up_adset, "
         "mg AS minigame_id, CASE WHEN ev IN ('level_start', 'level_end') THEN CAST(k % 5 AS VARCHAR) END AS attempt, "
@@ -753,8 +753,8 @@ def _(raw):
 )
 def _(raw):
     shown = (
-        USER, TS, NAME, "event_date", "ga_session_id", "current_screen", "ga_session_number",
-        "app_version", "geo_country", "up_adset", "minigame_id", "attempt", "result_by",
+        USER, TS, NAME, "event_date", "user_id", "ga_session_id", "current_screen",
+        "ga_session_number", "app_version", "geo_country", "up_adset", "minigame_id", "attempt", "result_by",
         "play_duration", "value", "ad_format", "placement", "reward_value",
         "engagement_time_msec",
     )

@@ -84,10 +84,15 @@ def flatten(raw: DataFrame, spec: FlattenSpec, zone: str = LOCAL_ZONE) -> DataFr
     return raw.select(*[exprs[c].alias(c) for c in spec.columns])
 
 
-def unique_events(flat: DataFrame) -> DataFrame:
+def unique_events(flat: DataFrame, spec: FlattenSpec) -> DataFrame:
     """One row per key. The key holds the timestamp, so ordering by time alone
-    always ties; the content decides, to get the same row on every run."""
-    content = F.xxhash64(*[c for c in flat.columns if c != KEY])
+    always ties; the content decides, to get the same row on every run.
+
+    Columns read from the parameters follow from the parameter array, so hashing
+    that array and the rest of the row covers them.
+    """
+    follows = {KEY, *spec.params, "level", "play_duration", "action_sequence"}
+    content = F.xxhash64(*[c for c in flat.columns if c not in follows])
     return dedup_first(flat, KEY, [F.col("event_timestamp"), content])
 
 
@@ -99,7 +104,7 @@ def flatten_new(
     Deduplicating first lets the anti join reuse the partitioning by key. Both
     steps act on whole keys, so their order does not change the result.
     """
-    unique = unique_events(flatten(raw, spec, zone))
+    unique = unique_events(flatten(raw, spec, zone), spec)
     return unique if known is None else new_rows_only(unique, known, KEY)
 
 

@@ -147,7 +147,7 @@ def load_flatten(
     first = is_first_run(spark, root)
     flat = flatten(load_window(raw, spec, run_date, first), spec)
     if first:
-        append_days(unique_events(flat), root)
+        append_days(unique_events(flat, spec), root)
         return
     # The day range reads the date column alone; it must not run the dedup.
     span = _day_range(flat.select(DAY), widen=1)
@@ -158,7 +158,7 @@ def load_flatten(
         .where(F.col(DAY).between(*[F.lit(d) for d in span]))
         .select(KEY)
     )
-    append_days(new_rows_only(unique_events(flat), known, KEY), root)
+    append_days(new_rows_only(unique_events(flat, spec), known, KEY), root)
 
 
 def load_base(

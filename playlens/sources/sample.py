@@ -235,9 +235,8 @@ def raw_store(spark: SparkSession, sf_dir: str, **variant: bool) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, "raw", *sorted(variant.items()))
     if key not in _stores:
         root = scratch_dir(spark, "raw")
-        raw_events(spark, sf_dir, **variant).repartition("shard").write.partitionBy(
-            "shard"
-        ).parquet(root)
+        rows = raw_events(spark, sf_dir, **variant).hint("rebalance", "shard")
+        rows.write.partitionBy("shard").parquet(root)
         _stores[key] = read_raw(spark, root)
     return _stores[key]
 
