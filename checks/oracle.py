@@ -132,7 +132,8 @@ t AS (SELECT usr, mg, start_us, MAX(us) AS last_us, COUNT(*) AS members,
 # --- reports ---------------------------------------------------------------
 
 
-def retention(days, rolling: bool = False, dims: str = "ver", names: str = "ver AS version") -> str:
+def retention(days, rolling: bool = False, dims: str = "ver", names: str = "ver AS version",
+              where: str = "TRUE") -> str:
     op = ">=" if rolling else "="
     last = max(days)
     extra = dims.replace("ver, ", ", ") if dims != "ver" else ""
@@ -146,7 +147,7 @@ def retention(days, rolling: bool = False, dims: str = "ver", names: str = "ver
         f"SELECT {names}, {iso('j')} AS cohort_date, COUNT(DISTINCT usr) AS new_users, {cols}, "
         f"date_diff('day', j, DATE '2024-01-31') >= {last} AS is_d{last}_mature "
         f"FROM x GROUP BY {dims}, j",
-        f"{cohort(extra=extra)}, "
+        f"{cohort(where, extra)}, "
         "a AS (SELECT DISTINCT usr, d FROM e WHERE ev = 'session_start'), "
         "x AS (SELECT c.*, date_diff('day', c.j, a.d) AS n FROM c LEFT JOIN a ON a.usr = c.usr "
         f"AND date_diff('day', c.j, a.d) BETWEEN 1 AND {last}{null_dim})",
@@ -228,7 +229,7 @@ def funnel(event: str = "first_open", where: str = OUTSIDE, native: bool = False
 
 
 def daily(join_event: str = "first_open", active: str = "session_start", by_version: bool = False,
-          cohort_only: bool = True, base: str = PLAIN) -> str:
+          cohort_only: bool = True, base: str = PLAIN, listed: str = "TRUE") -> str:
     dim = "ver, " if by_version else ""
     same = " AND q.ver = p.ver" if by_version else ""
     shown = {**{p: f"grp = '{g}'" for p, g in FMT.items()}, "total": "grp IS NOT NULL"}
@@ -250,8 +251,8 @@ def daily(join_event: str = "first_open", active: str = "session_start", by_vers
         + ", h.arpdau, ROUND(g.back * 100.0::DOUBLE / NULLIF((SELECT q.joined FROM g q WHERE q.d = g.d - 1"
         + (" AND q.ver = g.ver" if by_version else "")
         + "), 0), 2) AS cohort_rr_d1 FROM g JOIN h USING (" + dim + "d)",
-        "uv AS (SELECT usr, MIN(ver) AS ver FROM e WHERE ev = 'first_open' GROUP BY usr), "
-        f"uj AS (SELECT usr, MIN(d) AS j FROM e WHERE ev = '{join_event}' GROUP BY usr), "
+        f"uv AS (SELECT * FROM (SELECT usr, MIN(ver) AS ver FROM e WHERE ev = 'first_open' GROUP BY usr) WHERE {listed}), "
+        f"uj AS (SELECT usr, MIN(d) AS j FROM e WHERE ev = '{join_event}' AND {listed} GROUP BY usr), "
         f"p AS (SELECT DISTINCT e.usr, e.d, uv.ver, uj.j FROM e JOIN uv USING (usr) "
         f"{'JOIN' if cohort_only else 'LEFT JOIN'} uj USING (usr) WHERE e.ev = '{active}'), "
         f"g AS (SELECT {dim}d, COUNT(*) AS n, COUNT(*) FILTER (d = j) AS joined, "
@@ -265,7 +266,7 @@ def daily(join_event: str = "first_open", active: str = "session_start", by_vers
     )
 
 
-def minigame(cap: int, base: str = PLAIN) -> str:
+def minigame(cap: int, base: str = PLAIN, listed: str = "TRUE") -> str:
     return sql(
         "SELECT f.ver AS version, f.mg AS minigame_id, f.start_user, "
         "ROUND(f.start_user / CAST(f.total_user AS DOUBLE) * 100, 2) AS start_rate_pct, "
@@ -273,7 +274,7 @@ def minigame(cap: int, base: str = PLAIN) -> str:
         "ROUND(g.mins / g.total_sessions, 2) AS avg_playtime_per_session_min, "
         "COALESCE(g.imps, 0) AS total_ad_impressions, ROUND(COALESCE(g.rev, 0.0), 2) AS total_revenue_usd, "
         "ROUND(g.rev / g.unique_users, 4) AS avg_revenue_per_user_usd, "
-        "ROUND(g.rev / NULLIF(g.imps, 0) * 1000, 2) AS ecpm FROM f LEFT JOIN g USING (ver, mg)",
+        f"ROUND(g.rev / NULLIF(g.imps, 0) * 1000, 2) AS ecpm FROM f LEFT JOIN g USING (ver, mg) WHERE {listed}",
         "uv AS (SELECT usr, MIN(ver) AS ver FROM e WHERE ev = 'session_start' GROUP BY usr), "
         f"{STARTS}, {MEMBERS}, "
         "f AS (SELECT a.ver, a.mg, COUNT(DISTINCT a.usr) AS start_user, ANY_VALUE(b.n) AS total_user FROM "
@@ -288,7 +289,7 @@ def minigame(cap: int, base: str = PLAIN) -> str:
 
 
 def play(key: str = "mg", name: str = "minigame_id", where: str = "mg <> 'Home'", means: bool = False,
-         base: str = PLAIN) -> str:
+         base: str = PLAIN, listed: str = "TRUE") -> str:
     rates = ", ".join(
         f"ROUND(COUNT(*) FILTER (res = '{r}') * 100.0::DOUBLE / NULLIF(COUNT(res), 0), 2) AS {r}_rate_pct, "
         f"ROUND(SUM(secs) FILTER (res = '{r}') / NULLIF(COUNT(DISTINCT usr) FILTER (res = '{r}'), 0), 2) "
@@ -307,7 +308,7 @@ def play(key: str = "mg", name: str = "minigame_id", where: str = "mg <> 'Home'"
         f"ROUND(n.users_end * 100.0::DOUBLE / b.n, 2) AS complete_rate_pct, n.avg_duration_per_user_s, {outs}"
         + (", n.avg_attempt, n.avg_deaths" if means else "")
         + " FROM b LEFT JOIN n USING (ver, g)",
-        "c AS (SELECT DISTINCT usr, ver FROM e WHERE ev = 'first_open'), "
+        f"c AS (SELECT DISTINCT usr, ver FROM e WHERE ev = 'first_open' AND {listed}), "
         f"q AS (SELECT c.ver, e.usr, e.k, {key} AS g, e.ev, e.res, "
         "CASE WHEN dur <> 'bad' THEN CAST(dur AS DOUBLE) END AS secs FROM e JOIN c USING (usr) "
         f"WHERE e.ev IN ('level_start', 'level_end') AND {where}), "

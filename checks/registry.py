@@ -602,12 +602,16 @@ def _(spark, sf_dir):
     return spark.read.parquet(root).select("surrogate_key", "event_date", USER)
 
 
-@register("create_empty", o.sql(f"SELECT usr AS user_pseudo_id, {o.iso('d')} AS event_date FROM e WHERE FALSE"))
+@register("create_empty", o.sql(DAY_COUNTS.format(d=o.iso("d"), w="")))
 def _(spark, sf_dir):
+    # An empty table with the right columns, then filled; creating it again changes nothing.
     root = scratch_dir(spark, "empty")
     events = event_store(spark, sf_dir)
-    tables.create_empty(events, root)
-    return tables.read_table(spark, root, events.schema).select(USER, "event_date")
+    layout = ("event_date", NAME)
+    tables.create_empty(events, root, layout)
+    events.write.mode("append").partitionBy(*layout).parquet(root)
+    tables.create_empty(events, root, layout)
+    return day_counts(tables.read_table(spark, root, events.schema))
 
 
 @register("rebuild_report", o.retention(range(1, 8)))
@@ -799,6 +803,48 @@ def _(events):
     return minigames.play_results(events)
 
 
+# The same reports with their list parameters set.
+TWO = ["1.0.8", "1.0.9"]
+LISTED = "ver IN ('1.0.8', '1.0.9')"
+FILTERED = LISTED + " AND geo NOT IN ('China', 'Japan')"
+ABROAD = ["China", "Japan"]
+
+
+@on_events("r2_minigame_versions", o.minigame(1440, o.SOME_WITHOUT_SESSION, LISTED), **WITHOUT)
+def _(events):
+    return minigames.minigame_sessions_report(events, versions=TWO, max_session_min=1440)
+
+
+@on_events("r3_funnel_filtered", o.funnel(where=FILTERED))
+def _(events):
+    return funnel.funnel_monetization(events, versions=TWO, exclude_geo=ABROAD)
+
+
+@on_events("r4_ltv_filtered", o.ltv((0, 1, 3, 7), where=FILTERED))
+def _(events):
+    return ltv.cohort_ltv(events, as_of=AS_OF, versions=TWO, exclude_geo=ABROAD)
+
+
+@on_events("r5_daily_ads_versions", o.daily(listed=LISTED))
+def _(events):
+    return daily_ads.daily_ads(events, versions=TWO)
+
+
+@on_events("r5_daily_ads_sessions", o.daily(join_event="session_start"))
+def _(events):
+    return daily_ads.daily_ads(events, cohort_event="session_start")
+
+
+@on_events("r6_retention_versions", o.retention(range(1, 8), where=LISTED))
+def _(events):
+    return retention.retention_curve(events, as_of=AS_OF, versions=TWO)
+
+
+@on_events("r8_play_versions", o.play(listed=LISTED))
+def _(events):
+    return minigames.play_results(events, versions=TWO)
+
+
 # --- documented variants ---------------------------------------------------
 
 GEO = ("app_version", "geo_country")

@@ -8,6 +8,7 @@ import pytest
 
 from playlens.operators.filters import drop_listed, keep_listed
 from playlens.plans.daily_ads import daily_ads
+from playlens.plans.delivery import ordered
 from playlens.plans.funnel import funnel_monetization
 from playlens.plans.ltv import cohort_ltv
 from playlens.plans.minigames import minigame_sessions_report, play_results
@@ -184,3 +185,16 @@ def test_play_results_without_ends_and_bad_durations(typed):
     g = rows["G"]
     assert (g.complete_rate_pct, g.win_rate_pct, g.lose_rate_pct) == (100.0, 100.0, 0.0)
     assert (g.avg_duration_per_user_s, g.avg_duration_win_s) == (8.0, None)
+
+
+def test_delivery_order(typed):
+    events = typed(
+        *[("first_open", u, 0, {}) for u in "abc"],
+        *[("level_start", u, 0, {"minigame_id": "often"}) for u in "abc"],
+        ("level_start", "a", 0, {"minigame_id": "rare"}),
+        ("session_start", "a", 0, {}),
+        ("session_start", "b", 4, {}),
+    )
+    played = ordered(play_results(events), "play_results").collect()
+    assert [r.minigame_id for r in played] == ["often", "rare"]
+    assert [r.date.day for r in ordered(daily_ads(events), "daily_ads").collect()] == [5, 1]

@@ -202,3 +202,19 @@ def test_create_empty_keeps_an_existing_table(spark, raw, tmp_path):
     tables.create_empty(flat, root)
     assert tables.read_table(spark, root, flat.schema).count() == 1
     assert tables.read_table(spark, str(tmp_path / "none"), flat.schema).count() == 0
+
+
+def test_namespace_is_created_once(spark):
+    for _ in range(2):
+        tables.create_namespace(spark, "playlens_test")
+    try:
+        assert spark.catalog.databaseExists("playlens_test")
+    finally:
+        spark.sql("DROP DATABASE playlens_test")
+
+
+def test_report_rebuild_replaces_everything(spark, tmp_path):
+    root = str(tmp_path / "report")
+    for rows in ([(1,), (2,)], [(3,)]):
+        tables.rebuild_report(spark.createDataFrame(rows, "a int"), root)
+    assert [r.a for r in spark.read.parquet(root).collect()] == [3]
