@@ -598,7 +598,9 @@ def _(spark, sf_dir):
     first = shards.between(raw, sample.FIRST_DAY, dt.date(2024, 1, 20))
     second = shards.since(raw, dt.date(2024, 1, 10))
     for part in (first, second, second):
-        tables.append_new(spark, flatten.flatten_new(part, FLATTEN_B), root)
+        flat = flatten.flatten(part, FLATTEN_B)
+        rows = flatten.unique_events(flat, FLATTEN_B)
+        tables.append_new(spark, rows, root, days_from=flat)
     return spark.read.parquet(root).select("surrogate_key", "event_date", USER)
 
 

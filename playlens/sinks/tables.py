@@ -117,14 +117,22 @@ def _day_range(rows: DataFrame, widen: int) -> tuple[dt.date, dt.date] | None:
     return low - dt.timedelta(days=widen), high + dt.timedelta(days=widen)
 
 
-def append_new(spark: SparkSession, incoming: DataFrame, root: str, key: str = KEY) -> None:
+def append_new(
+    spark: SparkSession,
+    incoming: DataFrame,
+    root: str,
+    key: str = KEY,
+    days_from: DataFrame | None = None,
+) -> None:
     """Append rows whose key is not in the table; rows already there never change.
 
     Equal keys share their timestamp, so only the days the load touches (and
     their neighbours, as the two date rules differ by less than a day) are read
-    back, keys only.
+    back, keys only. ``days_from`` names a frame with the same days that is cheaper
+    to read than ``incoming``, such as the rows before deduplication.
     """
-    span = _day_range(incoming, widen=1)
+    dated = incoming if days_from is None else days_from
+    span = _day_range(dated.select(DAY), widen=1)
     if span is None:
         return
     target = read_table(spark, root, incoming.schema)
@@ -146,19 +154,11 @@ def load_flatten(
     """One daily run of the staging table."""
     first = is_first_run(spark, root)
     flat = flatten(load_window(raw, spec, run_date, first), spec)
+    rows = unique_events(flat, spec)
     if first:
-        append_days(unique_events(flat, spec), root)
-        return
-    # The day range reads the date column alone; it must not run the dedup.
-    span = _day_range(flat.select(DAY), widen=1)
-    if span is None:
-        return
-    known = (
-        read_table(spark, root, flat.schema)
-        .where(F.col(DAY).between(*[F.lit(d) for d in span]))
-        .select(KEY)
-    )
-    append_days(new_rows_only(unique_events(flat, spec), known, KEY), root)
+        append_days(rows, root)
+    else:
+        append_new(spark, rows, root, days_from=flat)
 
 
 def load_base(
