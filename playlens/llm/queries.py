@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from playlens.llm.common import table
 from playlens.llm.linededup import dedup_lines
+from playlens.llm.packing import pack_documents
 from playlens.llm.simhash import near_duplicates
+from playlens.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,6 +26,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+@register
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(documents(spark, sf_dir), default_tokenizer(), window=2048)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @register
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir), max_bits=3, shingle=3)
