@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.llm.common import table
+from playlens.llm.decontaminate import decontaminate
 from playlens.llm.linededup import dedup_lines
 from playlens.llm.packing import pack_documents
 from playlens.llm.simhash import near_duplicates
@@ -64,3 +65,41 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@register
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    judged = decontaminate(documents(spark, sf_dir), benchmark, window=13, share=20)
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    counts = ("n_words", "n_hit", F.size("items").cast("long").alias("n_items"))
+    return judged.select("doc_id", *counts, digest.alias("items_sha256"), "contaminated")
+
+
+SQL["op10_decontamination"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[p:p + size - 1], ' ') AS t FROM (
+    SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p
+    FROM item WHERE len(w) > 0)),
+place AS (
+  SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS t FROM (
+    SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
+    FROM doc, (SELECT DISTINCT size FROM win) WHERE len(w) >= size)),
+hit AS (SELECT doc_id, size, p, item_id FROM place JOIN win USING (size, t)),
+covered AS (
+  SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM hit)
+  GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
