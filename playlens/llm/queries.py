@@ -11,6 +11,7 @@ from playlens.llm.common import table
 from playlens.llm.decontaminate import decontaminate
 from playlens.llm.linededup import dedup_lines
 from playlens.llm.packing import pack_documents
+from playlens.llm.sharding import balanced_shards
 from playlens.llm.simhash import near_duplicates
 from playlens.llm.tokens import default_tokenizer
 
@@ -33,6 +34,21 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@register
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal texts are linked by a 64-bit hash: a collision would only put two texts together."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    sized = documents(spark, sf_dir).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("same_text"),
+    )
+    dealt = balanced_shards(sized, F.col("same_text"), shards=16)
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return dealt.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 @register
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir), max_bits=3, shingle=3)
