@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm.common import table
+from playlens.llm import langid, quality
+from playlens.llm.common import held_out, table
 from playlens.llm.decontaminate import decontaminate
 from playlens.llm.linededup import dedup_lines
 from playlens.llm.packing import pack_documents
@@ -28,6 +29,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+@register
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    forest = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.quality_scores(docs, forest, threshold=0.3)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @register
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(documents(spark, sf_dir), default_tokenizer(), window=2048)
@@ -55,6 +64,13 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = langid.identify_languages(docs.select("doc_id", "text"), langid.train(docs))
+    return judged.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 @register
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(documents(spark, sf_dir), min_docs=5, min_chars=40)
