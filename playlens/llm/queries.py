@@ -11,6 +11,7 @@ from playlens.llm import langid, quality
 from playlens.llm.common import held_out, table
 from playlens.llm.decontaminate import decontaminate
 from playlens.llm.linededup import dedup_lines
+from playlens.llm.mtree import top_k
 from playlens.llm.packing import pack_documents
 from playlens.llm.sharding import balanced_shards
 from playlens.llm.simhash import near_duplicates
@@ -37,6 +38,26 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+@register
+def op2_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+SQL["op2_top_k_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM pair QUALIFY rank <= 10
+"""
+
+
 @register
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(documents(spark, sf_dir), default_tokenizer(), window=2048)
