@@ -16,6 +16,7 @@ from playlens.llm.packing import pack_documents
 from playlens.llm.sharding import balanced_shards
 from playlens.llm.simhash import near_duplicates
 from playlens.llm.tokens import default_tokenizer
+from playlens.llm.trainorder import write_training_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,6 +86,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = write_training_order(documents(spark, sf_dir), default_tokenizer(), key=20240101)
+    return written.drop("path")
+
+
 @register
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
