@@ -15,6 +15,7 @@ from playlens.llm.mtree import top_k
 from playlens.llm.packing import pack_documents
 from playlens.llm.sharding import balanced_shards
 from playlens.llm.simhash import near_duplicates
+from playlens.llm.substrings import remove_repeats
 from playlens.llm.tokens import default_tokenizer
 from playlens.llm.trainorder import write_training_order
 
@@ -99,6 +100,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@register
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(documents(spark, sf_dir), min_docs=5, min_chars=40)
