@@ -64,16 +64,20 @@ def _scan(of_words: Column, size: int, entries: list) -> Column:
     kept = F.from_json(F.lit(json.dumps(buckets)), f"array<array<{ENTRY}>>")
     hashes = [e["h"] for e in entries]
 
-    def items(at: Column) -> Column:
+    def entry(at: Column) -> Column:
+        """Windows of the benchmark equal to the one here, word by word."""
         text = F.array_join(F.slice(of_words, at + 1, F.lit(size)), " ")
         bucket = F.get(kept, F.pmod(_window_hash(of_words, at, size), F.lit(len(buckets))).cast("int"))
-        return F.flatten(F.transform(F.filter(bucket, lambda e: e["w"] == text), lambda e: e["items"]))
+        return F.filter(bucket, lambda e: e["w"] == text)
+
+    def items(at: Column) -> Column:
+        return F.flatten(F.transform(entry(at), lambda e: e["items"]))
 
     starts = F.when(F.size(of_words) >= size, F.sequence(F.lit(0), F.size(of_words) - size))
     starts = F.coalesce(starts, F.array().cast("array<int>"))
-    first = F.filter(starts, lambda i: _window_hash(of_words, i, size).isin(hashes))
-    hits = F.transform(first, lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), items(i).alias("items")))
-    return F.filter(hits, lambda x: F.size(x["items"]) > 0)
+    known = F.filter(starts, lambda i: _window_hash(of_words, i, size).isin(hashes))
+    verified = F.filter(known, lambda i: F.size(entry(i)) > 0)
+    return F.transform(verified, lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), items(i).alias("items")))
 
 
 def _scanner(by_size: dict[int, list]):

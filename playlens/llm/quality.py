@@ -24,7 +24,7 @@ from playlens.llm.common import held_out
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, BINS = 40, 4, 64
-RATE, LEAST_HESSIAN, RIDGE = 0.2, 5.0, 1.0
+RATE, LEAST_HESSIAN, RIDGE = 0.2, 0.5, 1.0
 
 # Byte classes whose shares are statistics.
 CLASSES = (

@@ -178,7 +178,7 @@ def _reranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Of a first rank with one second rank only, the earliest anchor needs no judging. Runs at the ends
     of the stream may go on in another task, so theirs is judged.
     """
-    rank, all_rank = None, None  # of the row before
+    rank, all_rank, head = None, None, None  # of the row before; where its pair of ranks was first
     waiting = None  # the only second rank's earliest anchor, while it is the only one
     edge = True  # still in the stream's first run
 
@@ -193,8 +193,15 @@ def _reranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, alls = rows.column("rank").to_numpy(), rows.column("all_rank").to_numpy()
         new_rank = np.r_[rank is None or ranks[0] != rank, ranks[1:] != ranks[:-1]]
         new_pair = new_rank | np.r_[all_rank is None or alls[0] != all_rank, alls[1:] != alls[:-1]]
-        yield out(rows, np.flatnonzero(~new_pair), True)
         heads = np.flatnonzero(new_pair)
+        # Rows at the very place of their pair's first row are that row again.
+        ids = rows.column("doc_id")
+        where = np.column_stack((ids.is_valid().to_numpy(False), ids.fill_null(0).to_numpy(), rows.column("at").to_numpy()))
+        firsts = where[heads] if head is None or new_pair[0] else np.vstack((head, where[heads]))
+        of_first = np.cumsum(new_pair) - (1 if head is None or new_pair[0] else 0)
+        again = (where == firsts[of_first]).all(axis=1)
+        head = firsts[-1]
+        yield out(rows, np.flatnonzero(~new_pair & ~again), True)
         run = np.cumsum(new_rank)[heads]  # 0: the run of the batch before goes on
         counts = np.bincount(run, minlength=int(run[-1]) + 1 if len(run) else 1)
         if counts[0] and waiting is not None:
