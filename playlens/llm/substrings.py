@@ -1,23 +1,22 @@
 """Repeated byte strings removed by prefix doubling over sampled positions.
 
-The rank of a position is the name of the string of a given length that starts there.
-Names double locally: that of 2n bytes is made of two names of n bytes at an offset of n, so those of 20
-and of 100 bytes need no shuffle. Equality across documents does, and a sort of every
-position would move many times the input. So the positions are thinned out first:
+The rank of a position is the name of the string of a given length that starts there. Names double
+locally: that of 2n bytes is made of two names of n bytes at an offset of n, so names of any length need no
+shuffle. Equality across documents does, and a sort of every position would move many times the
+input. So positions are thinned out, and Spark sorts pairs of ranks at growing lengths:
 
-* Of the 81 strings of 20 bytes within a string of 100 bytes, the one of least name is its
+* Of the strings of 36 bytes within a string of 100 bytes, the one of least name is its
   anchor. Equal strings have equal anchors at equal distances, so only anchors are sorted:
-  one position in about 41. An anchor stands for a run of starts, those of the strings it is the
+  one position in about 30. An anchor stands for a run of starts, those of the strings it is the
   anchor of, and carries a second rank: that of all bytes these strings cover.
-* Spark sorts the anchors by the pair of ranks (20 bytes; all bytes). Where the first rank is
-  unique, no string repeats. A repeated pair means that all strings of the run started
-  earlier. What is left are anchors with equal first and different second ranks, as at the
-  edges of passages.
-* For these, each start gets its rank at 100 bytes, past the threshold, and Spark finds the earliest of each.
-
-The sort is by ranges of rank pairs and places, so the anchors of one frequent passage may spread over
-many tasks. Least places are combined before they are shuffled and joined back by equality, which
-adaptive execution can split. Documents with no candidates, as a bitmap of fixed size tells, are not shuffled.
+* Spark sorts by the pair of ranks. Where the first is unique, no string repeats. Where a pair
+  repeats, all strings of the run started earlier. What is left are runs with equal first and different
+  second ranks, as at the edges of passages.
+* Their runs are cut into runs of nine starts, which have 92 bytes in common; these give the first rank of the
+  next round. The last round has single starts and ranks of 100 bytes, past the threshold.
+
+The sorts are by ranges of rank pairs and places, so the positions of one frequent passage may spread over
+many tasks. Documents with no candidates, as a bitmap of fixed size tells, are not shuffled.
 """
 
 from __future__ import annotations
@@ -34,7 +33,8 @@ from pyspark.sql import types as T
 from playlens.llm.common import stored
 
 LENGTH = 100
-GRAM = 20
+GRAM = 36
+CUTS = (9, 1)  # starts in a run in the rounds after the first
 WINDOW = LENGTH - GRAM + 1
 BLOCK = 1 << 20  # bytes ranked at a time
 TAG_BITS, PLACE_BITS, RUN_BITS = 18, 31, 7
@@ -42,8 +42,6 @@ SHIFT = 2 * RUN_BITS
 TAG_SHIFT = PLACE_BITS + SHIFT
 BITMAP = 1 << 24
 RANK_MASK = np.uint64(0xFFFFFFFFFFFF0000)
-# Offsets of the 16-byte names whose chain names 100 bytes.
-CHAIN = (*range(0, LENGTH - 16, 16), LENGTH - 16)
 # Odd multipliers of the doubling steps (a common 64-bit mixer's).
 STEPS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 
@@ -62,22 +60,29 @@ def _byte_names() -> np.ndarray:
     return _joined(np.arange(1, 257, dtype=np.uint64), np.uint64(STEPS[2]), STEPS[0])
 
 
-def names(raw: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the 16-byte and of the ``GRAM``-byte strings at each position."""
+def names_of_16(raw: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Names of the 16-byte strings at each position."""
     name = table[raw]
     for step, size in zip(STEPS, (1, 2, 4, 8)):
         name = _joined(name[:-size], name[size:], step)
-    return name, _joined(name[: len(name) - GRAM + 16], name[GRAM - 16 :], STEPS[4])
+    return name
 
 
-def long_names(of_16: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Names of the ``LENGTH``-byte strings at some positions."""
-    name = of_16[at]
-    for offset in CHAIN[1:]:
-        name = _joined(name, of_16[at + offset], STEPS[3])
+def named(of_16: np.ndarray, at: np.ndarray | None, length: int) -> np.ndarray:
+    """Names of longer strings at some positions, or at all of them."""
+    count = len(of_16) - length + 16
+    name = of_16[:count] if at is None else of_16[at]
+    for offset in (*range(16, length - 16, 16), length - 16):
+        name = _joined(name, of_16[offset : offset + count] if at is None else of_16[at + offset], STEPS[3])
     return name
 
 
+def _all_rank(of_16: np.ndarray, low: np.ndarray, high: np.ndarray, most: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Names of all bytes that the strings of runs of starts cover, with the runs' places."""
+    both = _joined(named(of_16, low, LENGTH), named(of_16, high, LENGTH), STEPS[0])
+    return _joined(both, (most << RUN_BITS | least).astype(np.uint64), STEPS[2])
+
+
 def _least(keys: np.ndarray, size: int) -> np.ndarray:
     """Least of each ``size`` keys in a row, by doubling."""
     done = 1
@@ -93,7 +98,8 @@ def anchors(raw: np.ndarray, ends: np.ndarray, table: np.ndarray) -> tuple[np.nd
 
     ``ends`` are the ends of the texts in ``raw``; no string crosses one.
     """
-    of_16, of_gram = names(raw, table)
+    of_16 = names_of_16(raw, table)
+    of_gram = named(of_16, None, GRAM)
     # Name first, then position: the least key is the leftmost string of least name.
     keys = (of_gram & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(of_gram), dtype=np.uint64)
     place = (_least(keys, WINDOW) & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -107,9 +113,7 @@ def anchors(raw: np.ndarray, ends: np.ndarray, table: np.ndarray) -> tuple[np.nd
     new = np.r_[True, (np.diff(starts) != 1) | (np.diff(own) != 0)]
     first = np.flatnonzero(new)
     low, high, at = starts[first], starts[np.r_[first[1:], len(starts)] - 1], own[first]
-    span = ((at - low) << RUN_BITS | (at - high)).astype(np.uint64)
-    both = _joined(long_names(of_16, low), long_names(of_16, high), STEPS[0])
-    return at, low, high, of_gram[at], _joined(both, span, STEPS[2])
+    return at, low, high, of_gram[at], _all_rank(of_16, low, high, at - low, at - high)
 
 
 def _blocks(lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -185,7 +189,9 @@ def _reranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(rows: pa.RecordBatch, index: np.ndarray, late: bool) -> pa.RecordBatch:
         part = rows.take(pa.array(index))
         flags = pa.array(np.full(len(index), late))
-        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("at"), flags], ["doc_id", "at", "late"])
+        ranks = [part.column(c) if not late else pa.nulls(len(index), pa.int64()) for c in ("rank", "all_rank")]
+        columns = [*ranks, part.column("doc_id"), part.column("at"), flags]
+        return pa.RecordBatch.from_arrays(columns, ["rank", "all_rank", "doc_id", "at", "late"])
 
     for rows in batches:
         if not rows.num_rows:
@@ -228,32 +234,45 @@ def _reranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield waiting
 
 
-def _start_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The starts of a document's open anchors with their ranks at full length."""
-    table = _byte_names()
-    for rows in batches:
-        for number, tag, text, places in zip(*(rows.column(c) for c in ("doc_id", "tag", "text", "places"))):
-            raw = np.frombuffer(text.cast(pa.binary()).as_buffer(), np.uint8)
-            packed = np.sort(places.values.to_numpy())
-            most, least = packed >> RUN_BITS & (1 << RUN_BITS) - 1, packed & (1 << RUN_BITS) - 1
-            place = packed >> SHIFT & (1 << PLACE_BITS) - 1
-            for low in range(0, len(raw), BLOCK):
-                own = np.flatnonzero((place >= low) & (place < low + BLOCK))
-                if not len(own):
-                    continue
-                base = max(0, low - WINDOW)
-                of_16, of_gram = names(raw[base : low + BLOCK + LENGTH], table)
-                size = most[own] - least[own] + 1
-                anchor = np.repeat(place[own], size)
-                step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                start = anchor - np.repeat(most[own], size) + step
-                columns = [
-                    pa.array(long_names(of_16, start - base).view(np.int64)),
-                    pa.array(of_gram[anchor - base].view(np.int64)),
-                    pa.array([number.as_py()] * len(start), pa.int64()),
-                    pa.array(_packed(np.full(len(start), tag.as_py()), start)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["name", "gram", "doc_id", "at"])
+def _cut_rows(width: int):
+    """The runs of a document's open positions cut into runs of ``width`` starts.
+
+    Cuts lie at multiples of ``width`` before the anchor, so equal strings fall into runs of equal
+    place; the first rank names the bytes that all strings of a full run have in common.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, common = _byte_names(), LENGTH - width + 1
+        for rows in batches:
+            for number, tag, text, places in zip(*(rows.column(c) for c in ("doc_id", "tag", "text", "places"))):
+                raw = np.frombuffer(text.cast(pa.binary()).as_buffer(), np.uint8)
+                packed = np.sort(places.values.to_numpy())
+                most, least = packed >> RUN_BITS & (1 << RUN_BITS) - 1, packed & (1 << RUN_BITS) - 1
+                place = packed >> SHIFT & (1 << PLACE_BITS) - 1
+                for low in range(0, len(raw), BLOCK):
+                    own = np.flatnonzero((place >= low) & (place < low + BLOCK))
+                    if not len(own):
+                        continue
+                    base = max(0, low - WINDOW)
+                    of_16 = names_of_16(raw[base : low + BLOCK + LENGTH], table)
+                    first = least[own] // width
+                    count = most[own] // width - first + 1
+                    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    run = np.repeat(first, count) + step
+                    top = np.minimum(np.repeat(most[own], count), run * width + width - 1)
+                    bottom = np.maximum(np.repeat(least[own], count), run * width)
+                    anchor = np.repeat(place[own], count)
+                    at = anchor - base
+                    rank = _joined(named(of_16, at - run * width, common), run.astype(np.uint64), STEPS[4])
+                    columns = [
+                        pa.array(rank.view(np.int64)),
+                        pa.array(_all_rank(of_16, at - top, at - bottom, top, bottom).view(np.int64)),
+                        pa.array([number.as_py()] * len(run), pa.int64()),
+                        pa.array(_packed(np.full(len(run), tag.as_py()), anchor, top, bottom)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["rank", "all_rank", "doc_id", "at"])
+
+    return cut
 
 
 def _bitmap(keyed: DataFrame) -> np.ndarray:
@@ -279,36 +298,37 @@ def _maybe(docs: DataFrame, keyed: DataFrame) -> Column:
     return hit(F.pmod(F.xxhash64("doc_id", "tag"), F.lit(BITMAP)))
 
 
+RANKED = "rank long, all_rank long, doc_id long, at long"
+
+
+def _sorted_ranks(ranked: DataFrame, label: str) -> DataFrame:
+    order = ("rank", "all_rank", "doc_id", "at")
+    dealt = ranked.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(dealt.mapInArrow(_reranked, f"{RANKED}, late boolean"), label)
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``(doc_id, tag, spans)``: what starts earlier elsewhere, as ``first << 8 | length`` numbers."""
-    ranked = docs.select("doc_id", "text").mapInArrow(
-        _anchor_rows, "rank long, all_rank long, doc_id long, at long"
-    )
-    order = ("rank", "all_rank", "doc_id", "at")
-    found = stored(
-        ranked.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(_reranked, "doc_id long, at long, late boolean"),
-        "anchors",
-    )
+    found = _sorted_ranks(docs.select("doc_id", "text").mapInArrow(_anchor_rows, RANKED), "anchors")
     tag = F.shiftright("at", TAG_SHIFT).alias("tag")
-    open_ = stored(
-        found.where("NOT late").groupBy("doc_id", tag).agg(F.collect_set("at").alias("places")), "open-anchors"
-    )
-    held = docs.where(_maybe(docs, open_)).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d.tag") == F.col("o.tag"))
-    texts = held.join(open_.alias("o"), same).select("d.doc_id", "d.tag", "d.text", "o.places")
-    starts = stored(texts.mapInArrow(_start_rows, "name long, gram long, doc_id long, at long"), "starts")
-    least = F.min(F.struct("doc_id", "at")).alias("first")
-    firsts = starts.groupBy("name", "gram").agg(least, F.count("*").alias("n")).where("n > 1").drop("n")
-    late = starts.join(stored(firsts, "firsts"), ["name", "gram"]).where(F.struct("doc_id", "at") > F.col("first"))
+    late = found.where("late").select("doc_id", "at")
+    for width in CUTS:
+        left = found.where("NOT late").groupBy("doc_id", tag).agg(F.collect_set("at").alias("places"))
+        left = stored(left, "open")
+        held = docs.where(_maybe(docs, left)).alias("d")
+        texts = held.join(left.alias("o"), same).select("d.doc_id", "d.tag", "d.text", "o.places")
+        found = _sorted_ranks(texts.mapInArrow(_cut_rows(width), RANKED), "runs")
+        late = late.union(found.where("late").select("doc_id", "at"))
+    # What is open now are the first and last of each task, which may repeat across two tasks.
+    ends = found.where("NOT late").drop("late")
+    least = ends.groupBy("rank", "all_rank").agg(F.min(F.struct("doc_id", "at")).alias("first"))
+    ends = ends.join(least, ["rank", "all_rank"]).where(F.struct("doc_id", "at") > F.col("first"))
+    late = late.union(ends.select("doc_id", "at"))
     place = F.shiftright("at", SHIFT).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     run = F.lit((1 << RUN_BITS) - 1)
     most, fewest = F.shiftright("at", RUN_BITS).bitwiseAND(run), F.col("at").bitwiseAND(run)
-    spans = found.where("late").union(late.select("doc_id", "at", F.lit(True)))
-    spans = spans.select(
-        "doc_id", tag, (F.shiftleft(place - most, 8) + most - fewest + LENGTH).alias("span")
-    )
+    spans = late.select("doc_id", tag, (F.shiftleft(place - most, 8) + most - fewest + LENGTH).alias("span"))
     return stored(spans.groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans")), "spans")
 
 
