@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from playlens.session import scratch_dir
 
 # crc32 of the decimal document number, modulo this, is 0 for held-out documents.
 HELD_OUT_MODULUS = 5
+BATCH_BYTES = 8 << 20
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -25,6 +27,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of the session bounded by bytes.
+
+    Rows hold whole texts, so a bound on rows alone would let a few long ones fill a
+    Python worker. A smaller bound that the session already has stays.
+    """
+    conf = df.sparkSession.conf
+    number, unit = re.match(r"(-?\d+)([kmgt]?)", conf.get("spark.sql.execution.arrow.maxBytesPerBatch").lower()).groups()
+    size = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+    if not 0 < size <= BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from playlens.llm.common import held_out
+from playlens.llm.common import bounded_batches, held_out
 
 TRAIN_ROWS = 600  # documents of each language
 TRAIN_WINDOWS = 8  # windows of each such document, evenly spread
@@ -137,7 +137,7 @@ def train(docs: DataFrame, per_language: int = TRAIN_ROWS) -> Network | None:
     At most ``per_language`` documents of each language are taken, those of least hash
     that are not held out and have a letter, and ``TRAIN_WINDOWS`` windows of each.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    known = bounded_batches(docs).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     known = known.where(F.col("text").rlike(r"\p{L}"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
@@ -202,5 +202,5 @@ def identify_languages(docs: DataFrame, network: Network | None) -> DataFrame:
     one; an empty table gives no rows.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.select(*rest, predict_language(F.col("text"), network).alias("lang_"))
+    found = bounded_batches(docs).select(*rest, predict_language(F.col("text"), network).alias("lang_"))
     return found.select(*rest, F.col("lang_.lang").alias("lang_pred"), F.col("lang_.score").alias("score"))

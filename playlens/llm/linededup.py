@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlens.llm.common import split_count, stored
+from playlens.llm.common import bounded_batches, split_count, stored
 
 # The white space that a key has stripped at both ends.
 LINE_SPACE = " \t\n\x0b\x0c\r"
@@ -255,7 +255,7 @@ def dedup_lines(
     one. Other columns stay; ``n_lines`` and ``n_dropped`` replace columns so named. An
     empty table gives no rows.
     """
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    plain = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = stored(line_counts(plain, min_chars).where(F.col("n_docs") >= min_docs), "lines")
     keys = counts.count()
     index = stored(build_index(counts, keys, shard_keys), "line-index")

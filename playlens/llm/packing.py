@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playlens.llm.common import bounded_batches
 from playlens.llm.tokens import Encoder
 
 WINDOW = 2048
@@ -181,7 +182,7 @@ def pack_documents(
         if stream.size:
             yield stream.pack(last=True)
 
-    rows = docs.select(
+    rows = bounded_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie")
     )
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")

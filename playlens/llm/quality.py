@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlens.llm.common import held_out
+from playlens.llm.common import bounded_batches, held_out
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, BINS = 40, 4, 64
@@ -175,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int
     known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     sample = known.select(F.col("doc_id").alias("labelled_id"), F.col(target).cast("double").alias("label"))
     sample = sample.orderBy(F.xxhash64("labelled_id"), "labelled_id", "label").limit(rows)
-    joined = docs.join(F.broadcast(sample), docs.doc_id == sample.labelled_id)  # bounded by ``rows``
+    joined = bounded_batches(docs).join(F.broadcast(sample), docs.doc_id == sample.labelled_id)  # bounded by ``rows``
     found = joined.select("labelled_id", features(F.col("text")).alias("features"), "label").limit(2 * rows).collect()
     found.sort()
     x = np.array([r["features"] for r in found]).reshape(-1, FEATURES)
@@ -200,5 +200,5 @@ def quality_scores(docs: DataFrame, forest: Forest, threshold: float = 0.3) -> D
             yield pa.array(predict(model, np.array(rows).reshape(-1, FEATURES)))
 
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("score", "predicted")]
-    with_score = docs.select(*rest, scored(F.col("text")).alias("score"))
+    with_score = bounded_batches(docs).select(*rest, scored(F.col("text")).alias("score"))
     return with_score.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import stored
+from playlens.llm.common import bounded_batches, stored
 from playlens.llm.components import connected_components
 
 BITS = 64
@@ -206,7 +206,7 @@ def near_duplicates(
     neither read nor returned. An empty table gives no rows.
     """
     prints = stored(
-        docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash"
+        bounded_batches(docs).select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash"
     )
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     links = fingerprint_links(nodes.select("fp"), max_bits)

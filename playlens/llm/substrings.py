@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlens.llm.common import stored
+from playlens.llm.common import bounded_batches, stored
 
 LENGTH = 100
 GRAM = 36
@@ -371,7 +371,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of one number are ordered by a hash. Other columns are neither read nor returned; an
     empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("tag", tag_of("text"))
     spans = repeated_spans(rows)
     maybe = _maybe(rows, spans)

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm.common import split_count, stored
+from playlens.llm.common import bounded_batches, split_count, stored
 from playlens.llm.tokens import Encoder
 from playlens.session import scratch_dir
 
@@ -105,7 +105,7 @@ def token_chunks(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataF
             yield chunk(np.concatenate(held))
 
     schema = "part long, first long, count long, tokens long, width long, blob binary"
-    return docs.select("text").mapInArrow(cut, schema)
+    return bounded_batches(docs).select("text").mapInArrow(cut, schema)
 
 
 def write_training_order(
