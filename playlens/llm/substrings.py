@@ -21,6 +21,7 @@ many tasks. Documents with no candidates, as a bitmap of fixed size tells, are n
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ BLOCK = 1 << 20  # bytes ranked at a time
 TAG_BITS, PLACE_BITS, RUN_BITS = 18, 31, 7
 SHIFT = 2 * RUN_BITS
 TAG_SHIFT = PLACE_BITS + SHIFT
-BITMAP = 1 << 24
+BITMAP = 1 << 22
 RANK_MASK = np.uint64(0xFFFFFFFFFFFF0000)
 # Odd multipliers of the doubling steps (a common 64-bit mixer's).
 STEPS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
@@ -275,27 +276,20 @@ def _cut_rows(width: int):
     return cut
 
 
-def _bitmap(keyed: DataFrame) -> np.ndarray:
-    """``BITMAP`` bits, set at the hashes of the rows' (doc_id, tag)."""
-    place = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(BITMAP))
-    bit = F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
-    words = keyed.select(place.alias("place")).groupBy((F.col("place") / 64).cast("int").alias("word"))
-    found = words.agg(F.bit_or(bit).alias("bits")).toArrow()  # at most BITMAP / 64 rows
-    out = np.zeros(BITMAP // 64, np.int64)
-    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return out.view(np.uint64)
+def _maybe(keyed: DataFrame) -> Column:
+    """Whether a document may be among ``keyed`` (doc_id, tag): FALSE is certain.
 
-
-def _maybe(docs: DataFrame, keyed: DataFrame) -> Column:
-    """Whether a document may be among ``keyed``: FALSE is certain."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(keyed))
-
-    @F.arrow_udf("boolean")
-    def hit(places: pa.Array) -> pa.Array:
-        at = places.to_numpy()
-        return pa.array((shared.value[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1)) == 1)
-
-    return hit(F.pmod(F.xxhash64("doc_id", "tag"), F.lit(BITMAP)))
+    A bitmap of the rows' hashes, ``BITMAP`` bits whatever their number, travels in the plan.
+    """
+    bit = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(BITMAP)).cast("int")
+    placed = keyed.select(bit.alias("bit")).withColumn("word", F.shiftright("bit", 6))
+    words = placed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits"))
+    bitmap = [0] * (BITMAP // 64)
+    for r in words.collect():  # at most BITMAP / 64 rows
+        bitmap[r["word"]] = r["bits"]
+    kept = F.from_json(F.lit(json.dumps(bitmap)), "array<bigint>")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)))
+    return F.get(kept, F.shiftright(bit, 6)).bitwiseAND(one) != 0
 
 
 RANKED = "rank long, all_rank long, doc_id long, at long"
@@ -316,9 +310,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     for width in CUTS:
         left = found.where("NOT late").groupBy("doc_id", tag).agg(F.collect_set("at").alias("places"))
         left = stored(left, "open")
-        held = docs.where(_maybe(docs, left)).alias("d")
+        held = docs.where(_maybe(left)).alias("d")
         texts = held.join(left.alias("o"), same).select("d.doc_id", "d.tag", "d.text", "o.places")
-        found = _sorted_ranks(texts.mapInArrow(_cut_rows(width), RANKED), "runs")
+        # Written first, as a sort by ranges reads its input twice.
+        found = _sorted_ranks(stored(texts.mapInArrow(_cut_rows(width), RANKED), "cut"), "runs")
         late = late.union(found.where("late").select("doc_id", "at"))
     # What is open now are the first and last of each task, which may repeat across two tasks.
     ends = found.where("NOT late").drop("late")
@@ -374,7 +369,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("tag", tag_of("text"))
     spans = repeated_spans(rows)
-    maybe = _maybe(rows, spans)
+    maybe = _maybe(spans)
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.tag") == F.col("s.tag"))
     judged = rows.where(maybe).alias("d").join(spans.alias("s"), same, "left").select("d.*", "s.spans")
     judged = judged.withColumn("cut", _cut("text", "spans")).select("doc_id", "cut.*")
