@@ -11,7 +11,7 @@ from __future__ import annotations
 E = r"""
 e AS (
   SELECT ts, u, k, v, epoch_us(ts) AS us, CAST(ts AS DATE) AS d, CAST(u AS VARCHAR) AS usr,
-    CASE kind WHEN 'signup' THEN 'first_open' WHEN 'view' THEN {view} WHEN 'click' THEN 'level_start'
+    CASE kind WHEN 'signup' THEN CASE WHEN u % 29 = 5 THEN 'session_start' ELSE 'first_open' END WHEN 'view' THEN {view} WHEN 'click' THEN 'level_start'
       WHEN 'error' THEN 'level_end' WHEN 'purchase' THEN {pay} END AS ev,
     '1.0.' || CAST(7 + (u + (CASE WHEN k % 10 = 0 THEN 1 ELSE 0 END)) % 3 AS VARCHAR) AS ver,
     CASE WHEN u % 7 = 0 THEN 'China' WHEN u % 11 = 0 THEN NULL
@@ -22,15 +22,15 @@ e AS (
     CASE WHEN kind = 'error' THEN ['win', 'lose', 'quit', NULL][(k // 4) % 4 + 1] END AS res,
     CASE WHEN kind <> 'error' THEN NULL WHEN k % 13 = 0 THEN 'bad'
       WHEN k % 2 = 1 THEN CAST(CAST(k + 0.5 AS DOUBLE) AS VARCHAR) ELSE CAST(k AS VARCHAR) END AS dur,
-    CASE WHEN kind <> 'purchase' THEN NULL WHEN k % 7 = 0 THEN v WHEN k % 5 = 0 THEN floor(v)
-      ELSE v END AS val,
-    CASE WHEN kind = 'purchase' AND k % 7 <> 0 AND k % 5 <> 0 THEN v END AS val_real,
+    CASE WHEN kind <> 'purchase' OR u % 9 = 4 OR k % 23 = 0 THEN NULL WHEN k % 7 = 0 THEN v
+      WHEN k % 5 = 0 THEN floor(v) ELSE v END AS val,
+    CASE WHEN kind = 'purchase' AND u % 9 <> 4 AND k % 23 <> 0 AND k % 7 <> 0 AND k % 5 <> 0 THEN v END AS val_real,
     CASE WHEN kind = 'purchase' THEN
       ['BANNER', 'mrec', 'MEDIUM_RECT', 'Interstitial', 'rewarded', 'native'][k % 6 + 1] END AS fmt,
     CASE WHEN kind = 'purchase' THEN
       ['BANNER', 'MREC', 'MREC', 'INTER', 'REWARDED', 'OTHER'][k % 6 + 1] END AS grp,
     CAST(u * 1000 + day(ts) AS BIGINT) AS sid,
-    (day(ts) - 1) // 10 + 1 AS snum,
+    (day(ts) - 1) // 10 + 1 AS snum, 'm' || CAST(u % 4 AS VARCHAR) AS med,
     ['1', 'TRUE', '0', 'f', '2', '3', 'Ctl', NULL][u % 8 + 1] AS arm,
     ['B', 'B', 'A', 'A', 'C', 'D', 'Ctl', NULL][u % 8 + 1] AS arm_label
   FROM (SELECT ts, user_id AS u, event_type AS kind, value AS v,
@@ -83,8 +83,8 @@ BAG_ENTRIES = [
     ("lose_by", END, "'l' || (k % 6)", "NULL"),
     ("result_by", "res IS NOT NULL", "res", "NULL"),
     ("result", "res IS NOT NULL", "res", "NULL"),
-    ("value", AD, "CASE WHEN k % 7 = 0 THEN CAST(v AS VARCHAR) END",
-     "CASE WHEN k % 7 <> 0 AND k % 5 = 0 THEN CAST(floor(v) AS BIGINT) END"),
+    ("value", AD, "CASE WHEN k % 7 = 0 AND u % 9 <> 4 AND k % 23 <> 0 THEN CAST(v AS VARCHAR) END",
+     "CASE WHEN k % 7 <> 0 AND k % 5 = 0 AND u % 9 <> 4 AND k % 23 <> 0 THEN CAST(floor(v) AS BIGINT) END"),
     ("currency", AD, "'USD'", "NULL"),
     ("ad_format", AD, "fmt", "NULL"),
     ("ad_network", AD, "'n' || (k % 4)", "NULL"),
@@ -150,7 +150,7 @@ def retention(days, rolling: bool = False, dims: str = "ver", names: str = "ver
         f"{cohort(where, extra)}, "
         "a AS (SELECT DISTINCT usr, d FROM e WHERE ev = 'session_start'), "
         "x AS (SELECT c.*, date_diff('day', c.j, a.d) AS n FROM c LEFT JOIN a ON a.usr = c.usr "
-        f"AND date_diff('day', c.j, a.d) BETWEEN 1 AND {last}{null_dim})",
+        f"AND date_diff('day', c.j, a.d) BETWEEN 1 AND {1000000 if rolling else last}{null_dim})",
     )
 
 
@@ -170,7 +170,7 @@ def ltv(horizons, where: str = OUTSIDE, dims: str = "ver", names: str = "ver AS
     last = max(horizons)
     extra = dims.replace("ver, ", ", ") if dims != "ver" else ""
     cols = ", ".join(
-        f"ROUND(COALESCE(SUM(val) FILTER (n BETWEEN 0 AND {h}), 0.0) / COUNT(DISTINCT usr), 6) AS ltv_d{h}"
+        f"ROUND(SUM(CASE WHEN n BETWEEN 0 AND {h} THEN val ELSE 0.0 END) / COUNT(DISTINCT usr), 6) AS ltv_d{h}"
         for h in horizons
     )
     return sql(
@@ -204,7 +204,7 @@ def funnel(event: str = "first_open", where: str = OUTSIDE, native: bool = False
         for p in shown
     ]
     lt = ", ".join(
-        f"COALESCE(SUM(val) FILTER (n BETWEEN 0 AND {h}), 0.0) / COUNT(DISTINCT usr) AS l{h}"
+        f"SUM(CASE WHEN n BETWEEN 0 AND {h} THEN val ELSE 0.0 END) / COUNT(DISTINCT usr) AS l{h}"
         for h in (0, 3, 7)
     )
     ctes = revenue_ctes(where, 7).replace(
@@ -240,7 +240,8 @@ def daily(join_event: str = "first_open", active: str = "session_start", by_vers
         f"ROUND(COUNT(DISTINCT usr) FILTER ({c}) * 100.0::DOUBLE / dau, 2) AS {rate(p)}"
         for p, c in shown.items()
     ] + [
-        f"ROUND(SUM(val) FILTER ({c}) / COUNT(*) FILTER ({c}) * 1000, 4) AS {p}_ecpm"
+        # An impression without a value counts as 0 here.
+        f"ROUND(SUM(COALESCE(val, 0.0)) FILTER ({c}) / COUNT(*) FILTER ({c}) * 1000, 4) AS {p}_ecpm"
         for p, c in shown.items()
         if p != "total"
     ]
@@ -253,7 +254,8 @@ def daily(join_event: str = "first_open", active: str = "session_start", by_vers
         + "), 0), 2) AS cohort_rr_d1 FROM g JOIN h USING (" + dim + "d)",
         f"uv AS (SELECT * FROM (SELECT usr, MIN(ver) AS ver FROM e WHERE ev = 'first_open' GROUP BY usr) WHERE {listed}), "
         f"uj AS (SELECT usr, MIN(d) AS j FROM e WHERE ev = '{join_event}' AND {listed} GROUP BY usr), "
-        f"p AS (SELECT DISTINCT e.usr, e.d, uv.ver, uj.j FROM e JOIN uv USING (usr) "
+        # All active users: whoever has a session, wherever the version and the join date come from.
+        f"p AS (SELECT DISTINCT e.usr, e.d, uv.ver, uj.j FROM e {'JOIN' if cohort_only else 'LEFT JOIN'} uv USING (usr) "
         f"{'JOIN' if cohort_only else 'LEFT JOIN'} uj USING (usr) WHERE e.ev = '{active}'), "
         f"g AS (SELECT {dim}d, COUNT(*) AS n, COUNT(*) FILTER (d = j) AS joined, "
         f"COUNT(*) FILTER (d = j + 1) AS back FROM p GROUP BY {dim}d), "
@@ -289,14 +291,14 @@ def minigame(cap: int, base: str = PLAIN, listed: str = "TRUE") -> str:
 
 
 def play(key: str = "mg", name: str = "minigame_id", where: str = "mg <> 'Home'", means: bool = False,
-         base: str = PLAIN, listed: str = "TRUE") -> str:
+         base: str = PLAIN, listed: str = "TRUE", results=("win", "lose", "quit")) -> str:
     rates = ", ".join(
         f"ROUND(COUNT(*) FILTER (res = '{r}') * 100.0::DOUBLE / NULLIF(COUNT(res), 0), 2) AS {r}_rate_pct, "
         f"ROUND(SUM(secs) FILTER (res = '{r}') / NULLIF(COUNT(DISTINCT usr) FILTER (res = '{r}'), 0), 2) "
         f"AS avg_duration_{r}_s"
-        for r in ("win", "lose", "quit")
+        for r in results
     )
-    outs = ", ".join(f"n.{r}_rate_pct, n.avg_duration_{r}_s" for r in ("win", "lose", "quit"))
+    outs = ", ".join(f"n.{r}_rate_pct, n.avg_duration_{r}_s" for r in results)
     extra = (
         ", ROUND(AVG(CAST(k % 5 AS DOUBLE)), 2) AS avg_attempt, "
         "ROUND(AVG(CASE WHEN k % 9 <> 0 THEN CAST(k % 4 AS DOUBLE) END), 2) AS avg_deaths"

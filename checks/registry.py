@@ -21,6 +21,7 @@ from playlens.functions.numbers import pct, per_mille, ratio
 from playlens.operators import ads, cohorts, filters, keys, sessions
 from playlens.plans import (
     daily_ads,
+    delivery,
     flatten,
     funnel,
     journeys,
@@ -238,13 +239,22 @@ def _(raw):
     return raw.select(USER, TS, joined.alias("actions"))
 
 
+# Entries of the bag with a value in the double slot.
+REALS = {
+    "value": "val_real", "play_time": "k * 0.75",
+    "play_duration": "CASE WHEN k % 13 <> 0 AND k % 2 = 1 THEN k + 0.5 END",
+}
+
+
 @on_raw(
     "kv_reproject",
     o.sql(
-        "SELECT key, COUNT(*) AS entries, COUNT(txt) AS texts, CAST(SUM(num) AS BIGINT) AS numbers FROM x GROUP BY key",
+        "SELECT key, COUNT(*) AS entries, COUNT(txt) AS texts, CAST(SUM(num) AS BIGINT) AS numbers, "
+        "ROUND(SUM(dbl), 4) AS reals, CAST(0 AS BIGINT) AS singles FROM x GROUP BY key",
         "x AS ("
         + " UNION ALL ".join(
-            f"SELECT '{key}' AS key, CAST({txt} AS VARCHAR) AS txt, CAST({num} AS BIGINT) AS num FROM e WHERE {cond}"
+            f"SELECT '{key}' AS key, CAST({txt} AS VARCHAR) AS txt, CAST({num} AS BIGINT) AS num, "
+            f"CAST({REALS.get(key, 'NULL')} AS DOUBLE) AS dbl FROM e WHERE {cond}"
             for key, cond, txt, num in o.BAG_ENTRIES
         )
         + ")",
@@ -256,6 +266,8 @@ def _(raw):
         F.count(F.lit(1)).alias("entries"),
         F.count("string_value").alias("texts"),
         F.sum("int_value").alias("numbers"),
+        F.round(F.sum("double_value"), 4).alias("reals"),
+        F.count("float_value").alias("singles"),
     )
 
 
@@ -574,16 +586,17 @@ def _(spark, sf_dir):
     events = event_store(spark, sf_dir)
     root = scratch_dir(spark, "day-replace")
     tables.write_events(events, root)
-    tables.replace_day(
-        events.where(F.col(NAME).isin("level_start", "level_end")), root, dt.date(2024, 1, 15)
-    )
+    day = dt.date(2024, 1, 15)
+    again = events.where(F.col(NAME).isin("level_start", "level_end") & (F.col("event_date") == F.lit(day)))
+    tables.replace_day(again, root, day)
     return day_counts(split.read_events(spark, root))
 
 
 @register("backfill", o.sql(DAY_COUNTS.format(d=o.iso("d"), w="")))
 def _(spark, sf_dir):
     root = scratch_dir(spark, "backfill")
-    tables.backfill(raw_store(spark, sf_dir), root, sample.FIRST_DAY, sample.LAST_DAY)
+    raw = raw_store(spark, sf_dir)
+    tables.backfill(raw, root, *shards.day_range(raw))
     return day_counts(split.read_events(spark, root))
 
 
@@ -595,7 +608,7 @@ def _(spark, sf_dir):
     # Two loads whose windows overlap; the second is repeated.
     raw = raw_store(spark, sf_dir)
     root = scratch_dir(spark, "append")
-    first = shards.between(raw, sample.FIRST_DAY, dt.date(2024, 1, 20))
+    first = shards.between(raw, shards.day_range(raw)[0], dt.date(2024, 1, 20))
     second = shards.since(raw, dt.date(2024, 1, 10))
     for part in (first, second, second):
         flat = flatten.flatten(part, FLATTEN_B)
@@ -703,9 +716,39 @@ def _(raw):
     return quality.staging_checks(flatten.flatten_new(raw, FLATTEN_A))
 
 
+@on_raw(
+    "dq_base",
+    o.sql(
+        " UNION ALL ".join(
+            [
+                check("unique", "surrogate_key", "0 * COUNT(*)"),
+                *[check("not_null", c, "0 * COUNT(*)") for c in ("surrogate_key", "event_date")],
+                # The parent table lacks one day.
+                check("relationship", "surrogate_key", f"COUNT(*) FILTER ({o.LOCAL_DAY} LIKE '%-07')"),
+            ]
+        )
+    ),
+)
+def _(raw):
+    flat = flatten.flatten_new(raw, FLATTEN_A)
+    base = flatten.event_base(flat, FLATTEN_A, AS_OF)
+    return quality.base_checks(base, flat.where(F.dayofmonth("event_date") != 7))
+
+
+@register(
+    "delivery_order",
+    "SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY version ORDER BY cohort_date) AS INTEGER) AS position "
+    f"FROM ({o.ltv((0, 1, 3, 7))})",
+)
+def _(spark, sf_dir):
+    report = ltv.cohort_ltv(event_store(spark, sf_dir), as_of=AS_OF)
+    return delivery.with_position(report, "cohort_ltv", within=("version",))
+
+
 @register("parity_raw_l2", o.parity())
 def _(spark, sf_dir):
-    return parity.parity_report(raw_store(spark, sf_dir), event_store(spark, sf_dir))
+    raw = raw_store(spark, sf_dir)
+    return parity.parity_report(raw, event_store(spark, sf_dir), days=shards.day_range(raw))
 
 
 @register("parity_diff", o.parity(diff=True))
@@ -733,6 +776,46 @@ def _(raw):
     return with_count(flatten.flatten_new(raw, FLATTEN_B))
 
 
+def two_loads(spark, sf_dir, spec):
+    """Two daily runs of the staging and the base table; the second is repeated."""
+    raw = raw_store(spark, sf_dir)
+    flat_root, base_root = scratch_dir(spark, "flat"), scratch_dir(spark, "base")
+    for day in (LOAD_DAY, LOAD_DAY + dt.timedelta(days=1), LOAD_DAY + dt.timedelta(days=1)):
+        tables.load_flatten(spark, raw, flat_root, spec, day)
+        tables.load_base(spark, spark.read.parquet(flat_root), base_root, spec, day)
+    return spark.read.parquet(flat_root), spark.read.parquet(base_root)
+
+
+LOAD_DAY = dt.date(2024, 1, 20)
+# One game loads the day before each run; the other two days at first, then all from two days before on.
+LOADED_A = "d BETWEEN DATE '2024-01-19' AND DATE '2024-01-20'"
+LOADED_B = "d >= DATE '2024-01-18'"
+
+
+@register("load_flatten_a", o.staged(o.STAGE_A, params=True, where=LOADED_A))
+def _(spark, sf_dir):
+    return with_count(two_loads(spark, sf_dir, FLATTEN_A)[0])
+
+
+@register("load_flatten_b", o.staged(o.STAGE_B, params=True, where=LOADED_B))
+def _(spark, sf_dir):
+    return with_count(two_loads(spark, sf_dir, FLATTEN_B)[0])
+
+
+# The later base run takes staging rows of the day before by their local date.
+BASED_A = f"d = DATE '2024-01-19' OR (d = DATE '2024-01-20' AND {o.LOCAL_DAY} = '2024-01-20')"
+
+
+@register("load_base_a", o.staged(o.STAGE_A, o.BASE_NAMES, where=BASED_A))
+def _(spark, sf_dir):
+    return two_loads(spark, sf_dir, FLATTEN_A)[1]
+
+
+@register("load_base_b", o.staged(o.STAGE_B, o.BASE_NAMES, where=LOADED_B))
+def _(spark, sf_dir):
+    return two_loads(spark, sf_dir, FLATTEN_B)[1]
+
+
 @on_raw("event_base", o.staged(o.STAGE_A, o.BASE_NAMES))
 def _(raw):
     return flatten.event_base(flatten.flatten_new(raw, FLATTEN_A), FLATTEN_A, AS_OF)
@@ -743,28 +826,44 @@ def _(raw):
     return flatten.event_base(flatten.flatten_new(raw, FLATTEN_B), FLATTEN_B, AS_OF)
 
 
-@on_raw(
-    "layer2_split",
-    o.sql(
-        f"SELECT {o.ID}, ev AS event_name, {o.iso('d')} AS event_date, CAST(NULL AS VARCHAR) AS user_id, "
-        "CAST(sid AS VARCHAR) AS ga_session_id, scr AS current_screen, "
-        "CAST(snum AS VARCHAR) AS ga_session_number, CASE WHEN ev IN ('first_open', 'session_start') THEN ver END AS app_version, "
-        "CASE WHEN ev IN ('first_open', 'session_start') THEN geo END AS geo_country, "
-        "CASE WHEN ev IN ('first_open', 'session_start') THEN CAST(u % 9 AS VARCHAR) END AS up_adset, "
-        "mg AS minigame_id, CASE WHEN ev IN ('level_start', 'level_end') THEN CAST(k % 5 AS VARCHAR) END AS attempt, "
-        "CASE WHEN ev = 'level_end' THEN res END AS result_by, dur AS play_duration, val AS value, fmt AS ad_format, "
-        "CAST(NULL AS VARCHAR) AS placement, CAST(NULL AS DOUBLE) AS reward_value, "
-        "CAST(NULL AS VARCHAR) AS engagement_time_msec FROM e"
-    ),
-)
-def _(raw):
-    shown = (
-        USER, TS, NAME, "event_date", "user_id", "ga_session_id", "current_screen",
-        "ga_session_number", "app_version", "geo_country", "up_adset", "minigame_id", "attempt", "result_by",
-        "play_duration", "value", "ad_format", "placement", "reward_value",
-        "engagement_time_msec",
-    )
-    return split.split_events(raw).select(*shown)
+# Every column of the typed table: what events of a kind carry in the sample, else NULL.
+CONTEXT_ONLY = {
+    "geo_country": "geo", "geo_region": "'r' || (u % 4)", "geo_city": "'city' || (u % 10)",
+    "device_category": "'mobile'", "device_os": "CASE WHEN u % 2 = 0 THEN 'Android' ELSE 'iOS' END",
+    "device_os_version": "CAST(10 + u % 4 AS VARCHAR)", "device_brand": "'brand' || (u % 3)",
+    "device_model": "'model' || (u % 6)", "device_language": "'en'", "app_version": "ver",
+    "app_id": "'game.app'", "install_store": "'store'", "traffic_name": "'organic'",
+    "traffic_source": "'src' || (u % 2)", "up_media_source": "med", "up_campaign": "'c' || (u % 5)",
+    "up_adset": "CAST(u % 9 AS VARCHAR)",
+}
+OWN_ONLY = {
+    "minigame_id": "mg", "attempt": f"CASE WHEN {o.BOTH} THEN CAST(k % 5 AS VARCHAR) END",
+    "deaths": f"CASE WHEN {o.END} THEN CASE WHEN k % 9 = 0 THEN 'x' ELSE CAST(k % 4 AS VARCHAR) END END",
+    "result_by": f"CASE WHEN {o.END} THEN res END", "play_duration": "dur", "value": "val", "ad_format": "fmt",
+    "currency": f"CASE WHEN {o.AD} THEN 'USD' END", "ad_platform": f"CASE WHEN {o.AD} THEN 'pf' || (k % 3) END",
+    "ad_source": f"CASE WHEN {o.AD} THEN 's' || (k % 2) END",
+}
+EVERY = {
+    "user_pseudo_id": "usr", "event_name": "ev", "event_date": o.iso("d"), "event_timestamp": "us",
+    "event_ts": "us", "ga_session_id": "CAST(sid AS VARCHAR)", "current_screen": "scr",
+    "ga_session_number": "CAST(snum AS VARCHAR)",
+}
+
+
+def typed_sql() -> str:
+    sources = EVERY | OWN_ONLY | {
+        c: f"CASE WHEN ev IN ('first_open', 'session_start') THEN {v} END" for c, v in CONTEXT_ONLY.items()
+    }
+    kinds = {f.name: "DOUBLE" if isinstance(f.dataType, T.DoubleType) else "VARCHAR" for f in split.typed_schema()}
+    return ", ".join(f'{sources.get(c, f"CAST(NULL AS {k})")} AS "{c}"' for c, k in kinds.items())
+
+
+@register("layer2_split", o.sql(f"SELECT {typed_sql()} FROM e"))
+def _(spark, sf_dir):
+    # All columns of all events, written in the table's layout and read back.
+    root = scratch_dir(spark, "split")
+    tables.write_events(split.split_events(raw_store(spark, sf_dir)), root)
+    return split.read_events(spark, root).withColumn("event_ts", F.unix_micros("event_ts"))
 
 
 WITHOUT = {"some_without_session": True}
@@ -878,6 +977,20 @@ def _(events):
     return ltv.cohort_ltv(events, as_of=AS_OF, dims=GEO)
 
 
+NETWORK = ("app_version", "up_media_source")
+NETWORK_NAMES = "ver AS version, med AS up_media_source"
+
+
+@on_events("v3_ltv_by_network", o.ltv((0, 1, 3, 7), dims="ver, med", names=NETWORK_NAMES))
+def _(events):
+    return ltv.cohort_ltv(events, as_of=AS_OF, dims=NETWORK)
+
+
+@on_events("v3_retention_by_network", o.retention(range(1, 8), dims="ver, med", names=NETWORK_NAMES))
+def _(events):
+    return retention.retention_curve(events, as_of=AS_OF, dims=NETWORK)
+
+
 @on_events("v3_retention_by_country", o.retention(range(1, 8), dims="ver, geo", names=GEO_NAMES))
 def _(events):
     return retention.retention_curve(events, as_of=AS_OF, dims=GEO)
@@ -917,6 +1030,11 @@ def _(events):
     return minigames.play_results(events, extra_means=("attempt", "deaths"))
 
 
+@on_events("v6_play_results", o.play(results=("win", "quit", "draw")))
+def _(events):
+    return minigames.play_results(events, results=("win", "quit", "draw"))
+
+
 @on_events("v6_play_one_minigame", o.play(where="mg = 'PushTheBall'"))
 def _(events):
     return minigames.play_results(events, only=("PushTheBall",))
@@ -979,6 +1097,25 @@ def _(events):
     return journeys.journey_edges(events)
 
 
+@on_events(
+    "v9_journey_versions",
+    o.sql(
+        "SELECT a AS from_step, b AS to_step, COUNT(*) AS transitions, COUNT(DISTINCT usr) AS users FROM "
+        "(SELECT usr, ev AS a, LEAD(ev) OVER (PARTITION BY usr ORDER BY us, ev) AS b FROM e WHERE snum = 1) "
+        f"WHERE b IS NOT NULL AND usr IN (SELECT usr FROM e WHERE ev = 'first_open' AND {LISTED}) GROUP BY a, b"
+    ),
+)
+def _(events):
+    return journeys.journey_edges(events, versions=TWO, new_users_only=True)
+
+
+@on_events(
+    "v4_daily_ads_all_installed", o.daily(cohort_only=False)
+)
+def _(events):
+    return daily_ads.daily_ads(events, cohort_only=False)
+
+
 @on_events(
     "v9_journey_screens",
     o.sql(

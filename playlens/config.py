@@ -106,7 +106,6 @@ class FlattenSpec:
     # newest None leaves the range open.
     first_window: tuple[int, int | None] = (1, 1)
     later_window: tuple[int, int | None] = (1, 1)
-    has_advertising_id: bool = False
 
 
 # ---------------------------------------------------------------------------
@@ -194,10 +193,9 @@ FLATTEN_B = FlattenSpec(
     action_prefix="action_seq_",
     first_window=(2, 1),
     later_window=(2, None),
-    has_advertising_id=True,
 )
 
-# Columns of the narrow base table; advertising_id only where the game has it.
+# Columns of the narrow base table; advertising_id only where the game has it.
 BASE_COLUMNS = (
     "surrogate_key", "event_name", "event_timestamp", "event_date", "user_pseudo_id",
     "ga_session_number", "ga_session_id", "app_version",

@@ -8,9 +8,8 @@ looks up the latest start at or before it.
 A single user may hold a large share of all rows, so no step puts a whole key
 into one task:
 
-1. rows with equal key and timestamp are collapsed first, with map-side
-   combining (copies of one event shrink to one row);
-2. the lookup runs inside time buckets of a key, which spread a hot key;
+1. rows are dealt once, by key and time bucket, which spreads a hot key;
+2. inside a bucket, rows of equal timestamp are collapsed and the lookup runs;
 3. only the edges of a bucket - its rows before the first start and its last
    open session, two rows at most - are carried on from bucket to bucket.
 """
@@ -48,9 +47,10 @@ def interval_sessions(
     sums = [F.sum(c).alias(n) for n, c in measures.items()]
     resum = [F.sum(n).alias(n) for n in measures]
     moments = (
-        rows.groupBy(*keys, ts)
+        rows.withColumn("bucket", bucket_of(ts, bucket_seconds))
+        .repartition(*keys, "bucket")
+        .groupBy(*keys, "bucket", ts)
         .agg(F.max("is_start").alias("is_start"), F.sum("is_member").alias("members"), *sums)
-        .withColumn("bucket", bucket_of(ts, bucket_seconds))
     )
     inside = W.partitionBy(*keys, "bucket")
     running = inside.orderBy(ts).rowsBetween(W.unboundedPreceding, W.currentRow)

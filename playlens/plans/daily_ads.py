@@ -28,20 +28,21 @@ def daily_ads(
 ) -> DataFrame:
     """Impressions, viewers, revenue per active user and day-1 return, per day.
 
-    Days on which a user only saw ads do not count. ``cohort_only=False`` keeps
-    active users without a join date as well.
+    Days on which a user only saw ads do not count. ``cohort_only=False`` counts
+    all active users, also those without a join date or a known version; with a
+    version list, only users of a listed version.
     """
     joined_on = cohort_identity(events, versions=versions, event=cohort_event, dims=())
-    users = keep_listed(user_version(events, "first_open"), VERSION, versions).join(
-        joined_on, USER, "inner" if cohort_only else "left"
-    )
+    known = keep_listed(user_version(events, "first_open"), VERSION, versions)
+    everyone = not cohort_only and not versions
+    users = known.join(joined_on, USER, "full" if everyone else "inner" if cohort_only else "left")
     active = user_day_metrics(events, active_event, extra_formats).where("is_active = 1")
     dims = [VERSION] if by_version else []
     metrics = metric_names(extra_formats)
     # (user, day) is unique, so plain counts are distinct counts.
     offset = F.datediff("event_date", "join_date")
     daily = (
-        active.join(users, USER)
+        active.join(users, USER, "left" if everyone else "inner")
         .groupBy(*dims, "event_date")
         .agg(
             F.count(USER).alias("active_user"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Sort columns of each report; a leading minus sorts downwards.
@@ -17,9 +20,19 @@ REPORT_ORDER = {
 }
 
 
+def _order(name: str) -> list:
+    return [F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in REPORT_ORDER[name]]
+
+
+def with_position(report: DataFrame, name: str, within: Sequence[str]) -> DataFrame:
+    """The report with each row's ``position`` in delivery order among rows of equal ``within``.
+
+    Unlike a total order this needs no single task: each group is numbered by itself.
+    """
+    place = F.row_number().over(W.partitionBy(*within).orderBy(*_order(name)))
+    return report.withColumn("position", place)
+
+
 def ordered(report: DataFrame, name: str) -> DataFrame:
     """The report in its delivery order, by the name of the function that made it."""
-    keys = REPORT_ORDER[name]
-    return report.orderBy(
-        *[F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in keys]
-    )
+    return report.orderBy(*_order(name))

@@ -14,7 +14,7 @@ from playlens.functions.labels import surrogate_key, variant_label
 from playlens.operators.keys import dedup_first, new_rows_only
 
 KEY = "surrogate_key"
-# Output column -> field of the raw event.
+# Output column -> field of the raw event.
 FIELDS = {
     "event_timestamp": "event_timestamp",
     "event_name": "event_name",

@@ -38,8 +38,8 @@ def funnel_monetization(
         events, versions=versions, exclude_geo=exclude_geo, event=cohort_event
     )
     metrics = metric_names(extra_formats)
-    days = _member_days(events, identity, versions, extra_formats, fanout)
-    active, paid_day = F.col("active") == 1, F.col("total_imps").isNotNull()
+    days = _member_days(events, identity, versions, extra_formats, fanout, max(horizons))
+    active, counted = F.col("active") == 1, F.col("counted")
     offset = F.datediff("event_date", "join_date")
     # Daily figures and cohort values come out of one aggregation, so impressions
     # are read and joined once. (user, version, day) is unique: counts are distinct.
@@ -51,9 +51,11 @@ def funnel_monetization(
         F.when(active, 1).otherwise(0).alias("dau"),
         F.when(active & (offset == 0), 1).otherwise(0).alias("new_users"),
         *[F.when(active, F.coalesce(F.col(m), F.lit(0))).otherwise(0).alias(m) for m in metrics],
+        # As in a sum over ad days within the longest horizon: those past the shorter one count
+        # 0, those without a value nothing, a member without such days 0 once.
         *[
-            F.when(paid_day & offset.between(0, h), F.col("credited"))
-            .otherwise(F.lit(0.0))
+            F.when(counted & offset.between(0, h), F.col("credited"))
+            .when(counted | ((F.col("member") == 1) & (F.col("counted_days") == 0)), F.lit(0.0))
             .alias(f"rev_d{h}")
             for h in horizons
         ],
@@ -111,12 +113,14 @@ def _member_days(
     versions: Sequence[str],
     extra_formats: ExtraFormats | None,
     fanout: str,
+    horizon: int,
 ) -> DataFrame:
     """One row per cohort member and day with activity or impressions.
 
     Activity counts for the member of the same version, impressions for every
     version of the user. A member without any such day keeps one row with a NULL
-    day. ``member`` is 1 on one row of each member.
+    day. ``member`` is 1 on one row of each member; ``counted`` marks days with impressions up
+    to ``horizon`` days after the join, ``counted_days`` is the member's number of them.
     """
     metrics = metric_names(extra_formats)
     active = active_days(events, versions=versions, by=(VERSION,)).select(
@@ -138,7 +142,11 @@ def _member_days(
         )
     )
     order = F.row_number().over(W.partitionBy(USER, VERSION).orderBy("event_date"))
+    near = F.datediff("event_date", "join_date").between(0, horizon)
+    counted = F.coalesce(F.col("total_imps").isNotNull() & near, F.lit(False))
     return days.select(
+        counted.alias("counted"),
+        F.count_if(counted).over(W.partitionBy(USER, VERSION)).alias("counted_days"),
         VERSION,
         "join_date",
         "event_date",

@@ -21,12 +21,15 @@ def journey_edges(
     events: DataFrame,
     *,
     step: str = "event_name",
+    versions: Sequence[str] = (),
+    new_users_only: bool = False,
     session_number: str = FIRST_SESSION,
     bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Transitions between consecutive steps: (from_step, to_step, transitions, users).
 
-    Events of a user at the same instant are ordered by step. Equal events are
+    ``new_users_only`` keeps users with a first open; ``versions`` keeps those whose first
+    open was in one of them. Events of a user at the same instant are ordered by step. Equal events are
     collapsed to one row with a count, and a user's stream is cut into time
     buckets whose ends are linked afterwards, so a hot user is spread over tasks.
     """
@@ -55,12 +58,18 @@ def journey_edges(
         F.struct(F.col("to_step").alias("to_step"), F.lit(1).cast("long").alias("n")),
         F.struct(F.col("step").alias("to_step"), (F.col("n") - 1).alias("n")),
     )
-    return (
+    per_user = (
         linked.select(USER, F.col("step").alias("from_step"), F.explode(hops).alias("hop"))
         .where("hop.to_step IS NOT NULL AND hop.n > 0")
         .groupBy(USER, "from_step", F.col("hop.to_step").alias("to_step"))
         .agg(F.sum("hop.n").alias("n"))
-        .groupBy("from_step", "to_step")
+    )
+    if versions or new_users_only:
+        # Users are looked up after their hops are summed, so the join sees no events.
+        users = cohort_identity(events, versions=versions).select(USER).distinct()
+        per_user = per_user.join(users, USER, "left_semi")
+    return (
+        per_user.groupBy("from_step", "to_step")
         .agg(F.sum("n").alias("transitions"), F.count(USER).alias("users"))
     )
 

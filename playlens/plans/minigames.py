@@ -30,31 +30,31 @@ def session_rows(
     other one, so the two roles are separate rows. Starts of the home screen are
     kept as boundaries: the report's base counts them.
     """
-    known = events.where(F.col(USER).isNotNull())
-    shown = F.col("event_name") == IMPRESSION
-    members = known.where(
-        ~F.col("event_name").isin(list(exclude)) & in_game(F.col("current_screen"))
-    ).select(
-        USER,
-        F.col("current_screen").alias(MINIGAME),
-        TS,
-        F.lit(0).alias("is_start"),
-        F.lit(1).alias("is_member"),
-        F.when(shown, 1).otherwise(0).alias("shown"),
-        F.when(shown, F.coalesce("value", F.lit(0.0))).otherwise(0.0).alias("earned"),
+    name, screen = F.col("event_name"), F.col("current_screen")
+    shown = name == IMPRESSION
+
+    def role(start: int, minigame: Column, imps: Column, rev: Column) -> Column:
+        return F.struct(
+            minigame.alias(MINIGAME),
+            F.lit(start).alias("is_start"),
+            F.lit(1 - start).alias("is_member"),
+            imps.alias("shown"),
+            rev.alias("earned"),
+        )
+
+    is_member = ~name.isin(list(exclude)) & in_game(screen)
+    is_start = (name == "level_start") & F.col(MINIGAME).isNotNull()
+    earned = F.when(shown, F.coalesce("value", F.lit(0.0))).otherwise(0.0)
+    roles = F.array(
+        F.when(is_member, role(0, screen, F.when(shown, 1).otherwise(0), earned)),
+        F.when(is_start, role(1, F.col(MINIGAME), F.lit(0), F.lit(0.0))),
     )
-    starts = known.where(
-        (F.col("event_name") == "level_start") & F.col(MINIGAME).isNotNull()
-    ).select(
-        USER,
-        MINIGAME,
-        TS,
-        F.lit(1).alias("is_start"),
-        F.lit(0).alias("is_member"),
-        F.lit(0).alias("shown"),
-        F.lit(0.0).alias("earned"),
+    # Both roles come out of one scan.
+    return (
+        events.where(F.col(USER).isNotNull() & (is_member | is_start))
+        .select(USER, TS, F.explode(F.array_compact(roles)).alias("role"))
+        .select(USER, TS, "role.*")
     )
-    return members.unionByName(starts)
 
 
 def minigame_sessions(
@@ -148,11 +148,13 @@ def play_results(
     only: Sequence[str] = (),
     level_range: tuple[int, int] | None = None,
     extra_means: Sequence[str] = (),
+    results: Sequence[str] = RESULTS,
 ) -> DataFrame:
     """Completion, results and durations per (version, minigame).
 
     Durations are sums over plays divided by distinct players. ``only`` limits
     the minigames; ``level_range`` reads ``key`` as a level number in that range;
+    ``results`` are the values of ``result_by`` that get a rate and a duration;
     ``extra_means`` adds ``avg_<param>`` of integer parameters of the ends.
     """
     name = F.col("event_name")
@@ -172,8 +174,8 @@ def play_results(
         flag(ended).alias("ended"),
         F.count(result).alias("results"),
         F.sum(duration).alias("secs"),
-        *[F.count_if(result == r).alias(f"{r}_n") for r in RESULTS],
-        *[F.sum(F.when(result == r, duration)).alias(f"{r}_secs") for r in RESULTS],
+        *[F.count_if(result == r).alias(f"{r}_n") for r in results],
+        *[F.sum(F.when(result == r, duration)).alias(f"{r}_secs") for r in results],
         *[
             agg(F.when(ended, F.col(p).try_cast("bigint"))).alias(f"{p}_{what}")
             for p in extra_means
@@ -189,9 +191,9 @@ def play_results(
             F.nullif(F.sum("ended"), F.lit(0)).alias("users_end"),
             F.sum("results").alias("results"),
             F.sum("secs").alias("secs"),
-            *[F.sum(f"{r}_n").alias(f"{r}_n") for r in RESULTS],
-            *[F.sum(f"{r}_secs").alias(f"{r}_secs") for r in RESULTS],
-            *[F.count_if(F.col(f"{r}_n") > 0).alias(f"{r}_users") for r in RESULTS],
+            *[F.sum(f"{r}_n").alias(f"{r}_n") for r in results],
+            *[F.sum(f"{r}_secs").alias(f"{r}_secs") for r in results],
+            *[F.count_if(F.col(f"{r}_n") > 0).alias(f"{r}_users") for r in results],
             *[F.sum(f"{p}_{w}").alias(f"{p}_{w}") for p in extra_means for w in ("sum", "n")],
         )
     )
@@ -205,14 +207,14 @@ def play_results(
         F.when(ends, pct(F.col("users_end"), F.col("users_start"))).alias("complete_rate_pct"),
         *[
             F.when(ends, pct(F.col(f"{r}_n"), F.col("results"))).alias(f"{r}_rate_pct")
-            for r in RESULTS
+            for r in results
         ],
         F.when(ends, F.round(ratio(F.col("secs"), F.col("users_end")), 2))
         .alias("avg_duration_per_user_s"),
         *[
             F.when(ends, F.round(ratio(F.col(f"{r}_secs"), F.col(f"{r}_users")), 2))
             .alias(f"avg_duration_{r}_s")
-            for r in RESULTS
+            for r in results
         ],
         *[
             F.when(ends, F.round(ratio(F.col(f"{p}_sum"), F.col(f"{p}_n")), 2)).alias(f"avg_{p}")

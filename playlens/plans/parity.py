@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playlens.config import DEFAULT_EXCLUDED_GEO
@@ -12,27 +14,35 @@ from playlens.functions.bags import Bag
 from playlens.functions.numbers import per_mille, ratio
 from playlens.operators.ads import IMPRESSION
 from playlens.operators.cohorts import USER, VERSION
-from playlens.operators.filters import drop_listed
+from playlens.sources.shards import between
 
 FIGURES = ("new_users", "dau", "total_imps", "total_rev", "ecpm", "ltv_d0")
 
 
 def _figures(rows: DataFrame, source: str, exclude_geo: Sequence[str]) -> DataFrame:
-    """Figures per version from (user, version, country, event_name, rev) rows."""
-    name = F.col("event_name")
-
-    def users_of(event: str, geo: Sequence[str] = ()) -> DataFrame:
-        return drop_listed(rows.where(name == event), "country", geo).select(USER, VERSION).distinct()
+    """Figures per version from (user, version, country, event_name, rev) rows.
 
-    ads = rows.where(name == IMPRESSION).groupBy(USER).agg(
-        F.count(F.lit(1)).alias("imps"), F.sum("rev").alias("rev")
+    One pass: flags and sums per user and version, then the user's sums over all versions.
+    """
+    name = F.col("event_name")
+    listed = ~F.col("country").isin(list(exclude_geo)) if exclude_geo else F.lit(True)
+    shown = name == IMPRESSION
+    of_user = W.partitionBy(USER)
+    per_version = (
+        rows.where(name.isin("first_open", "session_start", IMPRESSION) & F.col(USER).isNotNull())
+        .groupBy(USER, VERSION)
+        .agg(
+            F.max(F.when((name == "first_open") & listed, 1)).alias("opened"),
+            F.max(F.when((name == "session_start") & F.col(VERSION).isNotNull(), 1)).alias("active"),
+            F.nullif(F.count_if(shown), F.lit(0)).alias("imps"),
+            F.sum(F.when(shown, F.col("rev"))).alias("rev"),
+        )
+        .withColumn("imps", F.sum("imps").over(of_user))
+        .withColumn("rev", F.sum("rev").over(of_user))
     )
-    active = users_of("session_start").withColumn("active", F.lit(1))
     none = F.lit(0.0)
     return (
-        users_of("first_open", exclude_geo)
-        .join(active, [USER, VERSION], "left")
-        .join(ads, USER, "left")
+        per_version.where("opened = 1")
         .groupBy(VERSION)
         .agg(
             F.count(USER).alias("new_users"),
@@ -56,10 +66,17 @@ def _figures(rows: DataFrame, source: str, exclude_geo: Sequence[str]) -> DataFr
 
 
 def parity_report(
-    raw: DataFrame, events: DataFrame, *, exclude_geo: Sequence[str] = DEFAULT_EXCLUDED_GEO
+    raw: DataFrame,
+    events: DataFrame,
+    *,
+    days: tuple[dt.date, dt.date] | None = None,
+    exclude_geo: Sequence[str] = DEFAULT_EXCLUDED_GEO,
 ) -> DataFrame:
-    """Both sources stacked. The raw side reads only the double slot of the value,
+    """Both sources stacked, over all days or a range of them. The raw side reads only the double slot of the value,
     so rows whose value arrives in another slot show up as a difference."""
+    if days:
+        raw = between(raw, *days)
+        events = events.where(F.col("event_date").between(*map(F.lit, days)))
     raw_rows = raw.select(
         USER,
         F.col("app_info.version").alias(VERSION),

@@ -62,31 +62,45 @@ def accepted_values(
     )
 
 
+def key_checks(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """Uniqueness of a key and NULL counts of columns in one pass over the table.
+
+    Rows become one per key first, combined before the shuffle, so NULL keys or copies
+    of one key do not gather in a task.
+    """
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in columns]
+    )
+    totals = per_key.agg(
+        F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("_repeated"),
+        *[F.sum(f"_{c}").alias(f"_{c}") for c in columns],
+    )
+    rows = [F.struct(*_row("unique", key, ERROR, F.col("_repeated")))]
+    rows += [F.struct(*_row("not_null", c, severity, F.col(f"_{c}"))) for c, severity in columns.items()]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def staging_checks(flat: DataFrame) -> DataFrame:
     """The checks every staging table runs after a build."""
-    return unique(flat, "surrogate_key").unionByName(
-        not_null(
-            flat,
-            {
-                "surrogate_key": ERROR,
-                "event_date": ERROR,
-                "event_name": ERROR,
-                "user_pseudo_id": ERROR,
-                "ga_session_id": WARN,
-            },
-        )
+    return key_checks(
+        flat,
+        "surrogate_key",
+        {
+            "surrogate_key": ERROR,
+            "event_date": ERROR,
+            "event_name": ERROR,
+            "user_pseudo_id": ERROR,
+            "ga_session_id": WARN,
+        },
     )
 
 
 def base_checks(base: DataFrame, flat: DataFrame) -> DataFrame:
     """The checks of the base table, with its keys looked up in staging."""
-    return (
-        unique(base, "surrogate_key")
-        .unionByName(not_null(base, {"surrogate_key": ERROR, "event_date": ERROR}))
-        .unionByName(relationship(base, flat, "surrogate_key"))
-    )
+    own = key_checks(base, "surrogate_key", {"surrogate_key": ERROR, "event_date": ERROR})
+    return own.unionByName(relationship(base, flat, "surrogate_key"))
 
 
 def report_checks(report: DataFrame, key: str) -> DataFrame:
     """A report's key column is unique and set."""
-    return unique(report, key).unionByName(not_null(report, {key: ERROR}))
+    return key_checks(report, key, {key: ERROR})

@@ -32,10 +32,13 @@ def retention_curve(
     days: Sequence[int] = WEEK,
     mode: str = "exact",
     dims: Sequence[str] = (VERSION,),
+    until: int | None = None,
 ) -> DataFrame:
     """Share of a cohort's users active on day N (or, rolling, on day >= N).
 
-    A cohort nobody of which came back within the window has NULL rates.
+    A cohort nobody of which came back within the window has NULL rates. The window is the
+    days asked for; in rolling mode it has no end unless ``until`` names its last day, so a rate does
+    not depend on which other days are asked for.
     """
     if mode not in ("exact", "rolling"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -43,7 +46,8 @@ def retention_curve(
     identity = cohort_identity(events, versions=versions, dims=dims)
     activity = active_days(events)
     day = F.datediff("event_date", "join_date")
-    came_back = day.between(1, last)
+    end = last if mode == "exact" else until
+    came_back = day >= 1 if end is None else day.between(1, end)
 
     def hit(n: int):
         return day == n if mode == "exact" else came_back & (day >= n)

@@ -21,7 +21,7 @@ BASE = (
     "user_pseudo_id", "user_id", "event_name", "event_date", "event_timestamp",
     "event_ts", "ga_session_id",
 )
-# Output column -> field of the raw event.
+# Output column -> field of the raw event.
 CONTEXT_FIELDS = {
     "geo_country": "geo.country",
     "geo_region": "geo.region",
@@ -40,7 +40,7 @@ CONTEXT_FIELDS = {
     "traffic_medium": "traffic_source.medium",
     "traffic_source": "traffic_source.source",
 }
-# Output column -> user property.
+# Output column -> user property.
 CONTEXT_PROPERTIES = {
     "up_media_source": "media_source",
     "up_campaign": "campaign",

@@ -47,19 +47,27 @@ def create_empty(df: DataFrame, root: str, partitions: Sequence[str] = (DAY,)) -
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty frame when nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(root)
-    except AnalysisException:
+    if is_first_run(spark, root):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(root)
+
+
+class StrayRows(ValueError):
+    """Rows of another day than the one that was written."""
 
 
 def replace_day(events: DataFrame, root: str, day: dt.date) -> None:
     """Replace exactly one day of the typed event table.
 
     The day's folder is overwritten statically: event partitions that get no rows
-    this time disappear (a dynamic overwrite would leave them), other days stay.
+    this time disappear (a dynamic overwrite would leave them), other days stay. Rows of
+    another day, or of none, have no place in the folder: they are counted first, which reads
+    the date alone, and raise ``StrayRows``, so none is lost unseen.
     """
-    rows = events.where(F.col(DAY) == F.lit(day)).drop(DAY)
+    of_day = F.col(DAY).eqNullSafe(F.lit(day))
+    if strays := events.where(~of_day).count():
+        raise StrayRows(f"{strays} rows are not of {day.isoformat()}")
+    rows = events.where(of_day).drop(DAY)
     (
         clustered(rows, "event_name")
         .write.mode("overwrite")
@@ -110,11 +118,10 @@ def append_days(df: DataFrame, root: str) -> None:
     clustered(df, DAY).write.mode("append").partitionBy(DAY).parquet(root)
 
 
-def _day_range(rows: DataFrame, widen: int) -> tuple[dt.date, dt.date] | None:
-    low, high = rows.agg(F.min(DAY), F.max(DAY)).first()
-    if low is None:
-        return None
-    return low - dt.timedelta(days=widen), high + dt.timedelta(days=widen)
+def _days_near(rows: DataFrame, widen: int) -> list[dt.date]:
+    """The days of the rows and their neighbours: a list as long as the calendar at most."""
+    near = F.explode(F.array(*[F.date_add(DAY, n) for n in range(-widen, widen + 1)]))
+    return [r[0] for r in rows.where(F.col(DAY).isNotNull()).select(near.alias(DAY)).distinct().collect()]
 
 
 def append_new(
@@ -128,22 +135,24 @@ def append_new(
 
     Equal keys share their timestamp, so only the days the load touches (and
     their neighbours, as the two date rules differ by less than a day) are read
-    back, keys only. ``days_from`` names a frame with the same days that is cheaper
+    back, keys only; one stray date adds its own days and not those between.
+    ``days_from`` names a frame with the same days that is cheaper
     to read than ``incoming``, such as the rows before deduplication.
     """
     dated = incoming if days_from is None else days_from
-    span = _day_range(dated.select(DAY), widen=1)
-    if span is None:
-        return
+    days = _days_near(dated.select(DAY), widen=1)
     target = read_table(spark, root, incoming.schema)
-    known = target.where(F.col(DAY).between(*[F.lit(d) for d in span])).select(key)
+    known = target.where(F.col(DAY).isin(days) | F.col(DAY).isNull()).select(key)
     append_days(new_rows_only(incoming, known, key), root)
 
 
 def is_first_run(spark: SparkSession, root: str) -> bool:
+    """Whether nothing was ever written there. Any other trouble with the table is raised."""
     try:
-        spark.read.parquet(root)
-    except AnalysisException:
+        spark.read.schema("key string").parquet(root)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return True
     return False
 

@@ -22,8 +22,8 @@ from playlens.sinks.tables import write_events
 from playlens.sources.shards import read_raw
 
 AS_OF = dt.date(2024, 1, 31)
-FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 SCREENS = ["Home", "PushTheBall", "RedLightGreenLight", "StealTheBrainrot"]
+VALUELESS = "(u % 9 = 4 OR k % 23 = 0)"
 COUNTRIES = ["Vietnam", "Brazil", "Japan"]
 FORMATS = ["BANNER", "mrec", "MEDIUM_RECT", "Interstitial", "rewarded", "native"]
 ARMS = ["1", "TRUE", "0", "f", "2", "3", "Ctl", None]
@@ -117,11 +117,12 @@ def _params(screen: str) -> str:
             (
                 paying,
                 [
+                    # All impressions of some users, and some of all, come without a value.
                     _entry(
                         "value",
-                        text="if(k % 7 = 0, value, NULL)",
-                        number="if(k % 7 <> 0 AND k % 5 = 0, floor(value), NULL)",
-                        real="if(k % 7 <> 0 AND k % 5 <> 0, value, NULL)",
+                        text=f"if(k % 7 = 0 AND NOT {VALUELESS}, value, NULL)",
+                        number=f"if(k % 7 <> 0 AND k % 5 = 0 AND NOT {VALUELESS}, floor(value), NULL)",
+                        real=f"if(k % 7 <> 0 AND k % 5 <> 0 AND NOT {VALUELESS}, value, NULL)",
                     ),
                     _entry("currency", text="'USD'"),
                     _entry("ad_format", text=_pick(FORMATS, "k % 6")),
@@ -181,6 +182,8 @@ def raw_events(
     )
     names = dict(EVENT_NAMES)
     cases = [f"WHEN kind = '{sample}' THEN '{ours}'" for sample, ours in names.items()]
+    # Users who installed before the log begins: sessions, but no first open.
+    cases.insert(0, "WHEN kind = 'signup' AND u % 29 = 5 THEN 'session_start'")
     if some_without_session:
         cases.insert(0, "WHEN kind = 'view' AND u % 13 = 0 THEN 'user_engagement'")
     if purchases:
@@ -245,8 +248,7 @@ def event_store(
     spark: SparkSession, sf_dir: str, game: Game = DEFAULT_GAME, **variant: bool
 ) -> DataFrame:
     """The typed event table split from the raw events, written once."""
-    extended = game == EXTENDED_GAME
-    key = (spark.sparkContext.applicationId, sf_dir, extended, *sorted(variant.items()))
+    key = (spark.sparkContext.applicationId, sf_dir, repr(game), *sorted(variant.items()))
     if key not in _stores:
         root = scratch_dir(spark, "events")
         write_events(split_events(raw_store(spark, sf_dir, **variant), game), root)

@@ -32,6 +32,12 @@ def between(raw: DataFrame, oldest: dt.date, newest: dt.date) -> DataFrame:
     return raw.where(F.col("shard").between(shard_of(oldest), shard_of(newest)))
 
 
+def day_range(raw: DataFrame) -> tuple[dt.date, dt.date]:
+    """First and last shard of the log; only the partition column is read."""
+    days = raw.agg(F.min("shard"), F.max("shard")).first()
+    return tuple(dt.datetime.strptime(str(d), "%Y%m%d").date() for d in days)
+
+
 def load_window(
     raw: DataFrame, spec: FlattenSpec, run_date: dt.date, first_run: bool
 ) -> DataFrame:

@@ -1,28 +1,28 @@
 """Staging load as a stream of new raw files.
 
-The same flatten step and the same append as the daily job: a run processes the
-files that arrived since the last one and stops (``availableNow``). Keys seen within
-the lateness window are dropped by the state store; the append drops older ones, so
-restarting from a checkpoint, or losing it, never duplicates a row.
+The same flatten step, the same choice among copies and the same append as the daily job:
+a run processes the files that arrived since the last one, in bounded batches, and stops
+(``availableNow``). Nothing is kept in memory between batches and no row is ever too late:
+what the table already holds is skipped by the append, so restarting from a checkpoint,
+or losing it, never duplicates or loses a row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playlens.config import FlattenSpec
-from playlens.plans.flatten import KEY, flatten
+from playlens.plans.flatten import flatten, unique_events
 from playlens.schema import RAW_EVENT
 from playlens.sinks.tables import append_new
 
-LATENESS = "2 days"
-_EVENT_TIME = "_event_time"
+FILES_PER_BATCH = 1000
 
 
-def read_raw_stream(spark: SparkSession, root: str) -> DataFrame:
-    return spark.readStream.schema(RAW_EVENT).parquet(root)
+def read_raw_stream(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """New files as a stream, so many at a time; a backlog takes more batches, not larger ones."""
+    return spark.readStream.schema(RAW_EVENT).option("maxFilesPerTrigger", files_per_batch).parquet(root)
 
 
 def stream_flatten(
@@ -31,28 +31,17 @@ def stream_flatten(
     target: str,
     checkpoint: str,
     spec: FlattenSpec,
-    lateness: str = LATENESS,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Starts one catch-up run; wait for it with ``awaitTermination()``."""
-    fresh = (
-        flatten(read_raw_stream(spark, source), spec)
-        .where(F.col(KEY).isNotNull())
-        .withColumn(_EVENT_TIME, F.timestamp_micros("event_timestamp"))
-        .withWatermark(_EVENT_TIME, lateness)
-        .dropDuplicatesWithinWatermark([KEY])
-        .drop(_EVENT_TIME)
-    )
 
     def load(batch: DataFrame, _: int) -> None:
-        # Read twice (day range, rows), so the stateful part should run once.
-        batch.persist()
-        try:
-            append_new(spark, batch, target)
-        finally:
-            batch.unpersist()
+        flat = flatten(batch, spec)
+        append_new(batch.sparkSession, unique_events(flat, spec), target, days_from=flat)
 
     return (
-        fresh.writeStream.foreachBatch(load)
+        read_raw_stream(spark, source, files_per_batch)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -198,3 +198,61 @@ def test_delivery_order(typed):
     played = ordered(play_results(events), "play_results").collect()
     assert [r.minigame_id for r in played] == ["often", "rare"]
     assert [r.date.day for r in ordered(daily_ads(events), "daily_ads").collect()] == [5, 1]
+
+
+def two_cohorts(typed, *more):
+    """A cohort whose only impression has no value, and one with a value on its first day."""
+    return typed(
+        ("first_open", "a", 0, {}),
+        ("session_start", "a", 0, {}),
+        ("ad_impression", "a", 1, {"ad_format": "BANNER"}),
+        ("first_open", "b", 1, {}),
+        ("session_start", "b", 1, {}),
+        ("ad_impression", "b", 1, {"ad_format": "BANNER", "value": 2.0}),
+        *more,
+    )
+
+
+def test_funnel_value_leaves_out_cohorts_without_any_value(typed):
+    row = funnel_monetization(two_cohorts(typed)).first()
+    # The valueless day lies past the first horizon, where it counts 0.
+    assert (row.ltv_d0, row.ltv_d3, row.ltv_d7) == (1.0, 2.0, 2.0)
+
+
+@pytest.mark.parametrize("fanout", ["compat", "fix"])
+def test_funnel_value_is_the_mean_of_cohort_values(typed, fanout):
+    more = [("first_open", "c", 1, {}), ("first_open", "c", 2, {"app_version": "2"})]
+    more += [("ad_impression", "c", d, {"value": 0.25 * d}) for d in (2, 4, 9)]
+    more += [("first_open", "d", 3, {}), ("ad_impression", "d", 20, {"value": 9.0})]
+    more += [("session_start", u, 3, {"app_version": v}) for u, v in (("c", "1"), ("c", "2"), ("d", "1"))]
+    events = two_cohorts(typed, *more)
+    cohorts = cohort_ltv(events, as_of=AS_OF, horizons=(0, 3, 7), fanout=fanout).collect()
+    for row in funnel_monetization(events, fanout=fanout).collect():
+        for h in (0, 3, 7):
+            own = [r[f"ltv_d{h}"] for r in cohorts if r.version == row.version and r[f"ltv_d{h}"] is not None]
+            assert row[f"ltv_d{h}"] == pytest.approx(sum(own) / len(own), abs=2e-6)
+
+
+def test_all_active_users_count_without_a_first_open(typed):
+    events = typed(("first_open", "a", 0, {}), ("session_start", "a", 0, {}), ("session_start", "old", 0, {}))
+    count = lambda **more: daily_ads(events, **more).first().active_user
+    assert count() == 1 and count(cohort_only=False) == 2
+    assert count(cohort_only=False, versions=("1",)) == 1
+    by_version = daily_ads(events, cohort_only=False, by_version=True).collect()
+    assert {r.version: r.active_user for r in by_version} == {"1": 1, None: 1}
+
+
+def test_rolling_rates_do_not_depend_on_other_days(typed):
+    events = typed(("first_open", "a", 0, {}), ("session_start", "a", 9, {}))
+    rate = lambda days, **more: retention_curve(
+        events, as_of=AS_OF, days=days, mode="rolling", **more
+    ).first().d1_retention
+    assert rate((1, 7)) == rate((1, 14)) == 100.0
+    assert rate((1, 7), until=7) is None
+
+
+def test_results_of_play_are_an_argument(typed):
+    ends = [("level_end", "a", 0, {"minigame_id": "m", "result_by": r}) for r in ("win", "draw", "draw", "lose")]
+    events = typed(("first_open", "a", 0, {}), ("level_start", "a", 0, {"minigame_id": "m"}), *ends)
+    row = play_results(events, results=("draw",)).first()
+    assert row.draw_rate_pct == 50.0 and "win_rate_pct" not in row

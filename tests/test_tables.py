@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from playlens.config import FLATTEN_A, FLATTEN_B, Game
@@ -218,3 +219,55 @@ def test_report_rebuild_replaces_everything(spark, tmp_path):
     for rows in ([(1,), (2,)], [(3,)]):
         tables.rebuild_report(spark.createDataFrame(rows, "a int"), root)
     assert [r.a for r in spark.read.parquet(root).collect()] == [3]
+
+
+def test_a_stray_date_does_not_widen_the_read(spark, raw, tmp_path, monkeypatch):
+    root = str(tmp_path / "flat")
+    load = lambda *events: flatten_new(raw(*events), FLATTEN_B)
+    tables.append_new(spark, load(*[event("loading", "a", day=d) for d in range(9)]), root)
+    seen = []
+
+    def spy(incoming, known, key):
+        seen.append(known)
+        return new_rows_only(incoming, known, key)
+
+    monkeypatch.setattr(tables, "new_rows_only", spy)
+    old = (dt.date(1970, 1, 1) - DAY0).days
+    tables.append_new(spark, load(event("loading", "b", day=8), event("loading", "a", day=old)), root)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    assert seen[0].count() == 2  # days 7 and 8 of nine
+    assert spark.read.parquet(root).count() == 11
+
+
+def test_rows_of_another_day_are_not_lost_unseen(spark, raw, tmp_path):
+    events = split_events(raw(event("loading", "a"), event("loading", "b", day=1)))
+    with pytest.raises(tables.StrayRows, match="1 rows"):
+        tables.replace_day(events, str(tmp_path / "events"), DAY0)
+
+
+def test_only_a_missing_path_is_a_first_run(spark, raw, tmp_path):
+    assert tables.is_first_run(spark, str(tmp_path / "none"))
+    tables.create_empty(flatten_new(raw(event("loading", "a")), FLATTEN_B), str(tmp_path / "empty"))
+    assert not tables.is_first_run(spark, str(tmp_path / "empty"))
+    with pytest.raises(Exception, match="nosuch"):  # any other trouble is not taken for a first run
+        tables.is_first_run(spark, "nosuch://host/table")
+
+
+def test_each_game_has_its_own_store(spark):
+    from playlens.sources.sample import event_store
+
+    other = Game(events={"first_open": ("foo",)})
+    sf = "/root/testdata/sf0.001"
+    assert "foo" in event_store(spark, sf, other).columns
+    assert "foo" not in event_store(spark, sf).columns
+
+
+def test_text_of_whole_doubles(raw):
+    """A whole number in the double slot reads as a double does."""
+    from playlens.functions.bags import Bag
+
+    rows = raw(event("loading", "a", event_params=[entry("x", real=3.0), entry("y", real=0.5)]))
+    texts = Bag("event_params").with_texts(rows)
+    found = texts.select(Bag("event_params").first_str("x"), Bag("event_params").first_str("y")).first()
+    assert tuple(found) == ("3", "0.5") or tuple(found) == ("3.0", "0.5")
