@@ -245,33 +245,37 @@ def _cut_rows(width: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, common = _byte_names(), LENGTH - width + 1
         for rows in batches:
-            for number, tag, text, places in zip(*(rows.column(c) for c in ("doc_id", "tag", "text", "places"))):
-                raw = np.frombuffer(text.cast(pa.binary()).as_buffer(), np.uint8)
-                packed = np.sort(places.values.to_numpy())
-                most, least = packed >> RUN_BITS & (1 << RUN_BITS) - 1, packed & (1 << RUN_BITS) - 1
-                place = packed >> SHIFT & (1 << PLACE_BITS) - 1
-                for low in range(0, len(raw), BLOCK):
-                    own = np.flatnonzero((place >= low) & (place < low + BLOCK))
-                    if not len(own):
-                        continue
-                    base = max(0, low - WINDOW)
-                    of_16 = names_of_16(raw[base : low + BLOCK + LENGTH], table)
-                    first = least[own] // width
-                    count = most[own] // width - first + 1
-                    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    run = np.repeat(first, count) + step
-                    top = np.minimum(np.repeat(most[own], count), run * width + width - 1)
-                    bottom = np.maximum(np.repeat(least[own], count), run * width)
-                    anchor = np.repeat(place[own], count)
-                    at = anchor - base
-                    rank = _joined(named(of_16, at - run * width, common), run.astype(np.uint64), STEPS[4])
-                    columns = [
-                        pa.array(rank.view(np.int64)),
-                        pa.array(_all_rank(of_16, at - top, at - bottom, top, bottom).view(np.int64)),
-                        pa.array([number.as_py()] * len(run), pa.int64()),
-                        pa.array(_packed(np.full(len(run), tag.as_py()), anchor, top, bottom)),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["rank", "all_rank", "doc_id", "at"])
+            texts = [t.as_buffer() for t in rows.column("text").cast(pa.large_binary())]
+            lengths = np.array([t.size for t in texts], np.int64)
+            places, tags = rows.column("places"), rows.column("tag").to_numpy()
+            packed, doc = places.flatten().to_numpy(), np.repeat(np.arange(len(texts)), np.diff(places.offsets))
+            most, least = packed >> RUN_BITS & (1 << RUN_BITS) - 1, packed & (1 << RUN_BITS) - 1
+            place = packed >> SHIFT & (1 << PLACE_BITS) - 1
+            for a, b, low, high in _blocks(lengths):
+                own = np.arange(*np.searchsorted(doc, (a, b)))
+                own = own[(place[own] >= low) & (place[own] < (high if high >= 0 else 1 << PLACE_BITS))]
+                if not len(own):
+                    continue
+                base = max(0, low - WINDOW)
+                stop = high + LENGTH if high >= 0 else None
+                raw = np.concatenate([np.frombuffer(t, np.uint8) for t in texts[a:b]])[base:stop]
+                of_16 = names_of_16(raw, table)
+                begin = np.cumsum(lengths[a:b]) - lengths[a:b] - base
+                first = least[own] // width
+                count = most[own] // width - first + 1
+                own, first = np.repeat(own, count), np.repeat(first, count)
+                run = first + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+                top = np.minimum(most[own], run * width + width - 1)
+                bottom = np.maximum(least[own], run * width)
+                at = place[own] + begin[doc[own] - a]
+                rank = _joined(named(of_16, at - run * width, common), run.astype(np.uint64), STEPS[4])
+                columns = [
+                    pa.array(rank.view(np.int64)),
+                    pa.array(_all_rank(of_16, at - top, at - bottom, top, bottom).view(np.int64)),
+                    rows.column("doc_id").take(pa.array(doc[own])),
+                    pa.array(_packed(tags[doc[own]], place[own], top, bottom)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["rank", "all_rank", "doc_id", "at"])
 
     return cut
 
@@ -297,6 +301,7 @@ RANKED = "rank long, all_rank long, doc_id long, at long"
 
 def _sorted_ranks(ranked: DataFrame, label: str) -> DataFrame:
     order = ("rank", "all_rank", "doc_id", "at")
+    ranked = stored(ranked, "ranks")  # a sort by ranges reads its input twice
     dealt = ranked.repartitionByRange(*order).sortWithinPartitions(*order)
     return stored(dealt.mapInArrow(_reranked, f"{RANKED}, late boolean"), label)
 
@@ -312,8 +317,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         left = stored(left, "open")
         held = docs.where(_maybe(left)).alias("d")
         texts = held.join(left.alias("o"), same).select("d.doc_id", "d.tag", "d.text", "o.places")
-        # Written first, as a sort by ranges reads its input twice.
-        found = _sorted_ranks(stored(texts.mapInArrow(_cut_rows(width), RANKED), "cut"), "runs")
+        found = _sorted_ranks(texts.mapInArrow(_cut_rows(width), RANKED), "runs")
         late = late.union(found.where("late").select("doc_id", "at"))
     # What is open now are the first and last of each task, which may repeat across two tasks.
     ends = found.where("NOT late").drop("late")
