@@ -28,6 +28,7 @@ TRAIN_WINDOWS = 8  # windows of each such document, evenly spread
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 STEPS, BATCH, RATE, DECAY = 240, 128, 0.02, 1e-4
 CHUNK = 128
+OVERSAMPLE = 8
 UNKNOWN = "und"
 
 
@@ -139,8 +140,14 @@ def train(docs: DataFrame, per_language: int = TRAIN_ROWS) -> Network | None:
     """
     known = bounded_batches(docs).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     known = known.where(F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
+    # Only so small hashes are ranked that a language keeps about OVERSAMPLE times its share,
+    # however many documents it has.
+    counts = docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n_"))
+    few = known.select("doc_id", "lang").join(counts, "lang")
+    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(2.0**63)
+    few = few.where(share * F.col("n_") <= OVERSAMPLE * per_language)
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 1), "doc_id")
+    ids = few.withColumn("place", F.row_number().over(order))
     ids = ids.where(F.col("place") <= per_language).select(F.col("doc_id").alias("id"), F.col("lang").alias("own"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
