@@ -106,6 +106,30 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+SQL["op8_substring_dedup"] = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+place AS (SELECT doc_id, n, h, unnest(range(n)) AS i FROM d),
+named AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte, CASE WHEN i + 100 <= n THEN md5(substr(h, 2 * i + 1, 200)) END AS k
+  FROM place),
+late AS (
+  SELECT doc_id, i, byte,
+         k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS is_late FROM named),
+covered AS (
+  SELECT doc_id, i, byte, max(CASE WHEN is_late THEN i END) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM late),
+edges AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM covered),
+sums AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+         string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM edges GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+
 @register
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(documents(spark, sf_dir), min_docs=5, min_chars=40)
