@@ -173,11 +173,39 @@ def build_index(counts: DataFrame, keys: int, shard_keys: int = SHARD_KEYS) -> D
     return numbered.groupBy("shard").applyInArrow(build, "shard int, bytes long, blob binary")
 
 
-def _probe(docs: DataFrame, state: str, group: dict[int, bytes], shards: int, min_docs: int, min_chars: int):
-    """The state column with the positions of dropped lines added, as bits."""
+APPLIED = (
+    T.StructType().add("text", T.StringType()).add("n_lines", T.LongType()).add("n_dropped", T.LongType())
+)
+
+
+def _applied(texts: pa.Array, states: list[bytes | None]) -> pa.StructArray:
+    """Texts without the lines whose bits are set."""
+    kept, total, dropped = [], [], []
+    for text, state in zip(texts.to_pylist(), states):
+        lines = text.split("\n") if text else [""]
+        total.append(len(lines))
+        if state:
+            bits = np.unpackbits(np.frombuffer(state, np.uint8), count=len(lines)).tolist()
+            lines = [line for line, bit in zip(lines, bits) if not bit]
+            text = "\n".join(lines)
+        kept.append(text)
+        dropped.append(total[-1] - len(lines))
+    return pa.StructArray.from_arrays(
+        [pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(dropped, pa.int64())],
+        ["text", "n_lines", "n_dropped"],
+    )
+
+
+def _probe(
+    docs: DataFrame, state: str, group: dict[int, bytes], shards: int, min_docs: int, min_chars: int, last: bool
+) -> DataFrame:
+    """The state column with the positions of dropped lines added, as bits.
+
+    The last pass drops the lines: its state is the kept text with the numbers of lines.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(group)
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf(APPLIED if last else T.BinaryType())
     def probed(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         index = {shard: Shard.load(blob) for shard, blob in shared.value.items()}
         for ids, texts, states in parts:
@@ -209,34 +237,11 @@ def _probe(docs: DataFrame, state: str, group: dict[int, bytes], shards: int, mi
                     new = np.packbits(bits)
                     old = np.frombuffer(out[i], np.uint8) if out[i] else np.zeros(len(new), np.uint8)
                     out[i] = (new | old).tobytes()
-            yield pa.array(out, pa.binary())
+            yield _applied(texts, out) if last else pa.array(out, pa.binary())
 
     return docs.withColumn(state, probed("doc_id", "text", state))
 
 
-APPLIED = (
-    T.StructType().add("text", T.StringType()).add("n_lines", T.LongType()).add("n_dropped", T.LongType())
-)
-
-
-@F.arrow_udf(APPLIED)
-def _applied(texts: pa.Array, states: pa.Array) -> pa.Array:
-    kept, total, dropped = [], [], []
-    for text, state in zip(texts.to_pylist(), states.to_pylist()):
-        lines = text.split("\n") if text else [""]
-        total.append(len(lines))
-        if state:
-            bits = np.unpackbits(np.frombuffer(state, np.uint8), count=len(lines)).tolist()
-            lines = [line for line, bit in zip(lines, bits) if not bit]
-            text = "\n".join(lines)
-        kept.append(text)
-        dropped.append(total[-1] - len(lines))
-    return pa.StructArray.from_arrays(
-        [pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(dropped, pa.int64())],
-        ["text", "n_lines", "n_dropped"],
-    )
-
-
 def dedup_lines(
     docs: DataFrame,
     min_docs: int = 5,
@@ -263,7 +268,7 @@ def dedup_lines(
     names = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_dropped")]
     columns = ["doc_id", "text", *(f"c{i}" for i in range(len(names)))]
     out = docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(a) for c, a in zip(names, columns[2:])))
-    out = out.withColumn("dropped_bits", F.lit(None).cast("binary"))
+    out = out.withColumn("state", F.lit(None).cast("binary"))
     groups, size = [[]], 0
     for row in index.select("shard", "bytes").orderBy("shard").toLocalIterator():
         if size and size + row["bytes"] > index_bytes:
@@ -272,11 +277,11 @@ def dedup_lines(
         groups[-1].append(row["shard"])
         size += row["bytes"]
     for number, group in enumerate(groups):
+        blobs = {}
         if group:
             wanted = index.where(F.col("shard").between(group[0], group[-1]))
             blobs = {r["shard"]: bytes(r["blob"]) for r in wanted.select("shard", "blob").collect()}
-            out = stored(out, "lines-pass") if number else out
-            out = _probe(out, "dropped_bits", blobs, shards, min_docs, min_chars)
-    done = out.withColumn("kept", _applied("text", "dropped_bits"))
+        out = stored(out, "lines-pass") if number else out
+        out = _probe(out, "state", blobs, shards, min_docs, min_chars, last=number == len(groups) - 1)
     back = [F.col(a).alias(c) for c, a in zip(names, columns[2:])]
-    return done.select("doc_id", F.col("kept.text").alias("text"), *back, "kept.n_lines", "kept.n_dropped")
+    return out.select("doc_id", F.col("state.text").alias("text"), *back, "state.n_lines", "state.n_dropped")
