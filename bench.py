@@ -24,9 +24,7 @@ HEADLINE = (
     "flatten_a",
     "flatten_b",
     "event_base",
-    "load_flatten_b",
     "load_base_b",
-    "backfill",
     "r2_minigame",
     "r3_funnel",
     "r4_ltv",
