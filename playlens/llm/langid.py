@@ -143,7 +143,7 @@ def train(docs: DataFrame, per_language: int = TRAIN_ROWS) -> Network | None:
     # Only so small hashes are ranked that a language keeps about OVERSAMPLE times its share,
     # however many documents it has.
     counts = docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n_"))
-    few = known.select("doc_id", "lang").join(counts, "lang")
+    few = known.select("doc_id", "lang").join(F.broadcast(counts), "lang")  # a row for each language
     share = F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(2.0**63)
     few = few.where(share * F.col("n_") <= OVERSAMPLE * per_language)
     order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 1), "doc_id")
