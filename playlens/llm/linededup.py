@@ -138,8 +138,11 @@ class Shard:
 NO_DOC = -(2**63)
 
 
-def line_counts(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``(h, print, n_docs, keeper)`` of every line key of ``docs(doc_id, text)``."""
+def line_counts(docs: DataFrame, min_chars: int, by_number: bool = False) -> DataFrame:
+    """``(h, print, n_docs, keeper)`` of every line key of ``docs(doc_id, text)``.
+
+    ``by_number``: rows of one number are one document, rows without a number one each.
+    """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -156,7 +159,11 @@ def line_counts(docs: DataFrame, min_chars: int) -> DataFrame:
             )
 
     rows = docs.mapInArrow(keys, "h long, print long, doc_id long")
-    return rows.groupBy("h", "print").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    if not by_number:
+        return rows.groupBy("h", "print").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    once = rows.groupBy("h", "print", "doc_id").agg(F.count("*").alias("n_"))
+    n_docs = F.sum(F.when(F.col("doc_id").isNull(), F.col("n_")).otherwise(1)).alias("n_docs")
+    return once.groupBy("h", "print").agg(n_docs, F.max("doc_id").alias("keeper"))
 
 
 def build_index(counts: DataFrame, keys: int, shard_keys: int = SHARD_KEYS) -> DataFrame:
@@ -248,20 +255,21 @@ def dedup_lines(
     min_chars: int = 40,
     index_bytes: int = INDEX_BYTES,
     shard_keys: int = SHARD_KEYS,
+    by_number: bool = False,
 ) -> DataFrame:
     """``docs(doc_id, text, …)`` with repeated lines dropped, plus ``n_lines``, ``n_dropped``.
 
     A line's key is the line without white space at its ends and with A-Z lower-cased.
-    Keys of at least ``min_chars`` code points found in at least ``min_docs`` rows lose
+    Keys of at least ``min_chars`` code points found in at least ``min_docs`` documents lose
     their lines everywhere but in the largest ``doc_id`` that holds them. NULL and empty texts
     are one empty line and stay as they are; a text all of whose lines go becomes
-    empty. Repeated rows count as documents of their own, and all rows of the keeping
-    number keep the line. A row without a number keeps a line only if no holder has
+    empty. Repeated rows count as documents of their own, or with ``by_number`` as one document
+    (rows without a number one each), and all rows of the keeping number keep the line. A row without a number keeps a line only if no holder has
     one. Other columns stay; ``n_lines`` and ``n_dropped`` replace columns so named. An
     empty table gives no rows.
     """
     plain = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = stored(line_counts(plain, min_chars).where(F.col("n_docs") >= min_docs), "lines")
+    counts = stored(line_counts(plain, min_chars, by_number).where(F.col("n_docs") >= min_docs), "lines")
     keys = counts.count()
     index = stored(build_index(counts, keys, shard_keys), "line-index")
     shards = split_count(keys, shard_keys)

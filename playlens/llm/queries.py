@@ -132,7 +132,7 @@ FROM d LEFT JOIN sums USING (doc_id)
 
 @register
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedup_lines(documents(spark, sf_dir), min_docs=5, min_chars=40)
+    kept = dedup_lines(documents(spark, sf_dir), min_docs=5, min_chars=40, by_number=True)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 

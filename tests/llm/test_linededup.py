@@ -5,7 +5,9 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from playlens.llm.linededup import PerfectHash, Shard, dedup_lines
+from playlens.llm.queries import op9_line_dedup
 
 from .helpers import frame, odd_documents, texts
 
@@ -59,6 +61,21 @@ def test_other_columns_stay(spark):
     assert dedup_lines(frame(spark, [])).collect() == []
 
 
+def test_repeated_rows_count_once(spark, tmp_path):
+    line = "a line of some length that several documents hold"
+    rows = [(i, f"{line}\nown {i}", "x") for i in (1, 2, 3, 4, 4, 4)]
+
+    def dropped(table):
+        path = f"{tmp_path}/{len(table)}"
+        frame(spark, table).write.parquet(f"{path}/documents.parquet")
+        return sorted((r.doc_id, r.n_dropped) for r in op9_line_dedup(spark, path).collect())
+
+    assert not any(n for _, n in dropped(rows))
+    staged = corpus_pipeline.drop_repeated_lines(spark, frame(spark, rows), "")
+    assert all(line in r.text for r in staged.collect())
+    assert dropped([*rows, (5, line, "x")]) == [(1, 1), (2, 1), (3, 1), (4, 1), (4, 1), (4, 1), (5, 0)]
+
+
 def test_perfect_hash_is_minimal():
     keys = np.random.default_rng(1).integers(-(2**63), 2**63, 5000)
     slots = PerfectHash(np.unique(keys)).slots(np.unique(keys))
