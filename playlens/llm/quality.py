@@ -170,13 +170,17 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int
     """A forest from at most ``rows`` labelled documents that are not held out.
 
     The sample is the labelled rows of least hash, so it is the same on every run and
-    its size does not grow with the table. Rows without a label or a number are left out.
+    its size does not grow with the table. Of a number with several texts the one of least hash
+    is taken. Rows without a label or a number are left out.
     """
     known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     sample = known.select(F.col("doc_id").alias("labelled_id"), F.col(target).cast("double").alias("label"))
     sample = sample.orderBy(F.xxhash64("labelled_id"), "labelled_id", "label").limit(rows)
-    joined = bounded_batches(docs).join(F.broadcast(sample), docs.doc_id == sample.labelled_id)  # bounded by ``rows``
-    found = joined.select("labelled_id", features(F.col("text")).alias("features"), "label").limit(2 * rows).collect()
+    ids = sample.select("labelled_id").distinct()
+    joined = bounded_batches(docs).join(F.broadcast(ids), docs.doc_id == ids.labelled_id)  # bounded by ``rows``
+    least = joined.groupBy("labelled_id").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+    single = least.select("labelled_id", features(F.col("least.text")).alias("features"))
+    found = single.join(F.broadcast(sample), "labelled_id").select("labelled_id", "features", "label").collect()
     found.sort()
     x = np.array([r["features"] for r in found]).reshape(-1, FEATURES)
     return fit(x, np.array([r["label"] for r in found]))

@@ -26,6 +26,14 @@ def held(number):
     return zlib.crc32(str(number).encode()) % 5 == 0
 
 
+def test_a_repeated_number_is_one_example(spark):
+    one, two = [n for n in range(20) if not held(n)][:2]
+    docs = [(one, f"text {i}", "x") for i in range(40)] + [(two, "another", "x")]
+    labels = spark.createDataFrame([(one, 1), (two, 0)], "doc_id long, quality int")
+    forests = [quality.train(frame(spark, d).coalesce(1), labels, rows=2) for d in (docs, docs[::-1])]
+    assert forests[0].base == forests[1].base == 0  # one good and one bad, whatever comes first
+
+
 def test_quality_of_held_out_documents(spark):
     docs, labels = labelled()
     # Wrong labels on everything held out: they must not matter.
