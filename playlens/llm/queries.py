@@ -13,8 +13,10 @@ from playlens.llm.decontaminate import decontaminate
 from playlens.llm.linededup import dedup_lines
 from playlens.llm.mtree import top_k
 from playlens.llm.packing import pack_documents
+from playlens.llm.resample import resample
 from playlens.llm.sharding import balanced_shards
 from playlens.llm.simhash import near_duplicates
+from playlens.llm.spelling import spelling_variants
 from playlens.llm.substrings import remove_repeats
 from playlens.llm.tokens import default_tokenizer
 from playlens.llm.trainorder import write_training_order
@@ -194,3 +196,94 @@ SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(item
        coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@register
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "benchmark").select("text")
+    return resample(documents(spark, sf_dir), target, low=1, high=1, buckets=10_000, percent=10, min_words=20)
+
+
+# CRC-32 of the column ``x``, a byte at a time by the usual table of 256 steps.
+CRC_TABLE = """
+crc_table AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps)"""
+CRC_OF_X = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(0, length(hex(encode(x))) // 2), lambda i: ('0x' || substr(hex(encode(x)), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])))"""
+
+SQL["op11_importance_resampling"] = (
+    f"""
+WITH {CRC_TABLE},
+text AS (
+  SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 't', NULL, text FROM benchmark),
+doc AS (
+  SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM text),
+word AS (SELECT side, doc_id, x, count(*) AS n FROM (SELECT side, doc_id, unnest(w) AS x FROM doc) GROUP BY ALL),
+known AS (SELECT x, {CRC_OF_X} % 10000 AS bucket FROM (SELECT DISTINCT x FROM word), crc_table),
+sums AS (
+  SELECT bucket, sum(n) FILTER (WHERE side = 'd') AS s, sum(n) FILTER (WHERE side = 't') AS t
+  FROM word JOIN known USING (x) GROUP BY bucket),
+whole AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM sums),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all + 10000)
+         / ((coalesce(s, 0)::DOUBLE + 1) * (t_all + 10000))))::BIGINT AS g FROM sums, whole),
+weight AS (
+  SELECT doc_id, sum(n * g)::BIGINT AS weight FROM word JOIN known USING (x) JOIN gain USING (bucket)
+  WHERE side = 'd' GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln(((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT) + 0.5::DOUBLE)
+         / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM doc LEFT JOIN weight USING (doc_id) WHERE side = 'd'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+         count(*) FILTER (WHERE n_features >= 20) OVER () AS many FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= many * 10 // 100 THEN place END AS rank
+FROM ranked
+"""
+)
+
+
+@register
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir), min_length=7, min_count=2, ratio=10, every=31)
+
+
+SQL["op12_spelling_variants"] = (
+    f"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (
+  SELECT doc_id, r, count(*) AS n, doc_id || ':' || r AS x FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS r FROM documents)
+  WHERE length(r) >= 7 GROUP BY ALL),
+hashed AS (SELECT r, n, {CRC_OF_X} AS h FROM run, crc_table),
+result AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, (h % length(r))::INTEGER) || substr(r, (h % length(r))::INTEGER + 2)
+         ELSE r END AS word, n FROM hashed),
+word AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM result WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i::INTEGER - 1) || substr(word, i::INTEGER + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+pair AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN word b ON a.rest = b.word),
+near AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most, arg_min(other, (-other_n, other)) AS best FROM pair GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN best END AS form,
+         CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM word LEFT JOIN near USING (word)),
+walk AS (
+  SELECT word, word AS root, 0 AS steps FROM formed
+  UNION ALL SELECT walk.word, formed.form, steps + 1 FROM walk JOIN formed ON formed.word = walk.root WHERE formed.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)
+"""
+)
