@@ -24,7 +24,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._written_to = path
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that ``stored`` wrote, once everything made from them is written itself."""
+    for df in frames:
+        path = getattr(df, "_written_to", None)
+        if path is not None:
+            jvm, hadoop = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:

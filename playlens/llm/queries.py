@@ -14,6 +14,7 @@ from playlens.llm.linededup import dedup_lines
 from playlens.llm.mtree import top_k
 from playlens.llm.packing import pack_documents
 from playlens.llm.resample import resample
+from playlens.llm.setjoin import Rule, similar_documents
 from playlens.llm.sharding import balanced_shards
 from playlens.llm.simhash import near_duplicates
 from playlens.llm.spelling import spelling_variants
@@ -287,3 +288,33 @@ last AS (SELECT word, arg_max(root, steps) AS root FROM walk GROUP BY word)
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN last USING (word)
 """
 )
+
+
+@register
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similar_documents(documents(spark, sf_dir), Rule(shingle=4, num=85, den=100))
+    # A document without words is linked with nothing.
+    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", alone.alias("component_id"))
+
+
+SQL["op13_jaccard_join"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS s FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS p FROM doc WHERE len(w) > 0)),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingle a JOIN shingle b USING (s)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+  WHERE 100 * shared.n >= 85 * (a.n + b.n - shared.n)),
+edge AS MATERIALIZED (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT x, y FROM edge UNION SELECT reach.x, edge.y FROM reach JOIN edge ON edge.x = reach.y),
+least AS (SELECT x, min(y) AS low FROM reach GROUP BY x)
+SELECT doc.doc_id, coalesce(size.n, 0) AS n_shingles, least(doc.doc_id, coalesce(low, doc.doc_id)) AS component_id
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least ON least.x = doc.doc_id
+"""
