@@ -1070,7 +1070,7 @@ def _(events):
         "SELECT variant, COUNT(DISTINCT usr) AS users, CAST(SUM(CAST(day_row AS INTEGER)) AS BIGINT) AS active_user_days, "
         "COUNT(grp) AS impressions, ROUND(COALESCE(SUM(val), 0.0), 2) AS revenue, "
         "ROUND(COALESCE(SUM(val), 0.0) / SUM(CAST(day_row AS INTEGER)), 6) AS arpdau, "
-        "ROUND(SUM(val) / NULLIF(COUNT(grp), 0) * 1000, 4) AS ecpm, "
+        "ROUND(SUM(COALESCE(val, 0.0)) / NULLIF(COUNT(grp), 0) * 1000, 4) AS ecpm, "
         "ROUND(COALESCE(SUM(val), 0.0) / COUNT(DISTINCT usr), 6) AS arpu FROM z GROUP BY variant",
         "a AS (SELECT DISTINCT usr, d, arm_label AS variant FROM e WHERE ev = 'session_start' AND arm IS NOT NULL "
         "AND usr IN (SELECT usr FROM e WHERE ev = 'first_open')), "
