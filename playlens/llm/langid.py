@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from playlens.llm.common import bounded_batches, held_out
+from playlens.llm.common import bounded_batches, held_out, stored
 
 TRAIN_ROWS = 600  # documents of each language
+TRAIN_TOTAL = 60_000  # documents of all languages, and languages, at most
 TRAIN_WINDOWS = 8  # windows of each such document, evenly spread
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 STEPS, BATCH, RATE, DECAY = 240, 128, 0.02, 1e-4
@@ -132,23 +133,41 @@ class Predictor:
         return np.concatenate(out)
 
 
-def train(docs: DataFrame, per_language: int = TRAIN_ROWS) -> Network | None:
+def _chosen(known: DataFrame, per_language: int, total: int) -> DataFrame:
+    """``(doc_id, lang, own)``: the documents to learn from, with the hash of the text that counts."""
+    one = stored(known.groupBy("lang", "doc_id").agg(F.min(F.xxhash64("text")).alias("own")), "labelled")
+    counts = one.groupBy("lang").agg(F.count("*").alias("n_"))
+    counts = stored(counts.orderBy(F.desc("n_"), "lang").limit(total), "languages")
+    languages = counts.count()
+    each = max(1, min(per_language, total // max(1, languages)))
+    counts = F.broadcast(counts)  # ``total`` rows at most
+    # The least hashes of a language lie among those below about OVERSAMPLE times its share, so only these are
+    # ranked; should they not be enough, all are.
+    rank = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    known = one.join(counts, "lang").withColumn("rank_", rank)
+    few = known.where(F.col("rank_") / F.lit(2.0**63) * F.col("n_") <= OVERSAMPLE * each)
+    enough = few.groupBy("lang").count().where(F.col("count") >= each)
+    small = one.join(counts, "lang").where(F.col("n_") * 1.0 <= OVERSAMPLE * each).select("lang").distinct()
+    if enough.select("lang").union(small).distinct().count() < languages:
+        few = known
+    order = Window.partitionBy("lang").orderBy("rank_", "doc_id")
+    ids = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    return ids.select("doc_id", "lang", "own")
+
+
+def train(docs: DataFrame, per_language: int = TRAIN_ROWS, total: int = TRAIN_TOTAL) -> Network | None:
     """A network from ``docs(doc_id, text, lang)``; None if there is nothing to learn from.
 
-    At most ``per_language`` documents of each language are taken, those of least hash
-    that are not held out and have a letter, and ``TRAIN_WINDOWS`` windows of each.
+    ``per_language`` documents of each language are taken, or all it has: those of least hash that have a number, are
+    not held out and have a letter; ``TRAIN_WINDOWS`` windows of each, spread over its whole text. With many
+    languages each has an equal share of ``total``; of more than ``total`` languages the most frequent are
+    learned. A document counts once however often its row is repeated, with the text of least hash if it has
+    several, and once for each language it is labelled with.
     """
-    known = bounded_batches(docs).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    known = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    known = known.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     known = known.where(F.col("text").rlike(r"\p{L}"))
-    # Only so small hashes are ranked that a language keeps about OVERSAMPLE times its share,
-    # however many documents it has.
-    counts = docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n_"))
-    few = known.select("doc_id", "lang").join(F.broadcast(counts), "lang")  # a row for each language
-    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(2.0**63)
-    few = few.where(share * F.col("n_") <= OVERSAMPLE * per_language)
-    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 1), "doc_id")
-    ids = few.withColumn("place", F.row_number().over(order))
-    ids = ids.where(F.col("place") <= per_language).select(F.col("doc_id").alias("id"), F.col("lang").alias("own"))
+    ids = _chosen(known, per_language, total)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -162,9 +181,9 @@ def train(docs: DataFrame, per_language: int = TRAIN_ROWS) -> Network | None:
             columns = [pa.array(numbers, pa.int64()), pa.array(langs, pa.string()), pa.array(parts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "part"])
 
-    # Bounded by ``per_language`` rows of each language.
-    chosen = known.join(F.broadcast(ids), (known.doc_id == ids.id) & (known.lang == ids.own))
-    chosen = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    # ``total`` rows at most. Repeated rows are one before they leave their task.
+    of_ids = known.withColumn("own", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "lang", "own"])
+    chosen = of_ids.groupBy("doc_id", "lang").agg(F.first("text").alias("text"))
     rows = sorted(tuple(r) for r in chosen.mapInArrow(cut, "doc_id long, lang string, part binary").collect())
     languages = tuple(sorted({r[1] for r in rows}))
     if not languages:
@@ -205,7 +224,7 @@ def predict_language(text: str | Column, network: Network | None) -> Column:
 def identify_languages(docs: DataFrame, network: Network | None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` from the whole text alone.
 
-    Repeated rows are judged alike; other columns stay, but for those named as an added
+    Repeated rows are judged alike, very long texts window by window; other columns stay, but for those named as an added
     one; an empty table gives no rows.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]

@@ -5,8 +5,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from playlens.llm import langid, quality
+from playlens.llm.common import held_out
 
 from .helpers import frame, odd_documents, sentence
 
@@ -102,6 +104,44 @@ def test_languages_of_whole_texts(spark):
     assert all(0 <= r.score <= 1 for r in rows_found.values())
 
 
+def learned(monkeypatch):
+    """What a training run hands to the network."""
+    got = {}
+
+    def fit(x, y, languages, **_):
+        got.update(windows=len(x), counts=np.bincount(y).tolist(), languages=languages)
+
+    monkeypatch.setattr(langid, "fit", fit)
+    return got
+
+
+def test_repeated_rows_are_learned_once(spark, monkeypatch):
+    """One number, and one lang, hold more than half of all rows."""
+    got = learned(monkeypatch)
+    rows = [(i, WORDS["aa"][0], "aa") for i in range(40)] + [(2, "the other text of two", "aa")] * 300 + [(i, "ein", "bb") for i in range(40)]
+    langid.train(frame(spark, rows, "lang"), per_language=30)
+    assert got["languages"] == ("aa", "bb") and got["counts"] == [30, 30]
+
+
+def test_rows_that_teach_nothing_do_not_push_others_out(spark, monkeypatch):
+    got = learned(monkeypatch)
+    rows = [(i, None if i % 50 else "the word", "aa") for i in range(10_000)] + [(i, "1 2 3", "bb") for i in range(9000)]
+    rows += [(20_000 + i, "wort", "bb") for i in range(20)]
+    docs = frame(spark, rows, "lang")
+    may = lambda some: docs.where(some & F.col("text").rlike("[a-z]") & ~held_out("doc_id")).count()
+    langid.train(docs, per_language=100)
+    assert got["counts"] == [min(100, may(F.col("lang") == "aa")), may(F.col("lang") == "bb")]
+
+
+def test_many_languages_share_the_bound(spark, monkeypatch):
+    got = learned(monkeypatch)
+    docs = frame(spark, [(i, "word", f"l{i % 40:02d}") for i in range(800)], "lang")
+    langid.train(docs, per_language=100, total=80)
+    assert got["counts"] == [2] * 40
+    langid.train(docs, per_language=100, total=10)
+    assert len(got["counts"]) == 10 and set(got["counts"]) == {1}
+
+
 def test_the_end_of_a_text_counts(spark):
     network = langid.train(frame(spark, spoken(), "lang"), per_language=60)
     late = "1 " * 100 + " ".join(WORDS["bb"] * 400)
