@@ -4,7 +4,9 @@ Documents start in shards of equal counts. In each round every group of linked d
 names the shard that holds most of it, and its members elsewhere want to move there.
 How many may move between two shards is a quota: a shard takes no more than it can
 make up for by sending documents without links the other way, so the counts stay as
-they are. The rounds end when no move is wanted or none is possible.
+they are. At first a group names the shard that holds most of it; where that no longer helps, any of its shards by a
+hash of the round, so that opposite moves arise and cancel. The rounds end when no group is split or
+``PATIENCE`` rounds in a row bring no group into fewer shards.
 
 Sizes per group and shard are combined before they are shuffled. A group larger than a
 quarter of a shard is cut into parts by a hash, so that a group with a third of all rows
@@ -18,10 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playlens.llm.common import split_count, stored
+from playlens.llm.common import discard, split_count, stored
 
 PART_ROWS = 100_000
-ROUNDS = 8
+PATIENCE = 10
 
 
 def numbered(df: DataFrame, keys: list[str], place: Column, order: list[str], rows: int, name: str) -> DataFrame:
@@ -99,30 +101,44 @@ def _initial(rows: DataFrame, total: int, shards: int) -> DataFrame:
 
 
 def balanced_shards(
-    docs: DataFrame, group: Column, shards: int = 16, rounds: int = ROUNDS, id_col: str = "doc_id"
+    docs: DataFrame, group: Column, shards: int = 16, patience: int = PATIENCE, id_col: str = "doc_id"
 ) -> DataFrame:
     """``docs`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in each shard).
 
     ``group`` links the documents that share its value; NULL links nothing. Counts of
     shards differ by one at most, whatever the links. Groups stay together unless the
-    counts forbid it or they exceed a quarter of a shard. Repeated rows are documents of
-    their own, a NULL number is one like any other, and an empty table gives no rows. Columns
+    counts forbid it, they exceed a quarter of a shard, or no moves that keep the counts were found in ``patience``
+    rounds; ``split_groups`` tells which did not. Repeated rows are documents of
+    their own, a NULL number is one like any other, texts are not read, and an empty table gives no rows. Columns
     named ``shard`` or ``slot`` are replaced; all others stay.
     """
     names = [c for c in docs.columns if c not in ("shard", "slot")]
     columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
-    tie = F.xxhash64(F.col(id_col), group)
+    # The row number spreads repeated rows; it is written, so it stays what it is.
+    tie = F.xxhash64(F.col(id_col), group, F.monotonically_increasing_id())
     rows = stored(docs.select(*columns, group.alias("group_"), tie.alias("tie_")), "to-shard")
     total = rows.count()
     state = _initial(rows, total, shards)
+    discard(rows)
     full: list[int] = []
-    for _ in range(rounds):
+    least, stalled, number = None, 0, 0
+    while True:
         held = state.where("unit_ IS NOT NULL").groupBy("unit_", "shard_").agg(F.count("*").alias("n_"))
-        of_unit = Window.partitionBy("unit_")
+        held = stored(held, "held")
+        parts = held.agg(F.count("*") - F.count_distinct("unit_")).first()[0]
+        if parts == 0:
+            break
+        stalled = 0 if least is None or parts < least else stalled + 1
+        least = parts if least is None else min(least, parts)
+        if stalled > patience:
+            break
+        by_majority = stalled == 0
+        named = held.withColumn("parts_", F.count("*").over(Window.partitionBy("unit_")))
         # A shard without room is named only by units that are wholly in it.
-        open_ = ~F.col("shard_").isin(full) if full else F.lit(True)
-        named = held.withColumn("all_", F.sum("n_").over(of_unit)).where(open_ | (F.col("n_") == F.col("all_")))
-        best = F.max_by("shard_", F.struct("n_", F.xxhash64("unit_", "shard_")))
+        open_ = ~F.col("shard_").isin(full) if full and by_majority else F.lit(True)
+        by_hash = F.xxhash64("unit_", "shard_", F.lit(number))
+        best = F.max_by("shard_", F.struct("n_", by_hash) if by_majority else by_hash)
+        named = named.where(open_ | (F.col("parts_") == 1))
         target = stored(named.groupBy("unit_").agg(best.alias("want_")), "targets")
         wanted = stored(state.join(target, "unit_", "left").select(*state.columns, "want_"), "wants")
         matrix = [[0] * shards for _ in range(shards)]
@@ -133,9 +149,11 @@ def balanced_shards(
             elif r["want_"] is not None and r["want_"] != r["shard_"]:
                 matrix[r["shard_"]][r["want_"]] += r["count"]
         moves, flows = quotas(matrix, free)
-        if not any(map(sum, moves)):
-            break
+        number += 1
         full = [j for j in range(shards) if sum(matrix[i][j] - moves[i][j] for i in range(shards))]
+        if not any(map(sum, moves)):
+            discard(held, target, wanted)
+            continue
         kind = F.when(F.col("unit_").isNull(), -1).otherwise(F.coalesce("want_", "shard_"))
         counted = numbered(
             wanted.withColumn("kind_", kind), ["shard_", "kind_"], F.col("place_"), ["unit_", "tie_"], total, "n_"
@@ -147,7 +165,14 @@ def balanced_shards(
             for end, to in ends:
                 shard = shard.when((F.col("kind_") == -1) & (F.col("shard_") == j) & (F.col("n_") < end), to)
         moved = shard.otherwise(F.col("shard_")).cast("int")
-        state = stored(counted.withColumn("shard_", moved).select(*state.columns), "shards")
+        before, state = state, stored(counted.withColumn("shard_", moved).select(*state.columns), "shards")
+        discard(before, held, target, wanted)
     slots = numbered(state, ["shard_"], F.xxhash64("tie_"), ["tie_"], total, "slot")
     back = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
     return slots.select(*back, F.col("shard_").alias("shard"), "slot")
+
+
+def split_groups(dealt: DataFrame, group: Column) -> DataFrame:
+    """``(group, n, n_shards)`` of the groups that ended in more than one shard."""
+    of_shard = dealt.where(group.isNotNull()).groupBy(group.alias("group"), "shard").agg(F.count("*").alias("n"))
+    return of_shard.groupBy("group").agg(F.sum("n").alias("n"), F.count("*").alias("n_shards")).where("n_shards > 1")
