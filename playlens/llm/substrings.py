@@ -16,32 +16,33 @@ input. So positions are thinned out, and Spark sorts pairs of ranks at growing l
   next round. The last round has single starts and ranks of 100 bytes, past the threshold.
 
 The sorts are by ranges of rank pairs and places, so the positions of one frequent passage may spread over
-many tasks. Documents with no candidates, as a bitmap of fixed size tells, are not shuffled.
+many tasks. Documents with no candidates, as a bitmap of hashes tells, are not shuffled.
+
+Documents are told apart by their numbers. Where some number, or none, stands beside several texts, all texts get
+numbers of their own first, in the order of number and text hash.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlens.llm.common import bounded_batches, stored
+from playlens.llm.common import bounded_batches, discard, stored
+from playlens.llm.ranking import placed
+from playlens.operators.sieve import Sieve
 
 LENGTH = 100
 GRAM = 36
 CUTS = (9, 1)  # starts in a run in the rounds after the first
 WINDOW = LENGTH - GRAM + 1
 BLOCK = 1 << 20  # bytes ranked at a time
-TAG_BITS, PLACE_BITS, RUN_BITS = 18, 31, 7
+PLACE_BITS, RUN_BITS = 31, 7
 SHIFT = 2 * RUN_BITS
-TAG_SHIFT = PLACE_BITS + SHIFT
-BITMAP = 1 << 22
 RANK_MASK = np.uint64(0xFFFFFFFFFFFF0000)
 # Odd multipliers of the doubling steps (a common 64-bit mixer's).
 STEPS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
@@ -138,18 +139,9 @@ def _blocks(lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         at = end
 
 
-def _packed(tag: np.ndarray, place: np.ndarray, high: np.ndarray | int = 0, low: np.ndarray | int = 0) -> np.ndarray:
-    """Tag of the text, place, and the most and least distance of a start before it."""
-    return tag << TAG_SHIFT | place << SHIFT | high << RUN_BITS | low
-
-
-def _tag(raw: bytes) -> int:
-    """Tells apart different texts of one number, as ``tag_of`` does."""
-    return xxhash.xxh64_intdigest(raw, 42) % (1 << TAG_BITS)
-
-
-def tag_of(text: str | Column) -> Column:
-    return F.pmod(F.xxhash64(text), F.lit(1 << TAG_BITS))
+def _packed(place: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Place, and the most and least distance of a start before it."""
+    return place << SHIFT | high << RUN_BITS | low
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +151,6 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.array([t.size if t is not None else 0 for t in texts], np.int64)
         used = np.flatnonzero(lengths >= LENGTH)
         texts, lengths = [texts[i] for i in used.tolist()], lengths[used]
-        tags = np.array([_tag(t) for t in texts], np.int64)
         for a, b, low, high in _blocks(lengths):
             stop = high + LENGTH - 1 if high >= 0 else None
             raw = np.concatenate([np.frombuffer(t, np.uint8) for t in texts[a:b]])[low:stop]
@@ -169,7 +160,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, first, last, rank, all_rank = anchors(raw, ends, table)
             text = np.searchsorted(ends, first, "right")
             begin = np.r_[0, ends[:-1]][text] - low
-            place = _packed(tags[a:b][text], at - begin, at - first, at - last)
+            place = _packed(at - begin, at - first, at - last)
             numbers = rows.column("doc_id").take(pa.array(used[a:b][text]))
             columns = [(rank & RANK_MASK).view(np.int64), all_rank.view(np.int64)]
             yield pa.RecordBatch.from_arrays(
@@ -247,7 +238,7 @@ def _cut_rows(width: int):
         for rows in batches:
             texts = [t.as_buffer() for t in rows.column("text").cast(pa.large_binary())]
             lengths = np.array([t.size for t in texts], np.int64)
-            places, tags = rows.column("places"), rows.column("tag").to_numpy()
+            places = rows.column("places")
             packed, doc = places.flatten().to_numpy(), np.repeat(np.arange(len(texts)), np.diff(places.offsets))
             most, least = packed >> RUN_BITS & (1 << RUN_BITS) - 1, packed & (1 << RUN_BITS) - 1
             place = packed >> SHIFT & (1 << PLACE_BITS) - 1
@@ -273,29 +264,13 @@ def _cut_rows(width: int):
                     pa.array(rank.view(np.int64)),
                     pa.array(_all_rank(of_16, at - top, at - bottom, top, bottom).view(np.int64)),
                     rows.column("doc_id").take(pa.array(doc[own])),
-                    pa.array(_packed(tags[doc[own]], place[own], top, bottom)),
+                    pa.array(_packed(place[own], top, bottom)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["rank", "all_rank", "doc_id", "at"])
 
     return cut
 
 
-def _maybe(keyed: DataFrame) -> Column:
-    """Whether a document may be among ``keyed`` (doc_id, tag): FALSE is certain.
-
-    A bitmap of the rows' hashes, ``BITMAP`` bits whatever their number, travels in the plan.
-    """
-    bit = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(BITMAP)).cast("int")
-    placed = keyed.select(bit.alias("bit")).withColumn("word", F.shiftright("bit", 6))
-    words = placed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits"))
-    bitmap = [0] * (BITMAP // 64)
-    for r in words.collect():  # at most BITMAP / 64 rows
-        bitmap[r["word"]] = r["bits"]
-    kept = F.from_json(F.lit(json.dumps(bitmap)), "array<bigint>")
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)))
-    return F.get(kept, F.shiftright(bit, 6)).bitwiseAND(one) != 0
-
-
 RANKED = "rank long, all_rank long, doc_id long, at long"
 
 
@@ -307,17 +282,17 @@ def _sorted_ranks(ranked: DataFrame, label: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``(doc_id, tag, spans)``: what starts earlier elsewhere, as ``first << 8 | length`` numbers."""
+    """``(doc_id, spans)``: what starts earlier elsewhere, as ``first << 8 | length`` numbers."""
     found = _sorted_ranks(docs.select("doc_id", "text").mapInArrow(_anchor_rows, RANKED), "anchors")
-    tag = F.shiftright("at", TAG_SHIFT).alias("tag")
-    same = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d.tag") == F.col("o.tag"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id"))
     late = found.where("late").select("doc_id", "at")
     for width in CUTS:
-        left = found.where("NOT late").groupBy("doc_id", tag).agg(F.collect_set("at").alias("places"))
+        left = found.where("NOT late").groupBy("doc_id").agg(F.collect_set("at").alias("places"))
         left = stored(left, "open")
-        held = docs.where(_maybe(left)).alias("d")
-        texts = held.join(left.alias("o"), same).select("d.doc_id", "d.tag", "d.text", "o.places")
+        held = Sieve(left.select(F.xxhash64("doc_id"))).among(docs, F.xxhash64("doc_id")).alias("d")
+        texts = held.join(left.alias("o"), same).select("d.doc_id", "d.text", "o.places")
         found = _sorted_ranks(texts.mapInArrow(_cut_rows(width), RANKED), "runs")
+        discard(left)
         late = late.union(found.where("late").select("doc_id", "at"))
     # What is open now are the first and last of each task, which may repeat across two tasks.
     ends = found.where("NOT late").drop("late")
@@ -327,8 +302,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     place = F.shiftright("at", SHIFT).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     run = F.lit((1 << RUN_BITS) - 1)
     most, fewest = F.shiftright("at", RUN_BITS).bitwiseAND(run), F.col("at").bitwiseAND(run)
-    spans = late.select("doc_id", tag, (F.shiftleft(place - most, 8) + most - fewest + LENGTH).alias("span"))
-    return stored(spans.groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans")), "spans")
+    spans = late.select("doc_id", (F.shiftleft(place - most, 8) + most - fewest + LENGTH).alias("span"))
+    return stored(spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans")), "spans")
 
 
 CUT = (
@@ -359,27 +334,40 @@ def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows(number, text)`` with ``doc_id``: the number, or one for each text where numbers have several."""
+    hashed = F.xxhash64("text").alias("hash")
+    texts = rows.select("number", hashed).groupBy("number").agg(F.min("hash").alias("a"), F.max("hash").alias("b"))
+    if texts.where("a <> b").isEmpty():
+        return rows.withColumn("doc_id", F.col("number"))
+    keys = rows.select("number", hashed).distinct()
+    order = [F.col("number").asc_nulls_first(), F.col("hash")]
+    keys = placed(keys, order, "doc_id").select(F.col("number").alias("own"), F.col("hash").alias("key"), "doc_id")
+    both = rows.withColumn("hash", hashed).join(keys, F.col("number").eqNullSafe(F.col("own")) & (F.col("hash") == F.col("key")))
+    return stored(both.select("number", "text", "doc_id"), "numbered")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)`` for each row of ``docs``.
 
     A byte goes if a string of 100 bytes that covers it also starts earlier: in a document of
     smaller number, or earlier in the same one. Strings are judged on the input and never
     cross documents; ``kept`` are the remaining bytes. NULL texts count as empty, texts
-    below 100 bytes stay whole, and a NULL number is smaller than all others. Repeated rows of
-    one number and text count as one document and come back alike; different texts
-    of one number are ordered by a hash. Other columns are neither read nor returned; an
-    empty table gives no rows.
+    below 100 bytes stay whole, very long ones are ranked in blocks, and a NULL number is smaller than all
+    others. Repeated rows of one number and text count as one document and come back alike; any number of
+    different texts of one number, or of none, are documents in the order of a 64-bit hash. Other columns are neither
+    read nor returned; an empty table gives no rows.
     """
-    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("tag", tag_of("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("number"), F.col(text_col).alias("text"))
+    rows = _numbered(rows)
     spans = repeated_spans(rows)
-    maybe = _maybe(spans)
-    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.tag") == F.col("s.tag"))
-    judged = rows.where(maybe).alias("d").join(spans.alias("s"), same, "left").select("d.*", "s.spans")
-    judged = judged.withColumn("cut", _cut("text", "spans")).select("doc_id", "cut.*")
+    sieve, hashed = Sieve(spans.select(F.xxhash64("doc_id"))), F.xxhash64("doc_id")
+    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
+    judged = sieve.among(rows, hashed).alias("d").join(spans.alias("s"), same, "left").select("d.number", "d.text", "s.spans")
+    judged = judged.withColumn("cut", _cut("text", "spans")).select(F.col("number").alias("doc_id"), "cut.*")
     size, none = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"), F.lit(0).cast("long")
-    whole = rows.where(~maybe).select(
-        "doc_id",
+    whole = sieve.not_among(rows, hashed).select(
+        F.col("number").alias("doc_id"),
         size.alias("n_bytes"),
         none.alias("n_removed"),
         none.alias("n_spans"),

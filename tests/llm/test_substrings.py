@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+import xxhash
 
 from playlens.llm import substrings
 from playlens.llm.substrings import remove_repeats
@@ -11,9 +12,10 @@ from .helpers import frame, odd_documents, texts
 
 
 def plain(rows):
-    """Rows in order of number, NULL first; repeated rows judged once."""
+    """Rows in order of number, NULL first, and text hash; repeated rows judged once."""
     seen, out = {}, {}
-    ordered = sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    signed = lambda t: int.from_bytes(xxhash.xxh64_digest(t or "", 42), "big", signed=True)
+    ordered = sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))
     for number, text in ordered:
         raw = (text or "").encode()
         gone = bytearray(len(raw))
@@ -35,7 +37,7 @@ def order(row):
 def rows_with_passages():
     rng = random.Random(11)
     passages = [" ".join(texts(i, 1, 60))[: rng.choice([99, 100, 101, 180, 400])] for i in range(20, 26)]
-    rows = [r for r in odd_documents(count=15) if r[0] is not None or r[1] is None]
+    rows = odd_documents(count=15)
     for i, text in enumerate(texts(8, 40, 20)):
         at = rng.randrange(len(text))
         rows.append((4000 + i, text[:at] + rng.choice(passages) + text[at:], "x"))
@@ -65,8 +67,22 @@ def test_runs_that_span_tasks(spark):
     assert sorted((tuple(r[:4]) + (bytes(r[4]),) for r in found), key=order) == plain(rows)
 
 
-def test_texts_of_one_number_and_no_rows(spark):
-    text = " ".join(texts(71, 1, 80))[:250]
-    found = remove_repeats(frame(spark, [(1, text, "x"), (1, text + "!", "x"), (1, text, "x")])).collect()
-    assert sorted(r.n_removed for r in found) in ([0, 0, 250], [0, 250, 250])
+def test_many_texts_of_one_number_or_none(spark):
+    rng = random.Random(4)
+    passage = " ".join(texts(71, 1, 80))[:120]
+    rows = []
+    for number in (None, 7):
+        for i in range(5000):
+            own = "".join(rng.choices("abcdefgh", k=rng.randint(0, 110)))
+            rows.append((number, own + (passage if i % 3 else "") + own[:20], "x"))
+    rows += [(n, rows[5][1], "x") for n in (8, 8, None)] + [(9, None, "x"), (None, None, "x")]
+    found = remove_repeats(frame(spark, rows)).collect()
+    assert sorted((tuple(r[:4]) + (bytes(r[4]),) for r in found), key=order) == plain(rows)
+
+
+def test_a_long_text_and_no_rows(spark):
+    rng = random.Random(6)
+    long = "".join(rng.choices("abcdefgh ", k=1_200_000))
+    found = remove_repeats(frame(spark, [(1, long, "x"), (2, "z" + long[700_000:700_300] + "z", "x")])).collect()
+    assert sorted(tuple(r[:4]) for r in found) == [(1, 1_200_000, 0, 0), (2, 302, 300, 1)]
     assert remove_repeats(frame(spark, [])).collect() == []
