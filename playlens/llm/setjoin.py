@@ -413,14 +413,16 @@ def _verified(found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     dealt = hubs.union(members).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub = None
+        hub, hub_of = None, None
         for rows in batches:
             left, right = [], []
             ids = zip(rows.column("a").to_pylist(), rows.column("b").to_pylist())
             for (a, b), raw in zip(ids, rows.column("elements")):
                 own = np.frombuffer(raw.as_buffer(), np.uint64)
                 if b is None:
-                    hub = own.copy()
+                    hub, hub_of = own.copy(), a
+                    continue
+                if a != hub_of:  # a text without words
                     continue
                 place = np.minimum(np.searchsorted(hub, own), len(hub) - 1)
                 both = int((hub[place] == own).sum())
@@ -434,8 +436,11 @@ def _verified(found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return links
 
 
-def alike_links(sets: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
-    """``(node, root)`` of all texts that have a link, from ``sets`` and their ``cards``."""
+def alike_links(sets: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame | None = None) -> DataFrame:
+    """``(node, root)`` of all texts that have a link, from ``sets`` and their ``cards``.
+
+    ``seeds`` are pairs ``(low, high, hub)`` to be tried first.
+    """
     spark = sets.sparkSession
     groups = _groups(cards, rule)
     counts = stored(groups.groupBy("g").agg(F.count("*").alias("k")).where(F.col("k") > HELD), "alike-long")
@@ -443,6 +448,9 @@ def alike_links(sets: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
     compared = [c for c in cards.columns if c not in ("fp", "firsts", "size")]
     single = stored(cards.groupBy("fp").agg(*[F.first(c).alias(c) for c in compared]), "alike-single")
     links, roots = None, spark.createDataFrame([], "node long, root long")
+    if seeds is not None:
+        links = _verified(seeds, sets, rule)
+        roots = stored(connected_components(links, "a", "b"), "alike-roots")
     for number, window in enumerate(WINDOWS):
         known = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         known = known.select("g", "fp", "size", F.coalesce("root", "fp").alias("root"))
@@ -475,7 +483,7 @@ def alike_links(sets: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
     return roots
 
 
-def similar_documents(docs: DataFrame, rule: Rule) -> DataFrame:
+def similar_documents(docs: DataFrame, rule: Rule, seeds: DataFrame | None = None) -> DataFrame:
     """``(doc_id, n_shingles, fp, component_id, keeper)`` for each row of ``docs(doc_id, text, …)``.
 
     Texts are linked if the Jaccard similarity of their sets of shingles is ``rule.num / rule.den`` or more;
@@ -484,12 +492,13 @@ def similar_documents(docs: DataFrame, rule: Rule) -> DataFrame:
     hash of the text's words: equal words are one text. Texts without words (NULL, empty) have the
     same ``fp`` and ``n_shingles`` 0; a text of fewer words than a shingle is one shingle; very long texts
     are read whole. Repeated rows come back as often as they were given, and columns
-    other than these two are not read. An empty table gives no rows.
+    other than these two are not read. ``seeds(low, high, hub)`` are pairs of ``fp`` that another operator
+    found; they are verified like all others and only spare later ones. An empty table gives no rows.
     """
     sets = stored(_sets(docs, rule), "alike-all")
     rows = stored(sets.select("doc_id", "fp", "size"), "alike-rows")
     cards = stored(_cards(sets, rule), "alike-cards")
-    roots = alike_links(sets, cards, rule)
+    roots = alike_links(sets, cards, rule, seeds)
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "alike-nodes")
     linked = roots.join(nodes, roots.node == nodes.fp).select("fp", "root", "first_id")
     first = F.min_by("fp", F.struct(F.isnull("first_id"), "first_id", "fp"))

@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from playlens.llm.setjoin import Rule
 
+from .helpers import frame
 from .test_decontaminate import plain as plain_hits
 from .test_linededup import plain as plain_lines
 from .test_packing import LIBRARY
-from .test_simhash import components, plain_fingerprint
+from .test_setjoin import expected, near_copies
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,13 +50,25 @@ def test_lines_and_lengths(steps):
 
 
 def test_one_of_each_group_stays(steps):
-    before = rows(steps[2])
-    prints = {n: plain_fingerprint(t) for n, t in before}
-    root = components(sorted(set(prints.values())), lambda a, b: (a ^ b).bit_count() <= 3)
-    first = {}
-    for number, _ in before:
-        first.setdefault(root[prints[number]], number)
-    assert [n for n, _ in rows(steps[3])] == sorted(first.values())
+    """Against a comparison of all pairs by their five-word shingles."""
+    groups = expected([(n, t, None) for n, t in rows(steps[2])], Rule(5, 4, 5))
+    assert [n for n, _ in rows(steps[3])] == sorted(n for n, _, least in groups if n == least)
+
+
+def test_the_stage_drops_near_copies_of_ordinary_length(spark):
+    table = near_copies(Rule(5, 4, 5))
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame(spark, table), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({root for _, _, root in expected(table, Rule(5, 4, 5))})
+
+
+def test_rows_are_judged_by_number_and_text(spark):
+    one, two, three, four = ("".join(f"{x}{i} " for i in range(40)) for x in "abcd")
+    table = [(1, one, "x"), (2, two, "x"), (2, one, "y"), (3, two, "x"), (2, two, "z")]  # number 2 has two texts
+    table += [(None, three, "b"), (None, three, "a"), (None, three + "e", "c"), (None, four, "x"), (None, one, "x")]
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame(spark, table), "").collect()
+    numbered = sorted((r.doc_id, r.text, r.score) for r in kept if r.doc_id is not None)
+    assert numbered == [(1, one, "x"), (2, two, "x"), (2, two, "z")]
+    assert sorted(r.text[0] for r in kept if r.doc_id is None) == ["c", "d"]
 
 
 def test_contaminated_documents_go(spark, steps):
