@@ -7,6 +7,7 @@ layout a real export has. Dates leave as ISO text so both engines print alike.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from playlens.config import DEFAULT_GAME, FLATTEN_A, FLATTEN_B, LOCAL_ZONE
 from playlens.functions import dates, labels
 from playlens.functions.bags import Bag
 from playlens.functions.numbers import pct, per_mille, ratio
-from playlens.operators import ads, cohorts, filters, keys, sessions
+from playlens.operators import ads, cohorts, filters, keys, narrow, sessions
 from playlens.plans import (
     daily_ads,
     delivery,
@@ -33,7 +34,7 @@ from playlens.plans import (
     split,
 )
 from playlens.session import scratch_dir
-from playlens.sinks import tables
+from playlens.sinks import commits, known_keys, tables, user_sets
 from playlens.sources import sample, shards
 from playlens.sources.sample import AS_OF, EXTENDED_GAME, event_store, raw_store
 
@@ -465,6 +466,36 @@ def _(events):
     )
 
 
+@on_events(
+    "density_sessions",
+    o.sql(
+        "SELECT usr AS user_pseudo_id, mg AS minigame_id, start_us AS start_ts, last_us AS last_ts, members FROM t "
+        "WHERE (last_us - start_us) / 1e6 / 60 <= 1440",
+        f"{o.STARTS}, {o.MEMBERS}",
+    ),
+)
+def _(events):
+    # Parts of ten rows, so that many users of the sample are cut.
+    return (
+        minigames.minigame_sessions(events, bucketing=sessions.by_density(bucket_rows=10))
+        .where("members > 0 AND minutes <= 1440")
+        .select(USER, "minigame_id", "start_ts", "last_ts", "members")
+    )
+
+
+@on_events(
+    "density_next_start",
+    o.sql(
+        "SELECT usr AS user_pseudo_id, mg AS minigame_id, us AS event_timestamp, "
+        "LEAD(us) OVER (PARTITION BY usr, mg ORDER BY us) AS next_start_ts FROM s",
+        o.STARTS,
+    ),
+)
+def _(events):
+    starts = events.where((F.col(NAME) == "level_start") & filters.in_game(F.col("minigame_id")))
+    return sessions.next_start(starts, [USER, "minigame_id"], TS, sessions.by_density(bucket_rows=5))
+
+
 @on_events(
     "session_ad_totals",
     o.sql(
@@ -638,6 +669,48 @@ def _(spark, sf_dir):
     return spark.read.parquet(root)
 
 
+@register("rebuild_report_marked", o.retention(range(1, 8)))
+def _(spark, sf_dir):
+    # An older report is replaced at once; who opened it before still reads it.
+    report = retention.retention_curve(event_store(spark, sf_dir), as_of=AS_OF)
+    table = commits.MarkedTable(spark, scratch_dir(spark, "report"), report.schema, day=None)
+    old = table.replace_all(report.limit(1))
+    table.replace_all(report)
+    assert table.read(old).count() == 1
+    return table.read()
+
+
+@register("namespace_report", o.retention(range(1, 8)))
+def _(spark, sf_dir):
+    # The report as a table of a namespace, which is created unless it is there.
+    name = f"playlens_{uuid.uuid4().hex}"
+    for _ in range(2):
+        tables.create_namespace(spark, name, scratch_dir(spark, "namespace"))
+    report = retention.retention_curve(event_store(spark, sf_dir), as_of=AS_OF)
+    report.write.saveAsTable(f"{name}.r6_retention")
+    return spark.table(f"{name}.r6_retention")
+
+
+@register(
+    "known_keys_append",
+    o.sql(f"SELECT {o.KEY} AS surrogate_key, {o.iso('d')} AS event_date, usr AS user_pseudo_id FROM e"),
+)
+def _(spark, sf_dir):
+    # The loads of incremental_append against keys kept in buckets.
+    raw = raw_store(spark, sf_dir)
+    name = f"playlens_{uuid.uuid4().hex}"
+    root = scratch_dir(spark, "known-keys")
+    tables.create_namespace(spark, name, f"{root}-catalog")
+    known = known_keys.KnownKeys(spark, f"{name}.keys", buckets=8)
+    first = shards.between(raw, shards.day_range(raw)[0], dt.date(2024, 1, 20))
+    second = shards.since(raw, dt.date(2024, 1, 10))
+    for number, part in enumerate((first, second, second)):
+        rows = known.new_rows(flatten.unique_events(flatten.flatten(part, FLATTEN_B), FLATTEN_B))
+        rows.select("surrogate_key", "event_date", USER).write.parquet(f"{root}/load={number}")
+        known.add(spark.read.parquet(f"{root}/load={number}"))
+    return spark.read.parquet(root).drop("load")
+
+
 # --- checks ----------------------------------------------------------------
 
 CHECK = (
@@ -776,6 +849,16 @@ def _(raw):
     return with_count(flatten.flatten_new(raw, FLATTEN_B))
 
 
+@on_raw("narrow_flatten_a", o.staged(o.STAGE_A, params=True))
+def _(raw):
+    return with_count(narrow.unique_events_narrow(raw, FLATTEN_A))
+
+
+@on_raw("narrow_flatten_b", o.staged(o.STAGE_B, params=True))
+def _(raw):
+    return with_count(narrow.unique_events_narrow(raw, FLATTEN_B))
+
+
 def two_loads(spark, sf_dir, spec):
     """Two daily runs of the staging and the base table; the second is repeated."""
     raw = raw_store(spark, sf_dir)
@@ -802,6 +885,28 @@ def _(spark, sf_dir):
     return with_count(two_loads(spark, sf_dir, FLATTEN_B)[0])
 
 
+def two_marked_loads(spark, sf_dir, spec):
+    """The same runs, each visible as a whole once its marker is in place."""
+    raw = raw_store(spark, sf_dir)
+    flat_root, base_root = scratch_dir(spark, "marked-flat"), scratch_dir(spark, "marked-base")
+    table = commits.staging_table(spark, raw, flat_root, spec)
+    for day in (LOAD_DAY, LOAD_DAY + dt.timedelta(days=1), LOAD_DAY + dt.timedelta(days=1)):
+        commits.load_flatten(spark, raw, flat_root, spec, day)
+        commits.load_base(spark, table.read(), base_root, spec, day)
+    base = commits.MarkedTable(spark, base_root, flatten.event_base(table.read(), spec, LOAD_DAY).schema)
+    return table.read(), base.read()
+
+
+@register("marked_flatten_a", o.staged(o.STAGE_A, params=True, where=LOADED_A))
+def _(spark, sf_dir):
+    return with_count(two_marked_loads(spark, sf_dir, FLATTEN_A)[0])
+
+
+@register("marked_base_b", o.staged(o.STAGE_B, o.BASE_NAMES, where=LOADED_B))
+def _(spark, sf_dir):
+    return two_marked_loads(spark, sf_dir, FLATTEN_B)[1]
+
+
 # The later base run takes staging rows of the day before by their local date.
 BASED_A = f"d = DATE '2024-01-19' OR (d = DATE '2024-01-20' AND {o.LOCAL_DAY} = '2024-01-20')"
 
@@ -972,6 +1077,40 @@ def _(events):
     return retention.retention_curve(events, as_of=AS_OF, mode="rolling")
 
 
+def stored_sets(spark, sf_dir) -> user_sets.UserSets:
+    """The sets of all days, added in two parts; the newest days are added again."""
+    events = event_store(spark, sf_dir)
+    first, last = events.agg(F.min("event_date"), F.max("event_date")).first()
+    sets = user_sets.UserSets(spark, scratch_dir(spark, "user-sets"))
+    cut = first + (last - first) / 2
+    sets.add_days(events, first, cut)
+    for _ in range(2):
+        sets.add_days(events, cut + dt.timedelta(days=1), last)
+    return sets
+
+
+@register("r6_from_sets", o.retention(range(1, 8)))
+def _(spark, sf_dir):
+    return user_sets.retention_from_sets(stored_sets(spark, sf_dir), as_of=AS_OF)
+
+
+@register("v2_rolling_from_sets", o.retention(range(1, 8), rolling=True))
+def _(spark, sf_dir):
+    return user_sets.retention_from_sets(stored_sets(spark, sf_dir), as_of=AS_OF, mode="rolling")
+
+
+@register(
+    "trailing_active_from_sets",
+    o.sql(
+        f"SELECT {o.iso('x.d')} AS event_date, COUNT(DISTINCT a.usr) AS users FROM "
+        "(SELECT DISTINCT d FROM e WHERE ev = 'session_start') x JOIN "
+        "(SELECT DISTINCT usr, d FROM e WHERE ev = 'session_start') a ON date_diff('day', a.d, x.d) BETWEEN 0 AND 6 GROUP BY x.d"
+    ),
+)
+def _(spark, sf_dir):
+    return user_sets.trailing_active(stored_sets(spark, sf_dir), days=7)
+
+
 @on_events("v3_ltv_by_country", o.ltv((0, 1, 3, 7), dims="ver, geo", names=GEO_NAMES))
 def _(events):
     return ltv.cohort_ltv(events, as_of=AS_OF, dims=GEO)

@@ -13,7 +13,7 @@ from playlens.functions.numbers import flag, pct, per_mille, ratio
 from playlens.operators.ads import IMPRESSION
 from playlens.operators.cohorts import USER, VERSION, user_version
 from playlens.operators.filters import in_game, keep_listed
-from playlens.operators.sessions import BUCKET_SECONDS, interval_sessions
+from playlens.operators.sessions import BUCKET_SECONDS, Bucketing, interval_sessions
 
 MINIGAME = "minigame_id"
 TS = "event_timestamp"
@@ -61,6 +61,7 @@ def minigame_sessions(
     events: DataFrame,
     exclude: Sequence[str] = NOT_IN_SESSION_REPORT,
     bucket_seconds: int = BUCKET_SECONDS,
+    bucketing: Bucketing | None = None,
 ) -> DataFrame:
     """One row per start: member count, length in minutes, impressions, revenue."""
     sessions = interval_sessions(
@@ -69,6 +70,7 @@ def minigame_sessions(
         TS,
         {"imps": F.col("shown"), "rev": F.col("earned")},
         bucket_seconds,
+        bucketing,
     )
     minutes = (F.col("last_ts") - F.col("start_ts")) / F.lit(1e6) / F.lit(60)
     return sessions.withColumn("minutes", minutes)

@@ -32,12 +32,13 @@ def clustered(df: DataFrame, *columns: str) -> DataFrame:
     A rebalance (not a plain repartition) splits a partition value that holds a
     large share of the rows into several files and merges small ones.
     """
-    order = dict.fromkeys((*columns, *CLUSTER))
+    order = dict.fromkeys((*columns, *[c for c in CLUSTER if c in df.columns]))
     return df.hint("rebalance", *columns).sortWithinPartitions(*order)
 
 
-def create_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 def create_empty(df: DataFrame, root: str, partitions: Sequence[str] = (DAY,)) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from playlens.config import FlattenSpec
 from playlens.plans.flatten import flatten, unique_events
 from playlens.schema import RAW_EVENT
+from playlens.sinks.commits import append_raw, staging_table
 from playlens.sinks.tables import append_new
 
 FILES_PER_BATCH = 1000
@@ -46,3 +47,29 @@ def stream_flatten(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_flatten_marked(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    spec: FlattenSpec,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> StreamingQuery:
+    """``stream_flatten`` into a marked table: each batch becomes visible as a whole.
+
+    It may run beside the daily load of the same files: who commits second starts again from what the
+    first one added, so each key arrives once.
+    """
+
+    def load(batch: DataFrame, _: int) -> None:
+        append_raw(staging_table(batch.sparkSession, batch, target, spec), batch, spec)
+
+    return (
+        read_raw_stream(spark, source, files_per_batch)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

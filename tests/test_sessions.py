@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from playlens.operators.sessions import interval_sessions, next_start
+from playlens.operators.sessions import by_density, cut_points, interval_sessions, next_start
 from playlens.plans.journeys import journey_edges
 from tests.conftest import micros
 
@@ -89,3 +89,36 @@ def test_journey_edges_equal_a_plain_walk(typed, bucket_seconds):
         for r in journey_edges(typed(*events), bucket_seconds=bucket_seconds).collect()
     }
     assert got == {k: (n, len(users)) for k, (n, users) in expected.items()}
+
+
+@pytest.mark.parametrize("rows", [1, 7, 10_000])
+def test_density_cuts_give_the_same_sessions(spark, rows):
+    rng = random.Random(rows)
+    starts = [(rng.choice("aab"), rng.choice("xy"), rng.randrange(400)) for _ in range(60)]
+    members = [(rng.choice("aab"), rng.choice("xyz"), rng.randrange(400), rng.randrange(9)) for _ in range(300)]
+    members += [("a", "x", 77, 1)] * 50  # many rows of one moment stay together
+    data = [(u, k, t, 1, 0, 0) for u, k, t in starts] + [(u, k, t, 0, 1, x) for u, k, t, x in members]
+    df = spark.createDataFrame(data, "u string, k string, t long, is_start int, is_member int, x long")
+    got = interval_sessions(df, ["u", "k"], "t", {"x": F.col("x")}, bucketing=by_density(rows))
+    want = literal_sessions(starts, members)
+    found = {(r.u, r.k, r.start_ts): (r.last_ts, r.members, r.x or 0) for r in got.collect()}
+    assert found == {k: v for k, v in want.items()}
+    plain = df.where("is_start = 1").select("u", "k", "t")
+    pairs = next_start(plain, ["u", "k"], "t", by_density(rows))
+    assert sorted(map(str, pairs.collect())) == sorted(map(str, next_start(plain, ["u", "k"], "t").collect()))
+
+
+def test_a_hot_user_inside_one_hour_is_cut_evenly(spark):
+    """A third of all rows are one user's, within an hour and mostly within a minute of it."""
+    dense = (F.pow(F.rand(3), 6) * 3600e6).cast("long")
+    hot = spark.range(60_000).select(F.lit("bot").alias("u"), dense.alias("t"))
+    other = spark.range(120_000).select((F.col("id") % 400).cast("string").alias("u"), (F.rand(4) * 86_400e6).cast("long").alias("t"))
+    rows = hot.union(other)
+    sizes = by_density(1000)(rows, ["u"], "t").groupBy("u", "bucket").count().collect()
+    bot = [r["count"] for r in sizes if r["u"] == "bot"]
+    assert len(bot) >= 55 and max(bot) < 2 * sorted(bot)[len(bot) // 2]
+    assert {r["bucket"] for r in sizes if r["u"] != "bot"} == {0}
+    dealt = by_density(1000)(rows, ["u"], "t").repartition(16, "u", "bucket")
+    tasks = sorted(r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert tasks[-1] < 2 * tasks[len(tasks) // 2]
+    assert cut_points(rows, ["u"], "t", 1_000_000).collect() == []
