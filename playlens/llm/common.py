@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 
@@ -30,7 +31,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Deletes tables that ``stored`` wrote, once everything made from them is written itself."""
+    """Deletes tables that ``stored`` wrote, once everything made from them is written itself.
+
+    A collection in the driver lets Spark drop the shuffle files of plans that nobody holds any more.
+    """
+    gc.collect()
+    frames[0].sparkSession._jvm.System.gc()
     for df in frames:
         path = getattr(df, "_written_to", None)
         if path is not None:
@@ -39,7 +45,7 @@ def discard(*frames: DataFrame) -> None:
             place.getFileSystem(hadoop).delete(place, True)
 
 
-def bounded_batches(df: DataFrame) -> DataFrame:
+def bounded_batches(df: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
     """``df``, with Arrow batches of the session bounded by bytes.
 
     Rows hold whole texts, so a bound on rows alone would let a few long ones fill a
@@ -48,8 +54,8 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     conf = df.sparkSession.conf
     number, unit = re.match(r"(-?\d+)([kmgt]?)", conf.get("spark.sql.execution.arrow.maxBytesPerBatch").lower()).groups()
     size = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
-    if not 0 < size <= BATCH_BYTES:
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if not 0 < size <= most:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
     return df
 
 

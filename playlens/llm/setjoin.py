@@ -6,12 +6,15 @@ such a first element in all of ``ORDERS`` orders. Each order puts frequent eleme
 texts that are kept in a hashed array of its own, and breaks ties by a mix of its own.
 
 The first order is an equality join: texts that share a first element form a group, cut where sizes are
-too far apart, and equal groups of different elements are one. Inside a group pairs are held against the other
-orders' first elements (as 16-bit hashes, which only ever let a pair through) and against sketches, which
-count the elements in each of ``BUCKETS`` classes and so bound how many differ. What passes is verified
+too far apart, and equal groups of different elements are one. Inside a group pairs are held against
+sketches, which count the elements in each of ``BUCKETS`` classes and so bound how many differ, and then against the
+other orders' first elements (as 16-bit hashes, which only ever let a pair through). What passes is verified
 on the whole sets, nearest partners first; pairs that earlier links joined already are skipped, so a
 large group of near copies takes about one pair a member, while no pair in different components goes
 untested. Texts are reduced to distinct sequences of words first: copies are never pairs.
+
+Sets are never stored: they would take more room than the texts. They are made where a text is, once for the
+counts, once for the first elements and once more, for the texts of candidate pairs alone, to verify.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ SMALL = 8  # members of a group whose pairs are all tried at once
 HELD = 2048  # members of a group that one task holds; larger groups are cut into blocks
 CENTRES = 16  # of a group cut into blocks
 WINDOWS = ((0, 2), (2, 16), (16, 128), (128, 1 << 62))  # ranks of partners by nearness, tried in rounds
+BATCH_BYTES = 4 << 20  # of an Arrow batch
 HUB_PAIRS = 500  # pairs of one text that are verified together
 # Odd multipliers (a common 64-bit mixer's).
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -53,14 +57,63 @@ class Rule(NamedTuple):
         return size - -(-self.num * size // self.den) + 1
 
 
-def words(text: str | None) -> list[bytes]:
-    """Runs of bytes other than ASCII white space, with A-Z lower-cased."""
-    return text.encode().lower().split() if text else []
+FORM = bytes(0x20 if b == 0x20 or 0x09 <= b <= 0x0D else b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
+BLOCK = 1 << 15  # bytes of a text hashed at a time
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(MIX[1])
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(MIX[2])
+    return x ^ (x >> np.uint64(32))
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(count, base, np.uint64)])
+
+
+class _Tables:
+    """A value for each byte, and powers of an odd base and of its inverse modulo 2**64."""
+
+    def __init__(self):
+        self.size = 0
+        self.values = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(MIX[0]))
+
+    def grown(self, size: int) -> "_Tables":
+        if size > self.size:
+            self.size = max(size, 2 * BLOCK)
+            self.up, self.down = _powers(MIX[1], self.size), _powers(pow(MIX[1], -1, 1 << 64), self.size)
+        return self
 
 
-def text_key(of_words: list[bytes]) -> int:
+TABLES = _Tables()
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of a text's words, in order: runs of bytes other than ASCII white space, A-Z lower-cased.
+
+    Sums of byte values times powers run over the text; a word's is a difference of two sums, brought
+    to the same place. So no word is touched by itself.
+    """
+    raw = text.encode().translate(FORM) if text else b""
+    out, at = [np.empty(0, np.uint64)], 0
+    while at < len(raw):
+        end = len(raw) if at + BLOCK >= len(raw) else raw.rfind(b" ", at, at + BLOCK)
+        if end < at:  # a word longer than a block
+            end = raw.find(b" ", at + BLOCK)
+            end = len(raw) if end < 0 else end
+        part = np.frombuffer(raw, np.uint8, end - at, at)
+        edges = np.flatnonzero(np.diff(np.r_[True, part == 0x20, True]))
+        starts, ends = edges[::2], edges[1::2]
+        tables = TABLES.grown(len(part))
+        sums = np.r_[np.uint64(0), np.cumsum(tables.values[part] * tables.up[: len(part)])]
+        out.append(_mixed((sums[ends] - sums[starts]) * tables.down[starts] + (ends - starts).astype(np.uint64)))
+        at = end + 1
+    return np.concatenate(out)
+
+
+def text_key(of_words: np.ndarray) -> int:
     """Texts of equal words have equal (signed) keys."""
-    return int.from_bytes(xxhash.xxh3_64_digest(b" ".join(of_words)), "big", signed=True)
+    return int.from_bytes(xxhash.xxh3_64_digest(of_words.tobytes()), "big", signed=True)
 
 
 def key_of(text: str | Column) -> Column:
@@ -68,65 +121,45 @@ def key_of(text: str | Column) -> Column:
 
     @F.arrow_udf("long")
     def key(texts: pa.Array) -> pa.Array:
-        return pa.array([text_key(words(t)) for t in texts.to_pylist()], pa.int64())
+        return pa.array([text_key(word_hashes(t)) for t in texts.to_pylist()], pa.int64())
 
     return key(text)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(MIX[1])
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(MIX[2])
-    return x ^ (x >> np.uint64(32))
-
-
-def shingles(of_words: list[bytes], size: int) -> np.ndarray:
+def shingles(of_words: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; a text of fewer words is one shingle."""
-    if not of_words:
-        return np.empty(0, np.uint64)
-    known = np.fromiter(map(xxhash.xxh3_64_intdigest, of_words), np.uint64, len(of_words))
-    size = min(size, len(known))
-    count = len(known) - size + 1
+    if not len(of_words):
+        return of_words
+    size = min(size, len(of_words))
+    count = len(of_words) - size + 1
     out = np.full(count, size, np.uint64)
     for i in range(size):
-        out = (out ^ known[i : i + count]) * np.uint64(MIX[0]) + (out >> np.uint64(29))
+        out = (out ^ of_words[i : i + count]) * np.uint64(MIX[0]) + (out >> np.uint64(29))
     return np.unique(_mixed(out))
 
 
-def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``(doc_id, fp, size, elements)``; the set itself stands once a task beside its text's first row."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes_of: dict[int, int] = {}
-        for rows in batches:
-            keys, sizes, sets = [], [], []
-            for text in rows.column("text").to_pylist():
-                of_words = words(text)
-                key = text_key(of_words)
-                found = None
-                if key not in sizes_of:
-                    found = shingles(of_words, rule.shingle)
-                    sizes_of[key] = len(found)
-                keys.append(key)
-                sizes.append(sizes_of[key])
-                sets.append(found.tobytes() if found is not None and len(found) else None)
-            columns = [rows.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "size", "elements"])
-
-    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(made, "doc_id long, fp long, size int, elements binary")
-
-
 def _slots(elements: np.ndarray, order: int) -> np.ndarray:
     return (elements >> np.uint64(order * SLOT_BITS) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
 
 
-def _frequencies(sets: DataFrame) -> np.ndarray:
-    """Each order's hashed counters over all sets: one row of fixed size a task, added up in two steps."""
+def _frequencies(texts: DataFrame, rule: Rule) -> np.ndarray:
+    """Each order's hashed counters over all sets: one row of fixed size a task, added up in two steps.
+
+    Counts only order elements, so a text may count once for each task that holds it.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((ORDERS, 1 << SLOT_BITS), np.int64)
+        seen: set[int] = set()
         for rows in batches:
-            elements = np.frombuffer(b"".join(rows.column(0).to_pylist()), np.uint64)
+            sets = [np.empty(0, np.uint64)]
+            for text in rows.column("text").to_pylist():
+                of_words = word_hashes(text)
+                key = text_key(of_words)
+                if key not in seen:
+                    seen.add(key)
+                    sets.append(shingles(of_words, rule.shingle))
+            elements = np.concatenate(sets)
             for order in range(ORDERS):
                 total[order] += np.bincount(_slots(elements, order), minlength=1 << SLOT_BITS)
         if total.any():
@@ -139,31 +172,48 @@ def _frequencies(sets: DataFrame) -> np.ndarray:
                 total += np.frombuffer(counts.as_buffer(), np.uint32)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["counts"])
 
-    counts = sets.where("elements IS NOT NULL").select("elements").mapInArrow(count, "counts binary")
+    counts = texts.select("text").mapInArrow(count, "counts binary")
     sums = counts.repartition(REDUCERS).mapInArrow(add, "counts binary").collect()  # REDUCERS rows
     total = sum((np.frombuffer(r[0], np.int64) for r in sums), np.zeros(ORDERS << SLOT_BITS, np.int64))
     return total.reshape(ORDERS, -1)
 
 
 def first_elements(elements: np.ndarray, order: int, weights: np.ndarray, count: int) -> np.ndarray:
-    """The first ``count`` of a sorted set in one order: rare ones first, ties by a mix, then by value."""
+    """The first ``count`` of a set in one order, and any that tie with the last: rare ones first, then by a mix."""
     mix = _mixed(elements * np.uint64(2 * order + 3))
     key = weights[order][_slots(elements, order)] << np.uint64(48) | mix >> np.uint64(16)
-    return elements[np.argsort(key, kind="stable")[:count]]
+    return elements[key <= np.partition(key, count - 1)[count - 1]]
 
 
-def _cards(sets: DataFrame, rule: Rule) -> DataFrame:
-    """``(fp, size, firsts, sketch, f1, …)``: what is compared before a whole set is."""
-    frequency = _frequencies(sets)
-    weights = (np.log2(frequency + 1.0) * 1024).astype(np.uint64)  # below 2**16
-    shared = sets.sparkSession.sparkContext.broadcast(weights)  # of fixed size
-    others = [f"f{order}" for order in range(1, ORDERS)]
+OTHERS = [f"f{order}" for order in range(1, ORDERS)]
+CARD = "firsts array<long>, sketch binary, " + ", ".join(f"{c} binary" for c in OTHERS)
+
+
+def _cards(texts: DataFrame, rule: Rule) -> DataFrame:
+    """``(doc_id, th, fp, size, firsts, sketch, f1, …)`` of each row of ``texts(doc_id, text, th)``.
+
+    What is compared before a whole set is stands beside a text's first row in its task; elsewhere, and
+    beside texts without words, it is NULL.
+    """
+    weights = (np.log2(_frequencies(texts, rule) + 1.0) * 1024).astype(np.uint64)  # below 2**16
+    shared = texts.sparkSession.sparkContext.broadcast(weights)  # of fixed size
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes_of: dict[int, int] = {}
         for rows in batches:
-            firsts, sketches, more = [], [], [[] for _ in others]
-            for raw in rows.column("elements"):
-                elements = np.frombuffer(raw.as_buffer(), np.uint64)
+            keys, sizes, firsts, sketches, more = [], [], [], [], [[] for _ in OTHERS]
+            for text in rows.column("text").to_pylist():
+                of_words = word_hashes(text)
+                key = text_key(of_words)
+                keys.append(key)
+                if key in sizes_of or not len(of_words):
+                    sizes.append(sizes_of.get(key, 0))
+                    for column in (firsts, sketches, *more):
+                        column.append(None)
+                    continue
+                elements = shingles(of_words, rule.shingle)
+                sizes_of[key] = len(elements)
+                sizes.append(len(elements))
                 count = rule.prefix(len(elements))
                 firsts.append(first_elements(elements, 0, shared.value, count).view(np.int64))
                 classes = (elements >> np.uint64(58)).astype(np.int64)
@@ -171,13 +221,12 @@ def _cards(sets: DataFrame, rule: Rule) -> DataFrame:
                 for order, column in enumerate(more, 1):
                     found = first_elements(elements, order, shared.value, count)
                     column.append(np.unique((found >> np.uint64(40)).astype(np.uint16)).tobytes())
-            lists = pa.array(firsts, pa.list_(pa.int64()))
-            columns = [rows.column("fp"), rows.column("size"), lists, *(pa.array(c, pa.binary()) for c in (sketches, *more))]
-            yield pa.RecordBatch.from_arrays(columns, ["fp", "size", "firsts", "sketch", *others])
+            columns = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
+            columns += [pa.array(c, pa.binary()) for c in (sketches, *more)]
+            known = [rows.column("doc_id"), rows.column("th")]
+            yield pa.RecordBatch.from_arrays([*known, *columns], ["doc_id", "th", "fp", "size", "firsts", "sketch", *OTHERS])
 
-    made_of = sets.where("elements IS NOT NULL").select("fp", "size", "elements")
-    schema = "fp long, size int, firsts array<long>, sketch binary, " + ", ".join(f"{c} binary" for c in others)
-    return made_of.mapInArrow(made, schema)
+    return texts.mapInArrow(made, f"doc_id long, th long, fp long, size int, {CARD}")
 
 
 def _groups_of(rule: Rule):
@@ -286,8 +335,6 @@ def _partners(rule: Rule, sketch: np.ndarray, size: np.ndarray, root: np.ndarray
 
 def _candidates_of(rule: Rule, window: tuple[int, int]):
     """Candidate pairs in a stream of groups: ``(low, high, hub)``, or ``g`` alone where pairs are left for later."""
-    others = [f"f{order}" for order in range(1, ORDERS)]
-
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
@@ -295,7 +342,6 @@ def _candidates_of(rule: Rule, window: tuple[int, int]):
             g, block, fp, root, size = (table.column(c).to_numpy() for c in ("g", "block", "fp", "root", "size"))
             home = table.column("home").to_numpy()
             sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, BUCKETS)
-            firsts = [table.column(c).to_pylist() for c in others]
             starts = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (block[1:] != block[:-1])])
             counts = np.diff(np.r_[starts, len(g)])
             left, right, left_over = [], [], []
@@ -323,15 +369,6 @@ def _candidates_of(rule: Rule, window: tuple[int, int]):
                     left_over.append(int(g[start]))
             empty = np.empty(0, np.int64)
             i, j = np.concatenate([empty, *left]), np.concatenate([empty, *right])
-            for lists in firsts:  # the other orders: both must have a first element in common
-                sets: dict[int, set[int]] = {}
-                ok = np.ones(len(i), bool)
-                for n, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
-                    for x in (a, b):
-                        if x not in sets:
-                            sets[x] = set(np.frombuffer(lists[x], np.uint16).tolist())
-                    ok[n] = not sets[a].isdisjoint(sets[b])
-                i, j = i[ok], j[ok]
             degree = np.bincount(np.r_[i, j], minlength=len(fp))
             low, high = np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j])
             hub = np.where(degree[i] >= degree[j], fp[i], fp[j])
@@ -394,22 +431,42 @@ def _blocks(rows: DataFrame, counts: DataFrame) -> DataFrame:
     return dealt.withColumn("home", F.col("block") == F.col("own")).select(*rows.columns)
 
 
-def _verified(found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def _sharing(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Whether two sorted sets of 16-bit numbers have one in common."""
+    out = []
+    for x, y in zip(a, b):
+        x, y = np.frombuffer(x.as_buffer(), np.uint16), np.frombuffer(y.as_buffer(), np.uint16)
+        out.append(bool((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).any()))
+    return pa.array(out, pa.bool_())
+
+
+def _verified(found: DataFrame, texts: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
     """The candidate pairs that are alike, as links ``(a, b)``.
 
-    A pair travels with the set of its member to the set of its hub, which is read once for
-    ``HUB_PAIRS`` pairs.
+    Pairs first have to share a first element in every other order. Then a pair travels with the text of its member to
+    that of its hub, which is read once for ``HUB_PAIRS`` pairs.
     """
     once = found.where("low IS NOT NULL").groupBy("low", "high").agg(F.max("hub").alias("a"))
     pairs = stored(once.select("a", (F.expr("CASE WHEN a = low THEN high ELSE low END")).alias("b")), "alike-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "alike-wanted")
-    whole = sets.where("elements IS NOT NULL").select("fp", "elements").join(wanted, "fp", "left_semi")
-    whole = stored(whole.groupBy("fp").agg(F.first("elements").alias("elements")), "alike-sets")
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(HUB_PAIRS)).cast("int").alias("blocks"))
-    pairs_ = pairs.join(many, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
-    members = pairs_.join(whole, pairs_.b == whole.fp).select("a", "block", "b", "elements")
+    own = cards.where("sketch IS NOT NULL").join(wanted, "fp", "left_semi")
+    own = own.groupBy("fp").agg(F.min("th").alias("th"), *[F.first(c).alias(c) for c in OTHERS])
+    own = stored(own, "alike-firsts")
+    left, right = (own.select(F.col("fp").alias(c), *[F.col(f).alias(f"{f}_{c}") for f in OTHERS]) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    sharing = F.arrow_udf(_sharing, "boolean")
+    for f in OTHERS:
+        both = both.where(sharing(f"{f}_a", f"{f}_b"))
+    kept = stored(both.select("a", "b"), "alike-sharing")
+    hashes = kept.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(own.select("fp", "th"), "fp")
+    hashes = stored(hashes, "alike-hashes")
+    # One row a text: copies are one before they leave their task.
+    whole = texts.select("th", "text").join(hashes, "th").groupBy("fp").agg(F.first("text").alias("text"))
+    many = kept.groupBy("a").agg(F.ceil(F.count("*") / F.lit(HUB_PAIRS)).cast("int").alias("blocks"))
+    of_hub = kept.join(many, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    members = of_hub.join(whole, of_hub.b == whole.fp).select("a", "block", "b", "text")
     hubs = many.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    hubs = hubs.join(whole, hubs.a == whole.fp).select("a", "block", F.lit(None).cast("long").alias("b"), "elements")
+    hubs = hubs.join(whole, hubs.a == whole.fp).select("a", "block", F.lit(None).cast("long").alias("b"), "text")
     dealt = hubs.union(members).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,12 +474,12 @@ def _verified(found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         for rows in batches:
             left, right = [], []
             ids = zip(rows.column("a").to_pylist(), rows.column("b").to_pylist())
-            for (a, b), raw in zip(ids, rows.column("elements")):
-                own = np.frombuffer(raw.as_buffer(), np.uint64)
+            for (a, b), text in zip(ids, rows.column("text")):
+                own = shingles(word_hashes(text.as_py()), rule.shingle)
                 if b is None:
-                    hub, hub_of = own.copy(), a
+                    hub, hub_of = own, a
                     continue
-                if a != hub_of:  # a text without words
+                if a != hub_of or not len(own) or not len(hub):
                     continue
                 place = np.minimum(np.searchsorted(hub, own), len(hub) - 1)
                 both = int((hub[place] == own).sum())
@@ -432,24 +489,25 @@ def _verified(found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     links = stored(dealt.mapInArrow(judge, "a long, b long"), "alike-links")
-    discard(pairs, wanted, whole)
+    discard(pairs, wanted, own, kept, hashes)
     return links
 
 
-def alike_links(sets: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame | None = None) -> DataFrame:
-    """``(node, root)`` of all texts that have a link, from ``sets`` and their ``cards``.
+def alike_links(texts: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame | None = None) -> DataFrame:
+    """``(node, root)`` of all texts that have a link, from ``texts(th, text)`` and their ``cards``.
 
     ``seeds`` are pairs ``(low, high, hub)`` to be tried first.
     """
-    spark = sets.sparkSession
-    groups = _groups(cards, rule)
+    spark = texts.sparkSession
+    groups = _groups(cards.where("sketch IS NOT NULL"), rule)
     counts = stored(groups.groupBy("g").agg(F.count("*").alias("k")).where(F.col("k") > HELD), "alike-long")
     any_long = not counts.isEmpty()
-    compared = [c for c in cards.columns if c not in ("fp", "firsts", "size")]
-    single = stored(cards.groupBy("fp").agg(*[F.first(c).alias(c) for c in compared]), "alike-single")
+    in_groups = groups.select("fp").distinct()
+    sketches = cards.where("sketch IS NOT NULL").select("fp", "sketch").join(in_groups, "fp", "left_semi")
+    single = stored(sketches.groupBy("fp").agg(F.first("sketch").alias("sketch")), "alike-sketches")
     links, roots = None, spark.createDataFrame([], "node long, root long")
     if seeds is not None:
-        links = _verified(seeds, sets, rule)
+        links = _verified(seeds, texts, cards, rule)
         roots = stored(connected_components(links, "a", "b"), "alike-roots")
     for number, window in enumerate(WINDOWS):
         known = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -472,12 +530,13 @@ def alike_links(sets: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame
                 found = found.union(blocks.mapInArrow(_candidates_of(rule, (0, 1 << 62)), CANDIDATE))
         found = stored(found, "alike-candidates")
         left = stored(found.where("g IS NOT NULL").select("g").distinct(), "alike-left")
-        new = _verified(found, sets, rule)
+        new = _verified(found, texts, cards, rule)
         links = new if links is None else links.union(new)
         roots = stored(connected_components(links, "a", "b"), "alike-roots")
         if number == 0 and any_long:
             left = left.union(counts.select("g"))
-        groups = stored(groups.join(left, "g", "left_semi"), "alike-groups")
+        before, groups = groups, stored(groups.join(left, "g", "left_semi"), "alike-groups")
+        discard(before, found)
         if groups.isEmpty():
             break
     return roots
@@ -495,10 +554,11 @@ def similar_documents(docs: DataFrame, rule: Rule, seeds: DataFrame | None = Non
     other than these two are not read. ``seeds(low, high, hub)`` are pairs of ``fp`` that another operator
     found; they are verified like all others and only spare later ones. An empty table gives no rows.
     """
-    sets = stored(_sets(docs, rule), "alike-all")
-    rows = stored(sets.select("doc_id", "fp", "size"), "alike-rows")
-    cards = stored(_cards(sets, rule), "alike-cards")
-    roots = alike_links(sets, cards, rule, seeds)
+    texts = bounded_batches(docs, BATCH_BYTES).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts.withColumn("th", F.xxhash64("text"))
+    cards = stored(_cards(texts, rule), "alike-cards")
+    rows = stored(cards.select("doc_id", "fp", "size"), "alike-rows")
+    roots = alike_links(texts, cards, rule, seeds)
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "alike-nodes")
     linked = roots.join(nodes, roots.node == nodes.fp).select("fp", "root", "first_id")
     first = F.min_by("fp", F.struct(F.isnull("first_id"), "first_id", "fp"))
@@ -509,5 +569,5 @@ def similar_documents(docs: DataFrame, rule: Rule, seeds: DataFrame | None = Non
     )
     # Written, so that the last join is one that can split a hot text.
     classes = stored(classes, "alike-classes")
-    discard(sets, cards, nodes)
+    discard(cards, nodes)
     return rows.join(classes, "fp").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "fp", "component_id", "keeper")

@@ -59,6 +59,20 @@ def found(spark, rows, rule):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abAB \n\t\x1cé\U0001f600", max_size=40), st.integers(1, 9))
+def test_hashes_of_words(text, block):
+    """Equal words have equal hashes wherever they stand, other words have others."""
+    plain = text.encode().lower().split()
+    old, setjoin.BLOCK = setjoin.BLOCK, block
+    try:
+        hashes = setjoin.word_hashes(text).tolist()
+    finally:
+        setjoin.BLOCK = old
+    assert len(hashes) == len(plain) and len(set(zip(hashes, plain))) == len(set(plain)) == len(set(hashes))
+    assert hashes == setjoin.word_hashes(" ".join(w.decode() for w in plain)).tolist()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(0, 2**32), st.integers(1, 60), st.integers(0, 12))
 def test_alike_sets_share_a_first_element_in_every_order(seed, size, changes):
