@@ -21,6 +21,7 @@ from playlens.functions.bags import Bag
 from playlens.functions.numbers import pct, per_mille, ratio
 from playlens.operators import ads, cohorts, filters, keys, narrow, sessions
 from playlens.plans import (
+    census,
     daily_ads,
     delivery,
     flatten,
@@ -30,11 +31,12 @@ from playlens.plans import (
     minigames,
     parity,
     quality,
+    reconcile,
     retention,
     split,
 )
 from playlens.session import scratch_dir
-from playlens.sinks import commits, known_keys, tables, user_sets
+from playlens.sinks import commits, known_keys, ledger, tables, user_sets
 from playlens.sources import sample, shards
 from playlens.sources.sample import AS_OF, EXTENDED_GAME, event_store, raw_store
 
@@ -711,6 +713,80 @@ def _(spark, sf_dir):
     return spark.read.parquet(root).drop("load")
 
 
+def two_arrivals(spark, sf_dir) -> tuple[str, Callable[[], None]]:
+    """A source of the first half of the shards, and what adds the others and late files of the first ones."""
+    raw, source = raw_store(spark, sf_dir), scratch_dir(spark, "source")
+    late = (F.col("shard") > "20240115") | (F.col(TS) % 7 == 0)
+    raw.where(~late).write.partitionBy("shard").parquet(source)
+    return source, lambda: raw.where(late).write.mode("append").partitionBy("shard").parquet(source)
+
+
+@register(
+    "ledger_load",
+    o.sql(f"SELECT {o.KEY} AS surrogate_key, {o.iso('d')} AS event_date, usr AS user_pseudo_id FROM e"),
+)
+def _(spark, sf_dir):
+    # Every file is loaded once, late ones of old shards too.
+    source, arrive = two_arrivals(spark, sf_dir)
+    root, files = scratch_dir(spark, "ledger-flat"), ledger.Ledger(spark, scratch_dir(spark, "ledger"))
+    ledger.load_pending(spark, source, root, files, FLATTEN_B)
+    arrive()
+    for _ in range(2):
+        ledger.load_pending(spark, source, root, files, FLATTEN_B)
+    table = commits.staging_table(spark, shards.read_raw(spark, source), root, FLATTEN_B)
+    return table.read().select("surrogate_key", "event_date", USER)
+
+
+@register("ledger_backfill", o.sql(DAY_COUNTS.format(d=o.iso("d"), w="WHERE d BETWEEN DATE '2024-01-14' AND DATE '2024-01-17'")))
+def _(spark, sf_dir):
+    # Days are built when their files arrive, and again if more of them do.
+    source, arrive = two_arrivals(spark, sf_dir)
+    root, files = scratch_dir(spark, "ledger-events"), ledger.Ledger(spark, scratch_dir(spark, "ledger"))
+    days = dt.date(2024, 1, 14), dt.date(2024, 1, 17)
+    ledger.resume_backfill(spark, source, root, files, *days)
+    arrive()
+    ledger.resume_backfill(spark, source, root, files, *days)
+    return day_counts(split.read_events(spark, root))
+
+
+@on_raw(
+    "key_census",
+    o.sql(
+        "SELECT ev AS event_name, key, CASE WHEN (txt IS NOT NULL)::INT + (num IS NOT NULL)::INT + (dbl IS NOT NULL)::INT > 1 "
+        "THEN 'several' WHEN txt IS NOT NULL THEN 'string' WHEN num IS NOT NULL THEN 'int' WHEN dbl IS NOT NULL THEN 'double' "
+        "ELSE 'none' END AS slot, COUNT(*) AS n_rows FROM x GROUP BY ALL",
+        "x AS ("
+        + " UNION ALL ".join(
+            f"SELECT ev, '{key}' AS key, CAST({txt} AS VARCHAR) AS txt, CAST({num} AS BIGINT) AS num, "
+            f"CAST({REALS.get(key, 'NULL')} AS DOUBLE) AS dbl FROM e WHERE {cond}"
+            for key, cond, txt, num in o.BAG_ENTRIES
+        )
+        + ")",
+    ),
+)
+def _(raw):
+    return census.key_census(raw)
+
+
+@on_events(
+    "reconcile_rows",
+    o.sql(
+        f"SELECT {o.iso('d')} AS event_date, ev AS event_name, usr AS user_pseudo_id, us AS event_timestamp, 'left only' AS status, "
+        "NULL::VARCHAR AS columns, 1::BIGINT AS left_copies, 0::BIGINT AS right_copies FROM e WHERE (us // 1000000) % 97 = 0 UNION ALL "
+        f"SELECT {o.iso('d')}, ev, usr, us, 'changed', 'current_screen', 1, 1 FROM e "
+        "WHERE (us // 1000000) % 97 <> 0 AND (us // 1000000) % 89 = 1 UNION ALL "
+        f"SELECT {o.iso('d')}, ev, usr, us + 1, 'right only', NULL, 0, 1 FROM e WHERE (us // 1000000) % 83 = 2"
+    ),
+)
+def _(events):
+    # A copy of the table with rows dropped, changed and added.
+    second = F.floor(F.col(TS) / 1_000_000)
+    screen = F.when(second % 89 == 1, F.lit("elsewhere")).otherwise(F.col("current_screen"))
+    copy = events.where(second % 97 != 0).withColumn("current_screen", screen)
+    more = events.where(second % 83 == 2).withColumn(TS, F.col(TS) + 1)
+    return reconcile.differing_rows(events, copy.unionByName(more))
+
+
 # --- checks ----------------------------------------------------------------
 
 CHECK = (
