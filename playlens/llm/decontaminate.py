@@ -6,6 +6,10 @@ verification. Each document is split into words once and its windows are hashed
 place; no word or window row is ever made, and documents are not shuffled. Windows are
 handed out in blocks of at most ``BLOCK_WINDOWS``; a larger benchmark takes more passes,
 each over what the last one wrote.
+
+A window stands for its set of items by one number, the sum of their hashes, so neither the plan nor a hit grows with
+the items that share a passage. Which items these are is joined afterwards, once for every
+combination of sets that occurs.
 """
 
 from __future__ import annotations
@@ -23,8 +27,8 @@ BLOCK_WINDOWS = 50_000
 SEPARATORS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-HITS = "array<struct<at:int,size:int,items:array<bigint>>>"
-ENTRY = "struct<h:bigint,w:string,items:array<bigint>>"
+HITS = "array<struct<at:int,size:int,set:bigint>>"
+ENTRY = "struct<h:bigint,w:string,set:bigint>"
 
 
 def words(text: Column) -> Column:
@@ -43,7 +47,7 @@ def _window_hash(of_words: Column, start: Column, size: int) -> Column:
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    """``(size, h, w, items)``: every window of the items once, ``w`` its words joined by blanks."""
+    """``(size, h, w, item_id)``: every window of every item once, ``w`` its words joined by blanks."""
     known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("words"))
     known = known.where(F.size("words") > 0).withColumn("size", F.least(F.size("words"), F.lit(window)))
     at = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1))
@@ -52,15 +56,24 @@ def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     hashes = F.lit(None).cast("long")
     for size in range(1, window + 1):
         hashes = F.when(F.col("size") == size, _window_hash(F.col("cut"), F.lit(0), size)).otherwise(hashes)
-    named = cut.select("item_id", "size", hashes.alias("h"), F.array_join("cut", " ").alias("w"))
-    return named.groupBy("size", "h", "w").agg(F.collect_set("item_id").alias("items"))
+    named = cut.select("size", hashes.alias("h"), F.array_join("cut", " ").alias("w"), "item_id")
+    return named.distinct()
+
+
+def item_sets(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(size, h, w, set)`` of each window, and ``(set, item_id)`` of each set."""
+    one = F.xxhash64("item_id").cast("decimal(20,0)")
+    total = F.xxhash64(F.sum(one), F.count(F.lit(1)))  # no list is made
+    sets = stored(windows.groupBy("size", "h", "w").agg(total.alias("set")), "windows")
+    members = windows.join(sets, ["size", "h", "w"]).where("item_id IS NOT NULL").select("set", "item_id").distinct()
+    return sets, stored(members, "window-items")
 
 
 def _scan(of_words: Column, size: int, entries: list) -> Column:
     """Verified hits of one window length within a row's words."""
     buckets: list[list] = [[] for _ in entries]
     for e in entries:
-        buckets[e["h"] % len(buckets)].append({"h": e["h"], "w": e["w"], "items": sorted(e["items"])})
+        buckets[e["h"] % len(buckets)].append({"h": e["h"], "w": e["w"], "set": e["set"]})
     kept = F.from_json(F.lit(json.dumps(buckets)), f"array<array<{ENTRY}>>")
     hashes = [e["h"] for e in entries]
 
@@ -70,14 +83,14 @@ def _scan(of_words: Column, size: int, entries: list) -> Column:
         bucket = F.get(kept, F.pmod(_window_hash(of_words, at, size), F.lit(len(buckets))).cast("int"))
         return F.filter(bucket, lambda e: e["w"] == text)
 
-    def items(at: Column) -> Column:
-        return F.flatten(F.transform(entry(at), lambda e: e["items"]))
+    def own_set(at: Column) -> Column:
+        return F.get(entry(at), F.lit(0))["set"]
 
     starts = F.when(F.size(of_words) >= size, F.sequence(F.lit(0), F.size(of_words) - size))
     starts = F.coalesce(starts, F.array().cast("array<int>"))
     known = F.filter(starts, lambda i: _window_hash(of_words, i, size).isin(hashes))
     verified = F.filter(known, lambda i: F.size(entry(i)) > 0)
-    return F.transform(verified, lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), items(i).alias("items")))
+    return F.transform(verified, lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), own_set(i).alias("set")))
 
 
 def _scanner(by_size: dict[int, list]):
@@ -91,9 +104,8 @@ def _scanner(by_size: dict[int, list]):
     return scan
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 13, block: int = BLOCK_WINDOWS) -> DataFrame:
-    """``docs`` with ``n_words`` and ``hits``: where item windows occur, and of which items."""
-    windows = stored(item_windows(benchmark, window), "windows")
+def find_hits(docs: DataFrame, windows: DataFrame, block: int = BLOCK_WINDOWS) -> DataFrame:
+    """``docs`` with ``n_words`` and ``hits``: where item windows occur, and of which sets of items."""
     blocks = split_count(windows.count(), block)
     out = docs.withColumn("hits", F.array().cast(HITS)).withColumn("n_words", F.lit(0).cast("long"))
     for number in range(blocks):
@@ -147,11 +159,20 @@ def decontaminate(
     added = ("n_words", "n_hit", "items", "contaminated")
     names = [c for c in docs.columns if c != "text" and c not in added]
     renamed = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
-    found = find_hits(docs.select("text", *renamed), benchmark, window, block)
+    windows, members = item_sets(stored(item_windows(benchmark, window), "item-windows"))
+    found = find_hits(docs.select("text", *renamed), windows, block)
+    found = found.withColumn("sets", F.array_sort(F.array_distinct(F.transform("hits", lambda x: x["set"]))))
+    found = stored(found, "found")
+    # Texts hit by the same sets of items have the same items.
+    sets = found.where(F.size("sets") > 0).select("sets").distinct().withColumn("set", F.explode("sets"))
+    text_of_item = F.collect_set(F.col("item_id").cast("string"))
+    items = stored(sets.join(members, "set").groupBy("sets").agg(F.array_sort(text_of_item).alias("items")), "hit-items")
+    none = F.array().cast("array<string>").alias("items")
+    clean = found.where(F.size("sets") == 0).select("*", none)
+    found = found.where(F.size("sets") > 0).join(items, "sets", "left").select(*found.columns, "items").union(clean)
     covered = F.flatten(F.transform("hits", lambda x: F.sequence(x["at"], x["at"] + x["size"] - 1)))
-    listed = F.transform(F.flatten(F.transform("hits", lambda x: x["items"])), lambda x: x.cast("string"))
     judged = found.withColumn("n_hit", F.size(F.array_distinct(covered)).cast("long"))
-    judged = judged.withColumn("items", F.array_sort(F.array_distinct(listed)))
+    judged = judged.withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     judged = judged.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
     if remove == "documents":
         judged = judged.where("NOT contaminated")

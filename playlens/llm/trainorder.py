@@ -30,6 +30,7 @@ from playlens.session import scratch_dir
 
 LENGTH = 2048
 PER_SHARD = 4096
+PART_BYTES = 256 << 20  # of sequences a task writes, where the session's shuffle partitions would be larger
 CHUNK = 64  # sequences compressed together
 BUFFER = 2048  # sequences a task sorts by shard at a time
 ROUNDS = 6
@@ -133,8 +134,9 @@ def write_training_order(
     if not total:
         return spark.createDataFrame([], MANIFEST)
     shards = split_count(total, per_shard)
-    parts = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = np.dtype(f"<u{sums[0]['width']}")
+    by_size = split_count(total * length * kind.itemsize, PART_BYTES)
+    parts = min(shards, max(by_size, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     shared = spark.sparkContext.broadcast(starts)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
