@@ -26,6 +26,7 @@ from playlens.plans import (
     delivery,
     flatten,
     funnel,
+    incremental,
     journeys,
     ltv,
     minigames,
@@ -1187,6 +1188,28 @@ def _(spark, sf_dir):
     return user_sets.trailing_active(stored_sets(spark, sf_dir), days=7)
 
 
+def kept_report(spark, sf_dir, kind) -> DataFrame:
+    """All days with part of one day missing, then that day as it is."""
+    events = event_store(spark, sf_dir)
+    first, last = events.agg(F.min("event_date"), F.max("event_date")).first()
+    day = first + (last - first) / 2
+    report = incremental.CohortReport(spark, scratch_dir(spark, f"kept-{kind}"), kind)
+    partly = (F.col("event_date") != F.lit(day)) | (F.col(TS) % 3 == 0)
+    report.replace_days(events.where(partly), first, last)
+    report.replace_days(events, day, day)
+    return report.read(AS_OF)
+
+
+@register("incremental_ltv", SQL["r4_ltv"])
+def _(spark, sf_dir):
+    return kept_report(spark, sf_dir, "ltv")
+
+
+@register("incremental_retention", SQL["r6_retention"])
+def _(spark, sf_dir):
+    return kept_report(spark, sf_dir, "retention")
+
+
 @on_events("v3_ltv_by_country", o.ltv((0, 1, 3, 7), dims="ver, geo", names=GEO_NAMES))
 def _(events):
     return ltv.cohort_ltv(events, as_of=AS_OF, dims=GEO)
