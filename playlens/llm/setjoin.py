@@ -8,7 +8,7 @@ texts that are kept in a hashed array of its own, and breaks ties by a mix of it
 The first order is an equality join: texts that share a first element form a group, cut where sizes are
 too far apart, and equal groups of different elements are one. Inside a group pairs are held against
 sketches, which count the elements in each of ``BUCKETS`` classes and so bound how many differ, and then against the
-other orders' first elements (as 16-bit hashes, which only ever let a pair through). What passes is verified
+other orders' first elements (as 16-bit hashes, which only ever let a pair through) and finer sketches. What passes is verified
 on the whole sets, nearest partners first; pairs that earlier links joined already are skipped, so a
 large group of near copies takes about one pair a member, while no pair in different components goes
 untested. Texts are reduced to distinct sequences of words first: copies are never pairs.
@@ -31,11 +31,14 @@ from pyspark.sql.window import Window
 
 from playlens.llm.common import bounded_batches, discard, stored
 from playlens.llm.components import connected_components
+from playlens.operators.sieve import Sieve
 
 ORDERS = 3
 SLOT_BITS = 16  # counters of each order, whatever the number of texts
 REDUCERS = 16
 BUCKETS = 64  # of a sketch
+FINE_ELEMENTS, FINE_BITS = 4, 16  # of a bucket of the finer sketch, which has 2**FINE_BITS buckets at most
+OFTEN = 100  # equal rows of one number
 SMALL = 8  # members of a group whose pairs are all tried at once
 HELD = 2048  # members of a group that one task holds; larger groups are cut into blocks
 CENTRES = 16  # of a group cut into blocks
@@ -102,13 +105,16 @@ def word_hashes(text: str | None) -> np.ndarray:
             end = raw.find(b" ", at + BLOCK)
             end = len(raw) if end < 0 else end
         part = np.frombuffer(raw, np.uint8, end - at, at)
-        edges = np.flatnonzero(np.diff(np.r_[True, part == 0x20, True]))
+        blank = np.ones(len(part) + 2, bool)
+        np.equal(part, 0x20, out=blank[1:-1])
+        edges = np.flatnonzero(blank[1:] != blank[:-1])
         starts, ends = edges[::2], edges[1::2]
         tables = TABLES.grown(len(part))
-        sums = np.r_[np.uint64(0), np.cumsum(tables.values[part] * tables.up[: len(part)])]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(tables.values[part] * tables.up[: len(part)], out=sums[1:])
         out.append(_mixed((sums[ends] - sums[starts]) * tables.down[starts] + (ends - starts).astype(np.uint64)))
         at = end + 1
-    return np.concatenate(out)
+    return np.concatenate(out) if len(out) != 2 else out[1]
 
 
 def text_key(of_words: np.ndarray) -> int:
@@ -185,8 +191,18 @@ def first_elements(elements: np.ndarray, order: int, weights: np.ndarray, count:
     return elements[key <= np.partition(key, count - 1)[count - 1]]
 
 
+def sketch_of(elements: np.ndarray, bits: int) -> np.ndarray:
+    """How many elements begin with each pattern of so many bits, up to 255."""
+    classes = (elements >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(classes, minlength=1 << bits), 255).astype(np.uint8)
+
+
+def fine_bits(size: int) -> int:
+    return min(FINE_BITS, max(6, (size // FINE_ELEMENTS).bit_length()))
+
+
 OTHERS = [f"f{order}" for order in range(1, ORDERS)]
-CARD = "firsts array<long>, sketch binary, " + ", ".join(f"{c} binary" for c in OTHERS)
+CARD = "firsts array<long>, sketch binary, fine binary, " + ", ".join(f"{c} binary" for c in OTHERS)
 
 
 def _cards(texts: DataFrame, rule: Rule) -> DataFrame:
@@ -201,14 +217,14 @@ def _cards(texts: DataFrame, rule: Rule) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes_of: dict[int, int] = {}
         for rows in batches:
-            keys, sizes, firsts, sketches, more = [], [], [], [], [[] for _ in OTHERS]
+            keys, sizes, firsts, sketches, fine, more = [], [], [], [], [], [[] for _ in OTHERS]
             for text in rows.column("text").to_pylist():
                 of_words = word_hashes(text)
                 key = text_key(of_words)
                 keys.append(key)
                 if key in sizes_of or not len(of_words):
                     sizes.append(sizes_of.get(key, 0))
-                    for column in (firsts, sketches, *more):
+                    for column in (firsts, sketches, fine, *more):
                         column.append(None)
                     continue
                 elements = shingles(of_words, rule.shingle)
@@ -216,15 +232,15 @@ def _cards(texts: DataFrame, rule: Rule) -> DataFrame:
                 sizes.append(len(elements))
                 count = rule.prefix(len(elements))
                 firsts.append(first_elements(elements, 0, shared.value, count).view(np.int64))
-                classes = (elements >> np.uint64(58)).astype(np.int64)
-                sketches.append(np.minimum(np.bincount(classes, minlength=BUCKETS), 255).astype(np.uint8).tobytes())
+                sketches.append(sketch_of(elements, BUCKETS.bit_length() - 1).tobytes())
+                fine.append(sketch_of(elements, fine_bits(len(elements))).tobytes())
                 for order, column in enumerate(more, 1):
                     found = first_elements(elements, order, shared.value, count)
                     column.append(np.unique((found >> np.uint64(40)).astype(np.uint16)).tobytes())
             columns = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
-            columns += [pa.array(c, pa.binary()) for c in (sketches, *more)]
+            columns += [pa.array(c, pa.binary()) for c in (sketches, fine, *more)]
             known = [rows.column("doc_id"), rows.column("th")]
-            yield pa.RecordBatch.from_arrays([*known, *columns], ["doc_id", "th", "fp", "size", "firsts", "sketch", *OTHERS])
+            yield pa.RecordBatch.from_arrays([*known, *columns], ["doc_id", "th", "fp", "size", "firsts", "sketch", "fine", *OTHERS])
 
     return texts.mapInArrow(made, f"doc_id long, th long, fp long, size int, {CARD}")
 
@@ -431,43 +447,76 @@ def _blocks(rows: DataFrame, counts: DataFrame) -> DataFrame:
     return dealt.withColumn("home", F.col("block") == F.col("own")).select(*rows.columns)
 
 
-def _sharing(a: pa.Array, b: pa.Array) -> pa.Array:
+def _share(x: bytes, y: bytes) -> bool:
     """Whether two sorted sets of 16-bit numbers have one in common."""
-    out = []
-    for x, y in zip(a, b):
-        x, y = np.frombuffer(x.as_buffer(), np.uint16), np.frombuffer(y.as_buffer(), np.uint16)
-        out.append(bool((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).any()))
-    return pa.array(out, pa.bool_())
+    x, y = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+    return bool((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).any())
 
 
-def _verified(found: DataFrame, texts: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
-    """The candidate pairs that are alike, as links ``(a, b)``.
+def _may_be_alike(rule: Rule, x: bytes, y: bytes, total: int) -> bool:
+    """False only for sets that are not: by sketches, the longer one brought to the shorter one's classes."""
+    x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    least = min(len(x), len(y))
+    apart = int(np.abs(x.reshape(least, -1).sum(axis=1) - y.reshape(least, -1).sum(axis=1)).sum())
+    return (rule.den + rule.num) * apart <= (rule.den - rule.num) * total
 
-    Pairs first have to share a first element in every other order. Then a pair travels with the text of its member to
-    that of its hub, which is read once for ``HUB_PAIRS`` pairs.
-    """
-    once = found.where("low IS NOT NULL").groupBy("low", "high").agg(F.max("hub").alias("a"))
-    pairs = stored(once.select("a", (F.expr("CASE WHEN a = low THEN high ELSE low END")).alias("b")), "alike-pairs")
+
+def _passing(pairs: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs ``(a, b)`` that share a first element in every other order and whose fine sketches are near."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "alike-wanted")
+    compared = ["size", "fine", *OTHERS]
     own = cards.where("sketch IS NOT NULL").join(wanted, "fp", "left_semi")
-    own = own.groupBy("fp").agg(F.min("th").alias("th"), *[F.first(c).alias(c) for c in OTHERS])
-    own = stored(own, "alike-firsts")
-    left, right = (own.select(F.col("fp").alias(c), *[F.col(f).alias(f"{f}_{c}") for f in OTHERS]) for c in "ab")
+    own = stored(own.groupBy("fp").agg(*[F.first(c).alias(c) for c in compared]), "alike-compared")
+    left, right = (own.select(F.col("fp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in compared]) for x in "ab")
+
+    @F.arrow_udf("boolean")
+    def passes(m: pa.Array, n: pa.Array, x: pa.Array, y: pa.Array, *firsts: pa.Array) -> pa.Array:
+        out = []
+        totals = (m.to_numpy().astype(np.int64) + n.to_numpy()).tolist() if len(m) else []
+        for i, total in enumerate(totals):
+            shared = all(_share(p[i].as_buffer(), q[i].as_buffer()) for p, q in zip(firsts[::2], firsts[1::2]))
+            out.append(shared and _may_be_alike(rule, x[i].as_buffer(), y[i].as_buffer(), total))
+        return pa.array(out, pa.bool_())
+
+    firsts = [f"{c}_{x}" for c in OTHERS for x in "ab"]
     both = pairs.join(left, "a").join(right, "b")
-    sharing = F.arrow_udf(_sharing, "boolean")
-    for f in OTHERS:
-        both = both.where(sharing(f"{f}_a", f"{f}_b"))
-    kept = stored(both.select("a", "b"), "alike-sharing")
-    hashes = kept.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(own.select("fp", "th"), "fp")
-    hashes = stored(hashes, "alike-hashes")
-    # One row a text: copies are one before they leave their task.
-    whole = texts.select("th", "text").join(hashes, "th").groupBy("fp").agg(F.first("text").alias("text"))
-    many = kept.groupBy("a").agg(F.ceil(F.count("*") / F.lit(HUB_PAIRS)).cast("int").alias("blocks"))
-    of_hub = kept.join(many, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
-    members = of_hub.join(whole, of_hub.b == whole.fp).select("a", "block", "b", "text")
-    hubs = many.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    hubs = hubs.join(whole, hubs.a == whole.fp).select("a", "block", F.lit(None).cast("long").alias("b"), "text")
-    dealt = hubs.union(members).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+    kept = stored(both.where(passes("size_a", "size_b", "fine_a", "fine_b", *firsts)).select("a", "b"), "alike-passing")
+    discard(wanted, own)
+    return kept
+
+
+def _sent(pairs: DataFrame, texts: DataFrame, cards: DataFrame) -> DataFrame:
+    """``(a, block, b, text)``: each pair's member with its text, and (``b`` NULL) the hub's once for ``HUB_PAIRS`` of them.
+
+    Of the copies of a text one is read, found by its number and hash; only texts that may be among the
+    wanted ones, as a bitmap tells, leave their task.
+    """
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(HUB_PAIRS)).cast("int").alias("blocks"))
+    members = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b", F.col("b").alias("fp"))
+    hubs = many.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("b"), F.col("a").alias("fp"))
+    needed = stored(members.union(hubs), "alike-needed")
+    rows = cards.select("fp", "doc_id", "th").join(needed.select("fp").distinct(), "fp", "left_semi")
+    rows = rows.groupBy("fp", "doc_id", "th").agg(F.count("*").alias("n"))
+    one = rows.groupBy("fp").agg(F.min(F.struct("n", "doc_id", "th")).alias("one")).select("fp", "one.*")
+    sent = stored(needed.join(one, "fp").select("a", "block", "b", "n", "doc_id", "th"), "alike-sent")
+    discard(needed)
+    some = Sieve(sent.select("th")).among(texts, F.col("th")).alias("t")
+    same = (F.col("t.th") == F.col("s.th")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))
+    found = some.join(sent.where(F.col("n") <= OFTEN).alias("s"), same).select("a", "block", "b", "text")
+    often = sent.where(F.col("n") > OFTEN)
+    if not often.isEmpty():  # equal rows of one number: made one before they leave their task
+        once = some.join(often.select("th").distinct(), "th", "left_semi").groupBy("th").agg(F.first("text").alias("text"))
+        found = found.union(once.join(often, "th").select("a", "block", "b", "text"))
+    return found
+
+
+def _verified(found: DataFrame, texts: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
+    """The candidate pairs that are alike, as links ``(a, b)``."""
+    once = found.where("low IS NOT NULL").groupBy("low", "high").agg(F.max("hub").alias("a"))
+    pairs = stored(once.select("a", (F.expr("CASE WHEN a = low THEN high ELSE low END")).alias("b")), "alike-pairs")
+    kept = _passing(pairs, cards, rule)
+    dealt = _sent(kept, texts, cards).repartition("a", "block")
+    dealt = dealt.sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, hub_of = None, None
@@ -489,7 +538,7 @@ def _verified(found: DataFrame, texts: DataFrame, cards: DataFrame, rule: Rule)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     links = stored(dealt.mapInArrow(judge, "a long, b long"), "alike-links")
-    discard(pairs, wanted, own, kept, hashes)
+    discard(pairs, kept)
     return links
 
 
