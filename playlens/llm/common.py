@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import math
 import re
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from playlens.session import scratch_dir
 # crc32 of the decimal document number, modulo this, is 0 for held-out documents.
 HELD_OUT_MODULUS = 5
 BATCH_BYTES = 8 << 20
+COLLECT_SECONDS = 20.0  # between two collections in the driver
+_collected = 0.0
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -35,8 +38,11 @@ def discard(*frames: DataFrame) -> None:
 
     A collection in the driver lets Spark drop the shuffle files of plans that nobody holds any more.
     """
-    gc.collect()
-    frames[0].sparkSession._jvm.System.gc()
+    global _collected
+    if time.monotonic() - _collected > COLLECT_SECONDS:
+        gc.collect()
+        frames[0].sparkSession._jvm.System.gc()
+        _collected = time.monotonic()
     for df in frames:
         path = getattr(df, "_written_to", None)
         if path is not None:
