@@ -37,6 +37,9 @@ HEADLINE = (
     "v8_variant_summary",
     "v9_journey_edges",
     "v10_event_reach",
+    "narrow_flatten_a",
+    "narrow_flatten_b",
+    "marked_base_b",
 )
 
 
