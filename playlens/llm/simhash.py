@@ -225,7 +225,7 @@ def near_texts(texts: DataFrame, max_bits: int = 3, shingle: int = 3) -> DataFra
     """``(low, high, hub)``: pairs of keys that span the near-duplicate groups of ``texts(key, text)``.
 
     Equal keys are equal texts. Texts of one fingerprint are paired with the least key of it (the hub), and those
-    keys along the links of the fingerprints, so a group of any size has one pair a member. NULL and empty
+    keys along the links of the fingerprints, so copies of any number bring one pair each. NULL and empty
     texts have fingerprint 0, repeated rows count once; an empty table gives no rows.
     """
     prints = bounded_batches(texts).select("key", fingerprint("text", shingle).alias("fp"))
@@ -234,6 +234,6 @@ def near_texts(texts: DataFrame, max_bits: int = 3, shingle: int = 3) -> DataFra
     equal = prints.join(nodes, "fp").where("key <> first").select("key", F.col("first").alias("hub"))
     links = fingerprint_links(nodes.select("fp"), max_bits)
     ends = nodes.select(F.col("fp").alias("b"), F.col("first").alias("key"))
-    linked = links.join(nodes.withColumnRenamed("fp", "a"), "a").join(ends, "b").select("key", F.col("first").alias("hub"))
+    linked = links.distinct().join(nodes.withColumnRenamed("fp", "a"), "a").join(ends, "b").select("key", F.col("first").alias("hub"))
     pairs = equal.union(linked).where("key <> hub")
     return pairs.select(F.least("key", "hub").alias("low"), F.greatest("key", "hub").alias("high"), "hub")

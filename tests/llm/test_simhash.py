@@ -7,7 +7,7 @@ import pytest
 import xxhash
 
 from playlens.llm.components import connected_components
-from playlens.llm.simhash import fingerprint_links, near_duplicates, text_fingerprint
+from playlens.llm.simhash import fingerprint_links, near_duplicates, near_texts, text_fingerprint
 
 from .helpers import frame, odd_documents, texts
 
@@ -92,5 +92,17 @@ def test_every_row_has_its_component(spark):
     assert sorted(((r[0], r[1] % 2**64, r[2]) for r in found), key=order) == sorted(expected, key=order)
 
 
+def test_pairs_of_texts_span_the_groups(spark):
+    rows = [(i, t) for i, (_, t, _) in enumerate(odd_documents(3, 60))]
+    rows += [(500 + i, rows[i][1] + " tail") for i in range(60)] + [rows[3]] * 4
+    pairs = near_texts(spark.createDataFrame(rows, "key long, text string"), max_bits=3, shingle=5).collect()
+    prints = {k: plain_fingerprint(t, 5) for k, t in rows}
+    expected = components(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    found = components(sorted(prints), lambda a, b: (a, b) in linked or (b, a) in linked) if (linked := {(r.low, r.high) for r in pairs}) else {}
+    assert found == expected and all(r.low < r.high and r.hub in (r.low, r.high) for r in pairs)
+    assert len(linked) <= len(pairs) < 200
+
+
 def test_no_rows(spark):
+    assert near_texts(spark.createDataFrame([], "key long, text string")).collect() == []
     assert near_duplicates(frame(spark, [])).collect() == []
