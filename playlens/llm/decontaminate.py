@@ -152,7 +152,7 @@ def decontaminate(
     least one word in ``share`` is hit). A window is ``window`` consecutive words of an item, or
     all words of a shorter item. ``remove="documents"`` drops contaminated rows;
     ``remove="spans"`` cuts the hit words, with what stands before each, out of every
-    text that has any. NULL and empty texts have no words and stay; an item without words has no
+    text that has any. NULL and empty texts have no words and stay, very long texts are scanned whole; an item without words has no
     window, an item without a number counts for hits but is not listed; repeated rows are judged
     each; an empty benchmark hits nothing. Other columns stay, but for those named as an added one.
     """

@@ -263,7 +263,7 @@ def dedup_lines(
     Keys of at least ``min_chars`` code points found in at least ``min_docs`` documents lose
     their lines everywhere but in the largest ``doc_id`` that holds them. NULL and empty texts
     are one empty line and stay as they are; a text all of whose lines go becomes
-    empty. Repeated rows count as documents of their own, or with ``by_number`` as one document
+    empty; very long texts are split whole. Repeated rows count as documents of their own, or with ``by_number`` as one document
     (rows without a number one each), and all rows of the keeping number keep the line. A row without a number keeps a line only if no holder has
     one. Other columns stay; ``n_lines`` and ``n_dropped`` replace columns so named. An
     empty table gives no rows.

@@ -165,7 +165,7 @@ def pack_documents(
     piece's token ids as little-endian unsigned 32-bit numbers; each document's ids end
     with the end mark. NULL and empty texts have the end mark alone. Pieces of a window
     follow each other without gaps, in the order of document numbers (NULL first; equal
-    numbers by text hash); repeated rows are packed each. Windows are cut at document
+    numbers by text hash); repeated rows are packed each, very long texts in as many windows as they take. Windows are cut at document
     ends, else at sentence or line ends, else, in runs without any, every
     ``LONGEST_RUN`` tokens. The short rest of a range is cut into powers of two. Other
     columns are neither read nor returned; an empty table gives no rows.

@@ -190,8 +190,8 @@ def quality_scores(docs: DataFrame, forest: Forest, threshold: float = 0.3) -> D
     """``docs`` with ``score`` (0 to 1, higher is better) and ``predicted`` (1 from ``threshold`` on).
 
     Only ``text`` is read for a score. NULL and empty texts are scored by statistics that
-    are all 0. Repeated rows score alike; other columns stay, but for those named ``score``
-    or ``predicted``; an empty table gives no rows.
+    are all 0. Very long texts are read whole. Repeated rows score alike; other columns stay, but for those named
+    ``score`` or ``predicted``; an empty table gives no rows.
     """
     matrix = _class_matrix()
     arrays = tuple(forest)

@@ -203,7 +203,8 @@ def near_duplicates(
     empty texts have fingerprint 0 and are linked like any other. Repeated rows come
     back as often as they were given. A row without a number is linked like any other,
     but a component of such rows alone has a NULL ``component_id``. Other columns are
-    neither read nor returned. An empty table gives no rows.
+    neither read nor returned. Very long texts are read whole, their votes counted in blocks. An empty table
+    gives no rows.
     """
     prints = stored(
         bounded_batches(docs).select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash"

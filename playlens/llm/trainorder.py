@@ -118,7 +118,7 @@ def write_training_order(
     the order of the input splits and are cut every ``length`` ids; the last sequence of a
     split is short and filled up with 0, ``n_tokens`` says how far. Ids are stored as
     little-endian 16-bit numbers where the vocabulary fits, else 32-bit. ``ids_crc32`` is that of the
-    sequence's bytes in the shard without the filling. Only ``text`` is read; repeated rows are written each;
+    sequence's bytes in the shard without the filling. Only ``text`` is read; repeated rows are written each, very long texts in as many sequences as they take;
     an empty table writes nothing. ``path`` must be a folder that all executors share (default: below
     ``spark.checkpoint.dir``).
     """
