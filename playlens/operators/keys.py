@@ -27,10 +27,12 @@ def new_rows_only(incoming: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key is not known yet; rows without a key are dropped.
 
     A literal NOT IN would need to broadcast every known key and would reject
-    everything once a single known key is NULL; the keyed anti join does neither.
+    everything once a single known key is NULL; the keyed anti join does neither. Keys
+    hardly compress, so Spark's guess from the size of the files is far too low: without
+    the hint all known keys may pass through the driver.
     """
     return incoming.dropna(subset=[key]).join(
-        known.select(key).dropna(subset=[key]), key, "left_anti"
+        known.select(key).dropna(subset=[key]).hint("merge"), key, "left_anti"
     )
 
 

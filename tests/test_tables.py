@@ -130,6 +130,15 @@ def test_known_null_key_does_not_stop_the_feed(spark):
     assert [r.k for r in new_rows_only(incoming, known, "k").collect()] == ["b"]
 
 
+def test_known_keys_do_not_pass_through_the_driver(spark, tmp_path):
+    # However small their files look, the keys are met where they lie.
+    spark.range(20).selectExpr("string(id) AS k", "id AS other").write.parquet(f"{tmp_path}/known")
+    incoming = spark.range(30).selectExpr("string(id) AS k")
+    new = new_rows_only(incoming, spark.read.parquet(f"{tmp_path}/known"), "k")
+    assert new.count() == 10
+    assert "Broadcast" not in new._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dedup_is_reproducible_for_tied_rows(raw):
     same = [event("loading", "a", platform=p) for p in ("x", "y", "z")]
     picks = {
