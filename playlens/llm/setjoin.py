@@ -6,7 +6,8 @@ such a first element in all of ``ORDERS`` orders. Each order puts frequent eleme
 texts that are kept in a hashed array of its own, and breaks ties by a mix of its own.
 
 The first order is an equality join: texts that share a first element form a group, cut where sizes are
-too far apart, and equal groups of different elements are one. Inside a group pairs are held against
+too far apart, and equal groups of different elements are one. Near copies share many groups, so each pair is left
+to the largest one that both are in, as far as the ``EARLIER`` largest ones of each text tell. Inside a group pairs are held against
 sketches, which count the elements in each of ``BUCKETS`` classes and so bound how many differ, and then against the
 other orders' first elements (as 16-bit hashes, which only ever let a pair through) and finer sketches. What passes is verified
 on the whole sets, nearest partners first; pairs that earlier links joined already are skipped, so a
@@ -42,6 +43,7 @@ OFTEN = 100  # equal rows of one number
 SMALL = 8  # members of a group whose pairs are all tried at once
 HELD = 2048  # members of a group that one task holds; larger groups are cut into blocks
 CENTRES = 16  # of a group cut into blocks
+EARLIER = 16  # groups of a text that its pairs are left to
 WINDOWS = ((0, 2), (2, 16), (16, 128), (128, 1 << 62))  # ranks of partners by nearness, tried in rounds
 BATCH_BYTES = 4 << 20  # of an Arrow batch
 HUB_PAIRS = 500  # pairs of one text that are verified together
@@ -308,7 +310,7 @@ def _groups_of(rule: Rule):
 
 
 def _groups(cards: DataFrame, rule: Rule) -> DataFrame:
-    """``(g, fp, size)``: texts that share a first element and may be alike by size; groups have two or more."""
+    """``(g, fp, size, earlier)``: texts that share a first element and may be alike by size; groups have two or more."""
     order = ("e", "size", "fp")
     rows = cards.select(F.explode("firsts").alias("e"), "size", "fp")
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -317,8 +319,26 @@ def _groups(cards: DataFrame, rule: Rule) -> DataFrame:
     several = ends.groupBy("g").count().where("count > 1").select("g")
     closed = found.where("NOT open").select("g", "fp", "size")
     groups = stored(closed.union(ends.join(several, "g", "left_semi")).distinct(), "alike-groups")
-    discard(found)
-    return groups
+    once = stored(_without_repeats(groups), "alike-groups")
+    discard(found, groups)
+    return once
+
+
+def _without_repeats(groups: DataFrame) -> DataFrame:
+    """The groups ``(g, fp, size)`` that hold a pair of their own, with ``earlier``, the larger groups of a text.
+
+    Groups stand in one order, largest first, and a pair belongs to the first one that has both texts. A group
+    whose members all begin with one and the same other group lies within it and has no pair of its own. Of
+    the others a text names ``EARLIER`` at most: a pair may come up again then, but none is lost.
+    """
+    ranked = groups.join(groups.groupBy("g").agg((-F.count("*")).alias("k")), "g")
+    of_text = ranked.groupBy("fp").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("k", "g"))).alias("all"))
+    rows = of_text.select("fp", "size", F.slice("all.g", 1, EARLIER).alias("top"), F.posexplode("all.g").alias("place", "g"))
+    rows = rows.select("g", "fp", "size", F.get("top", F.lit(0)).alias("first"), F.expr("slice(top, 1, place)").alias("earlier"))
+    rows = stored(rows, "alike-ranked")
+    of_group = rows.groupBy("g").agg(F.min("first").alias("x"), F.max("first").alias("y"))
+    own = of_group.where("x <> y OR x = g").select("g")
+    return rows.drop("first").join(own, "g", "left_semi")
 
 
 def _near(rule: Rule, sketch: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -328,13 +348,24 @@ def _near(rule: Rule, sketch: np.ndarray, size: np.ndarray, i: np.ndarray, j: np
     return (rule.den + rule.num) * apart <= (rule.den - rule.num) * total
 
 
-def _partners(rule: Rule, sketch: np.ndarray, size: np.ndarray, root: np.ndarray, low: int, high: int):
-    """Pairs of a group whose rank by nearness is in a window, and whether later ones are left."""
+def _partners(rule: Rule, sketch: np.ndarray, size: np.ndarray, root: np.ndarray, earlier: tuple[np.ndarray, np.ndarray], low: int, high: int):
+    """Pairs of a group whose rank by nearness is in a window, and whether later ones are left.
+
+    ``earlier`` has the other groups that members' pairs are left to, numbered, and where each member's begin and the last end.
+    """
     left, right, more = [], [], False
     size = size.astype(np.int64)
+    numbers, begin = earlier
+    marked = np.zeros(int(numbers.max(initial=-1)) + 1, bool)
     for i in range(len(size)):
         fit = (size[i] * rule.den >= size * rule.num) & (size * rule.den >= size[i] * rule.num)
         fit[i] = False
+        if begin[i + 1] > begin[i]:
+            own = numbers[begin[i] : begin[i + 1]]
+            marked[own] = True
+            met = np.r_[0, np.cumsum(marked[numbers])]
+            fit &= met[begin[1:]] == met[begin[:-1]]
+            marked[own] = False
         at = np.flatnonzero(fit)
         apart = np.abs(sketch[at].astype(np.int16) - sketch[i]).sum(axis=1, dtype=np.int64)
         total = size[at] + size[i]
@@ -357,6 +388,9 @@ def _candidates_of(rule: Rule, window: tuple[int, int]):
         def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
             g, block, fp, root, size = (table.column(c).to_numpy() for c in ("g", "block", "fp", "root", "size"))
             home = table.column("home").to_numpy()
+            lists = table.column("earlier").combine_chunks()
+            begin = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
+            others = lists.flatten().to_numpy()
             sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, BUCKETS)
             starts = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (block[1:] != block[:-1])])
             counts = np.diff(np.r_[starts, len(g)])
@@ -370,21 +404,26 @@ def _candidates_of(rule: Rule, window: tuple[int, int]):
                             new = (root[i] != root[j]) & (home[i] | home[j])
                             i, j = i[new], j[new]
                             fit = _near(rule, sketch, size, i, j)
-                            left.append(i[fit])
-                            right.append(j[fit])
+                            for a, b in zip(i[fit].tolist(), j[fit].tolist()):
+                                if not np.isin(others[begin[a] : begin[a + 1]], others[begin[b] : begin[b + 1]]).any():
+                                    left.append([a])
+                                    right.append([b])
             for start, k in zip(starts[counts > SMALL].tolist(), counts[counts > SMALL].tolist()):
                 part = slice(start, start + k)
                 if (root[part] == root[start]).all():
                     continue
                 low, high = window if block[start] < 0 else (0, 1 << 62)
-                i, j, more = _partners(rule, sketch[part], size[part], root[part], low, high)
+                numbers = np.unique(others[begin[start] : begin[start + k]], return_inverse=True)[1]
+                earlier = (numbers, begin[start : start + k + 1] - begin[start])
+                i, j, more = _partners(rule, sketch[part], size[part], root[part], earlier, low, high)
+                i, j = np.unique(np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1), axis=0).T
                 use = home[part][i] | home[part][j]
                 left.append(i[use] + start)
                 right.append(j[use] + start)
                 if more:
                     left_over.append(int(g[start]))
             empty = np.empty(0, np.int64)
-            i, j = np.concatenate([empty, *left]), np.concatenate([empty, *right])
+            i, j = np.concatenate([empty, *left]).astype(np.int64), np.concatenate([empty, *right]).astype(np.int64)
             degree = np.bincount(np.r_[i, j], minlength=len(fp))
             low, high = np.minimum(fp[i], fp[j]), np.maximum(fp[i], fp[j])
             hub = np.where(degree[i] >= degree[j], fp[i], fp[j])
@@ -554,13 +593,26 @@ def alike_links(texts: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame
     in_groups = groups.select("fp").distinct()
     sketches = cards.where("sketch IS NOT NULL").select("fp", "sketch").join(in_groups, "fp", "left_semi")
     single = stored(sketches.groupBy("fp").agg(F.first("sketch").alias("sketch")), "alike-sketches")
-    links, roots = None, spark.createDataFrame([], "node long, root long")
+    roots = stored(spark.createDataFrame([], "node long, root long"), "alike-roots")
+
+    def linked(roots: DataFrame, found: DataFrame) -> DataFrame:
+        """The roots after the links among ``found``, by way of the roots so far."""
+        if found.where("low IS NOT NULL").isEmpty():
+            return roots
+        links = _verified(found, texts, cards, rule)
+        if links.isEmpty():
+            discard(links)
+            return roots
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
+        out = stored(connected_components(edges, "a", "b"), "alike-roots")
+        discard(roots, links)
+        return out
+
     if seeds is not None:
-        links = _verified(seeds, texts, cards, rule)
-        roots = stored(connected_components(links, "a", "b"), "alike-roots")
+        roots = linked(roots, seeds)
     for number, window in enumerate(WINDOWS):
         known = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        known = known.select("g", "fp", "size", F.coalesce("root", "fp").alias("root"))
+        known = known.select("g", "fp", "size", "earlier", F.coalesce("root", "fp").alias("root"))
         if number:
             mixed = known.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("g")
             known = known.join(mixed, "g", "left_semi")
@@ -579,15 +631,14 @@ def alike_links(texts: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame
                 found = found.union(blocks.mapInArrow(_candidates_of(rule, (0, 1 << 62)), CANDIDATE))
         found = stored(found, "alike-candidates")
         left = stored(found.where("g IS NOT NULL").select("g").distinct(), "alike-left")
-        new = _verified(found, texts, cards, rule)
-        links = new if links is None else links.union(new)
-        roots = stored(connected_components(links, "a", "b"), "alike-roots")
+        roots = linked(roots, found)
         if number == 0 and any_long:
             left = left.union(counts.select("g"))
         before, groups = groups, stored(groups.join(left, "g", "left_semi"), "alike-groups")
         discard(before, found)
         if groups.isEmpty():
             break
+    discard(groups, counts, single)
     return roots
 
 

@@ -114,6 +114,29 @@ def test_long_groups_are_cut_into_blocks(spark, monkeypatch):
     assert found(spark, rows, RULE) == expected(rows, RULE)
 
 
+def test_a_pair_comes_up_once_however_many_groups_share_it(spark, monkeypatch):
+    """Near copies of one text share many first elements, each with other members."""
+    kept, made = setjoin.stored, []
+
+    def counted(df, label):
+        out = kept(df, label)
+        if label == "alike-candidates":
+            made.extend((r.low, r.high) for r in out.where("low IS NOT NULL").collect())
+        return out
+
+    monkeypatch.setattr(setjoin, "stored", counted)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        new = base[:]
+        for at in rng.sample(range(300), rng.choice([1, 2, 8, 14])):
+            new[at] = f"n{rng.randrange(10**6)}"
+        rows.append((i, " ".join(new), "x"))
+    assert found(spark, rows, RULE) == expected(rows, RULE)
+    assert len(made) <= 2 * len(set(made))
+
+
 def test_a_third_of_all_rows_and_a_long_text(spark):
     rng = random.Random(5)
     long = [f"w{rng.randrange(10**6)}" for _ in range(150_000)]  # over 1 MB
