@@ -33,16 +33,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return written
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """A collection in the driver, which lets Spark drop the shuffle files of plans that nobody holds any more."""
+    global _collected
+    gc.collect()
+    spark._jvm.System.gc()
+    _collected = time.monotonic()
+
+
 def discard(*frames: DataFrame) -> None:
     """Deletes tables that ``stored`` wrote, once everything made from them is written itself.
 
-    A collection in the driver lets Spark drop the shuffle files of plans that nobody holds any more.
+    From time to time the shuffle files nobody needs any more go as well.
     """
-    global _collected
     if time.monotonic() - _collected > COLLECT_SECONDS:
-        gc.collect()
-        frames[0].sparkSession._jvm.System.gc()
-        _collected = time.monotonic()
+        drop_shuffles(frames[0].sparkSession)
     for df in frames:
         path = getattr(df, "_written_to", None)
         if path is not None:

@@ -92,3 +92,12 @@ def test_stages_take_odd_rows_and_none(spark):
         docs = spark.createDataFrame(table, schema).withColumn("hits", F.lit(1)).withColumn("score", F.lit("x"))
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, SF).count() >= 0
+
+
+def test_shuffles_of_earlier_stages_go_before_packing(spark, monkeypatch):
+    done = []
+    monkeypatch.setattr(corpus_pipeline, "drop_shuffles", lambda _: done.append("drop"), raising=False)
+    empty = spark.createDataFrame([], "doc_id long, ids binary")
+    monkeypatch.setattr(corpus_pipeline, "pack_documents", lambda docs, *_, **__: done.append("pack") or docs)
+    corpus_pipeline.pack(spark, empty, "")
+    assert done == ["drop", "pack"]
