@@ -8,9 +8,10 @@ texts that are kept in a hashed array of its own, and breaks ties by a mix of it
 The first order is an equality join: texts that share a first element form a group, cut where sizes are
 too far apart, and equal groups of different elements are one. Near copies share many groups, so each pair is left
 to the largest one that both are in, as far as the ``EARLIER`` largest ones of each text tell. Inside a group pairs are held against
-sketches, which count the elements in each of ``BUCKETS`` classes and so bound how many differ, and then against the
-other orders' first elements (as 16-bit hashes, which only ever let a pair through) and finer sketches. What passes is verified
-on the whole sets, nearest partners first; pairs that earlier links joined already are skipped, so a
+sketches of ``SKETCH`` bytes, which bound how many elements differ: whether each of ``8 * SKETCH`` classes has an odd number of a
+set's elements, or for sets over ``LONG`` how many each of ``SKETCH`` classes has. Then they are held against finer sketches, about
+a bit for each element, and what is left against the other orders' first elements (as 16-bit hashes, which only ever let a pair
+through). What passes is verified on the whole sets, nearest partners first; pairs that earlier links joined already are skipped, so a
 large group of near copies takes about one pair a member, while no pair in different components goes
 untested. Texts are reduced to distinct sequences of words first: copies are never pairs.
 
@@ -37,8 +38,9 @@ from playlens.operators.sieve import Sieve
 ORDERS = 3
 SLOT_BITS = 16  # counters of each order, whatever the number of texts
 REDUCERS = 16
-BUCKETS = 64  # of a sketch
-FINE_ELEMENTS, FINE_BITS = 4, 16  # of a bucket of the finer sketch, which has 2**FINE_BITS buckets at most
+SKETCH = 64  # bytes
+LONG = 1500  # elements of a set whose sketch counts; with more, half of ``8 * SKETCH`` odd classes would prove nothing
+FINE_BITS = 20  # the finer sketch has 2**FINE_BITS classes at most
 OFTEN = 100  # equal rows of one number
 SMALL = 8  # members of a group whose pairs are all tried at once
 HELD = 2048  # members of a group that one task holds; larger groups are cut into blocks
@@ -193,14 +195,34 @@ def first_elements(elements: np.ndarray, order: int, weights: np.ndarray, count:
     return elements[key <= np.partition(key, count - 1)[count - 1]]
 
 
-def sketch_of(elements: np.ndarray, bits: int) -> np.ndarray:
-    """How many elements begin with each pattern of so many bits, up to 255."""
-    classes = (elements >> np.uint64(64 - bits)).astype(np.int64)
-    return np.minimum(np.bincount(classes, minlength=1 << bits), 255).astype(np.uint8)
+def parity_of(elements: np.ndarray, bits: int) -> np.ndarray:
+    """For each pattern of so many last bits whether an odd number of elements has it, packed into bytes."""
+    classes = (elements & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return np.packbits((np.bincount(classes, minlength=1 << bits) & 1).astype(bool), bitorder="little")
+
+
+def sketch_of(elements: np.ndarray) -> np.ndarray:
+    """``SKETCH`` bytes: odd classes, or for sets over ``LONG`` how many elements begin with each pattern, up to 255."""
+    if len(elements) <= LONG:
+        return parity_of(elements, SKETCH.bit_length() + 2)
+    classes = (elements >> np.uint64(65 - SKETCH.bit_length())).astype(np.int64)
+    return np.minimum(np.bincount(classes, minlength=SKETCH), 255).astype(np.uint8)
+
+
+def _apart(x: np.ndarray, m: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many elements at least two sets differ in, by rows of sketches and the sizes; 0 if the sketches are of two kinds."""
+    long_x, long_y = m > LONG, n > LONG
+    out = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    out[long_x != long_y] = 0
+    both = np.flatnonzero(long_x & long_y)
+    if len(both):
+        x, y = (v[both] if v.shape[0] == len(out) else v for v in (x, y))
+        out[both] = np.abs(x.astype(np.int16) - y).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def fine_bits(size: int) -> int:
-    return min(FINE_BITS, max(6, (size // FINE_ELEMENTS).bit_length()))
+    return min(FINE_BITS, max(6, size.bit_length()))
 
 
 OTHERS = [f"f{order}" for order in range(1, ORDERS)]
@@ -234,8 +256,8 @@ def _cards(texts: DataFrame, rule: Rule) -> DataFrame:
                 sizes.append(len(elements))
                 count = rule.prefix(len(elements))
                 firsts.append(first_elements(elements, 0, shared.value, count).view(np.int64))
-                sketches.append(sketch_of(elements, BUCKETS.bit_length() - 1).tobytes())
-                fine.append(sketch_of(elements, fine_bits(len(elements))).tobytes())
+                sketches.append(sketch_of(elements).tobytes())
+                fine.append(parity_of(elements, fine_bits(len(elements))).tobytes())
                 for order, column in enumerate(more, 1):
                     found = first_elements(elements, order, shared.value, count)
                     column.append(np.unique((found >> np.uint64(40)).astype(np.uint16)).tobytes())
@@ -344,7 +366,7 @@ def _without_repeats(groups: DataFrame) -> DataFrame:
 def _near(rule: Rule, sketch: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether pairs may be alike: sets differ in at least as many elements as their sketches."""
     total = size[i].astype(np.int64) + size[j]
-    apart = np.abs(sketch[i].astype(np.int16) - sketch[j]).sum(axis=1, dtype=np.int64)
+    apart = _apart(sketch[i], size[i], sketch[j], size[j])
     return (rule.den + rule.num) * apart <= (rule.den - rule.num) * total
 
 
@@ -367,7 +389,7 @@ def _partners(rule: Rule, sketch: np.ndarray, size: np.ndarray, root: np.ndarray
             fit &= met[begin[1:]] == met[begin[:-1]]
             marked[own] = False
         at = np.flatnonzero(fit)
-        apart = np.abs(sketch[at].astype(np.int16) - sketch[i]).sum(axis=1, dtype=np.int64)
+        apart = _apart(sketch[at], size[at], sketch[i : i + 1], size[i : i + 1])
         total = size[at] + size[i]
         may = (rule.den + rule.num) * apart <= (rule.den - rule.num) * total
         at, share = at[may], apart[may] / total[may]
@@ -391,7 +413,7 @@ def _candidates_of(rule: Rule, window: tuple[int, int]):
             lists = table.column("earlier").combine_chunks()
             begin = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
             others = lists.flatten().to_numpy()
-            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, BUCKETS)
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
             starts = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (block[1:] != block[:-1])])
             counts = np.diff(np.r_[starts, len(g)])
             left, right, left_over = [], [], []
@@ -462,9 +484,9 @@ def _centre_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
     def apart(a: pa.Array, b: pa.Array, m: pa.Array, n: pa.Array) -> pa.Array:
         if not len(a):
             return pa.array([], pa.float64())
-        x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for v in (a, b))
+        x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, SKETCH) for v in (a, b))
         total = m.to_numpy().astype(np.int64) + n.to_numpy()
-        far = np.abs(x - y).sum(axis=1, dtype=np.int64)
+        far = _apart(x, m.to_numpy(), y, n.to_numpy())
         may = (rule.den + rule.num) * far <= (rule.den - rule.num) * total
         return pa.array(np.where(may, far / total, 2.0))
 
@@ -493,42 +515,53 @@ def _share(x: bytes, y: bytes) -> bool:
 
 
 def _may_be_alike(rule: Rule, x: bytes, y: bytes, total: int) -> bool:
-    """False only for sets that are not: by sketches, the longer one brought to the shorter one's classes."""
-    x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
-    least = min(len(x), len(y))
-    apart = int(np.abs(x.reshape(least, -1).sum(axis=1) - y.reshape(least, -1).sum(axis=1)).sum())
+    """False only for sets that are not: by odd classes, the longer sketch folded to the shorter one's."""
+    x, y = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    apart = int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)))).sum())
     return (rule.den + rule.num) * apart <= (rule.den - rule.num) * total
 
 
-def _passing(pairs: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs ``(a, b)`` that share a first element in every other order and whose fine sketches are near."""
+def _compared(pairs: DataFrame, cards: DataFrame, columns: list[str]) -> tuple[DataFrame, list[DataFrame]]:
+    """``pairs(a, b)`` with columns of the cards of both texts, and what was stored on the way."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "alike-wanted")
-    compared = ["size", "fine", *OTHERS]
-    own = cards.where("sketch IS NOT NULL").join(wanted, "fp", "left_semi")
-    own = stored(own.groupBy("fp").agg(*[F.first(c).alias(c) for c in compared]), "alike-compared")
-    left, right = (own.select(F.col("fp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in compared]) for x in "ab")
+    own = cards.where("sketch IS NOT NULL").select("fp", *columns).join(wanted, "fp", "left_semi")
+    own = stored(own.groupBy("fp").agg(*[F.first(c).alias(c) for c in columns]), "alike-compared")
+    left, right = (own.select(F.col("fp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
+    return pairs.join(left, "a").join(right, "b"), [wanted, own]
+
+
+def _passing(pairs: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs ``(a, b)`` whose fine sketches are near and that share a first element in every other order.
+
+    First elements take most room beside a long text and tell least there, so only the pairs that sketches leave meet them.
+    """
 
     @F.arrow_udf("boolean")
-    def passes(m: pa.Array, n: pa.Array, x: pa.Array, y: pa.Array, *firsts: pa.Array) -> pa.Array:
-        out = []
+    def near(m: pa.Array, n: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
         totals = (m.to_numpy().astype(np.int64) + n.to_numpy()).tolist() if len(m) else []
-        for i, total in enumerate(totals):
-            shared = all(_share(p[i].as_buffer(), q[i].as_buffer()) for p, q in zip(firsts[::2], firsts[1::2]))
-            out.append(shared and _may_be_alike(rule, x[i].as_buffer(), y[i].as_buffer(), total))
+        out = [_may_be_alike(rule, x[i].as_buffer(), y[i].as_buffer(), total) for i, total in enumerate(totals)]
+        return pa.array(out, pa.bool_())
+
+    @F.arrow_udf("boolean")
+    def share(*firsts: pa.Array) -> pa.Array:
+        both = list(zip(firsts[::2], firsts[1::2]))
+        out = [all(_share(p[i].as_buffer(), q[i].as_buffer()) for p, q in both) for i in range(len(firsts[0]))]
         return pa.array(out, pa.bool_())
 
-    firsts = [f"{c}_{x}" for c in OTHERS for x in "ab"]
-    both = pairs.join(left, "a").join(right, "b")
-    kept = stored(both.where(passes("size_a", "size_b", "fine_a", "fine_b", *firsts)).select("a", "b"), "alike-passing")
-    discard(wanted, own)
+    both, parts = _compared(pairs.select("a", "b"), cards, ["size", "fine"])
+    left = stored(both.where(near("size_a", "size_b", "fine_a", "fine_b")).select("a", "b"), "alike-near")
+    discard(*parts)
+    both, parts = _compared(left, cards, OTHERS)
+    kept = stored(both.where(share(*[f"{c}_{x}" for c in OTHERS for x in "ab"])).select("a", "b"), "alike-passing")
+    discard(left, *parts)
     return kept
 
 
 def _sent(pairs: DataFrame, texts: DataFrame, cards: DataFrame) -> DataFrame:
     """``(a, block, b, text)``: each pair's member with its text, and (``b`` NULL) the hub's once for ``HUB_PAIRS`` of them.
 
-    Of the copies of a text one is read, found by its number and hash; only texts that may be among the
-    wanted ones, as a bitmap tells, leave their task.
+    Of the copies of a text one is read, found by its number and hash; only rows that may be among the
+    wanted ones, as a bitmap tells, leave their task, so copies under other numbers stay.
     """
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(HUB_PAIRS)).cast("int").alias("blocks"))
     members = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b", F.col("b").alias("fp"))
@@ -539,7 +572,8 @@ def _sent(pairs: DataFrame, texts: DataFrame, cards: DataFrame) -> DataFrame:
     one = rows.groupBy("fp").agg(F.min(F.struct("n", "doc_id", "th")).alias("one")).select("fp", "one.*")
     sent = stored(needed.join(one, "fp").select("a", "block", "b", "n", "doc_id", "th"), "alike-sent")
     discard(needed)
-    some = Sieve(sent.select("th")).among(texts, F.col("th")).alias("t")
+    row = F.xxhash64("th", "doc_id")
+    some = Sieve(sent.select(row)).among(texts, row).alias("t")
     same = (F.col("t.th") == F.col("s.th")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))
     found = some.join(sent.where(F.col("n") <= OFTEN).alias("s"), same).select("a", "block", "b", "text")
     often = sent.where(F.col("n") > OFTEN)

@@ -137,6 +137,40 @@ def test_a_pair_comes_up_once_however_many_groups_share_it(spark, monkeypatch):
     assert len(made) <= 2 * len(set(made))
 
 
+def test_sets_a_little_too_far_apart_are_told_by_sketches(spark, monkeypatch):
+    """Texts of one frame, each with words of its own in another place: no pair is alike, and few are compared whole."""
+    kept, made = setjoin.stored, {"alike-candidates": 0, "alike-passing": 0}
+
+    def counted(df, label):
+        out = kept(df, label)
+        if label in made:
+            made[label] += out.where("low IS NOT NULL" if "low" in out.columns else "a IS NOT NULL").count()
+        return out
+
+    monkeypatch.setattr(setjoin, "stored", counted)
+    base, rows = [f"w{i}" for i in range(420)], []
+    for i in range(14):
+        new = base[:]
+        new[30 * i : 30 * i + 30] = [f"n{i}x{k}" for k in range(30)]
+        rows.append((i, " ".join(new), "x"))
+    assert found(spark, rows, RULE) == expected(rows, RULE) == [(i, 417, i) for i in sorted(range(14), key=str)]
+    assert made["alike-candidates"] <= 10 and made["alike-passing"] == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 4000), st.floats(0, 0.3), st.integers(0, 400))
+def test_sketches_never_tell_more_than_the_difference(seed, size, gone, new):
+    rng = np.random.default_rng(seed)
+    a = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+    b = np.unique(np.r_[a[rng.random(len(a)) >= gone], rng.integers(0, 1 << 64, new + 1, dtype=np.uint64)])
+    x, y = (setjoin.sketch_of(s)[None, :] for s in (a, b))
+    assert setjoin._apart(x, np.array([len(a)]), y, np.array([len(b)]))[0] <= len(np.setxor1d(a, b))
+    fine = [setjoin.parity_of(s, setjoin.fine_bits(len(s))).tobytes() for s in (a, b)]
+    both = len(np.intersect1d(a, b))
+    if RULE.den * both >= RULE.num * (len(a) + len(b) - both):
+        assert setjoin._may_be_alike(RULE, *fine, len(a) + len(b)) and setjoin._may_be_alike(RULE, *fine[::-1], len(a) + len(b))
+
+
 def test_a_third_of_all_rows_and_a_long_text(spark):
     rng = random.Random(5)
     long = [f"w{rng.randrange(10**6)}" for _ in range(150_000)]  # over 1 MB
