@@ -56,6 +56,12 @@ def discard(*frames: DataFrame) -> None:
             place.getFileSystem(hadoop).delete(place, True)
 
 
+def reads(df: DataFrame, written: DataFrame) -> bool:
+    """Whether ``df`` reads files of a table that ``stored`` wrote."""
+    folder = written._written_to.rsplit("/", 1)[-1]
+    return any(f"/{folder}/" in file for file in df.inputFiles())
+
+
 def bounded_batches(df: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
     """``df``, with Arrow batches of the session bounded by bytes.
 

@@ -154,7 +154,8 @@ def decontaminate(
     ``remove="spans"`` cuts the hit words, with what stands before each, out of every
     text that has any. NULL and empty texts have no words and stay, very long texts are scanned whole; an item without words has no
     window, an item without a number counts for hits but is not listed; repeated rows are judged
-    each; an empty benchmark hits nothing. Other columns stay, but for those named as an added one.
+    each; an empty benchmark hits nothing. Other columns stay, but for those named as an added one. The result reads
+    ``_scanned``, a stored copy of the texts, which its caller may discard once the result is written.
     """
     added = ("n_words", "n_hit", "items", "contaminated")
     names = [c for c in docs.columns if c != "text" and c not in added]
@@ -162,7 +163,7 @@ def decontaminate(
     windows, members = item_sets(stored(item_windows(benchmark, window), "item-windows"))
     found = find_hits(docs.select("text", *renamed), windows, block)
     found = found.withColumn("sets", F.array_sort(F.array_distinct(F.transform("hits", lambda x: x["set"]))))
-    found = stored(found, "found")
+    found = scanned = stored(found, "found")
     # Texts hit by the same sets of items have the same items.
     sets = found.where(F.size("sets") > 0).select("sets").distinct().withColumn("set", F.explode("sets"))
     text_of_item = F.collect_set(F.col("item_id").cast("string"))
@@ -178,4 +179,6 @@ def decontaminate(
         judged = judged.where("NOT contaminated")
     text = _without_spans(F.col("text"), F.col("hits")) if remove == "spans" else F.col("text")
     back = {c: F.col(f"c{i}").alias(c) for i, c in enumerate(names)} | {"text": text.alias("text")}
-    return judged.select(*[back[c] for c in docs.columns if c in back], *added)
+    out = judged.select(*[back[c] for c in docs.columns if c in back], *added)
+    out._scanned = scanned
+    return out

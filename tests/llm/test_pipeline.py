@@ -101,3 +101,24 @@ def test_shuffles_of_earlier_stages_go_before_packing(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "pack_documents", lambda docs, *_, **__: done.append("pack") or docs)
     corpus_pipeline.pack(spark, empty, "")
     assert done == ["drop", "pack"]
+
+
+def test_the_scanned_copy_goes_before_packing_unless_it_is_read(spark):
+    table = [(i, f"text {i} with a few words of its own", "en", "s", 30) for i in range(20)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string, n_chars long")
+
+    def left():
+        """Rows of the copy, None if it is gone."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(scanned._written_to)
+        there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+        return spark.read.parquet(scanned._written_to).count() if there else None
+
+    kept = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    scanned = corpus_pipeline._scanned[spark.sparkContext.applicationId]
+    packed = corpus_pipeline.pack(spark, kept, SF)  # not written in between
+    assert packed.select("doc_id").distinct().count() == 20 and left() == 20
+    kept = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    scanned = corpus_pipeline._scanned[spark.sparkContext.applicationId]
+    written = corpus_pipeline.stored(kept, "test-kept")
+    packed = corpus_pipeline.pack(spark, written, SF)
+    assert packed.select("doc_id").distinct().count() == 20 and left() is None
