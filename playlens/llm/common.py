@@ -16,6 +16,7 @@ from playlens.session import scratch_dir
 HELD_OUT_MODULUS = 5
 BATCH_BYTES = 8 << 20
 COLLECT_SECONDS = 20.0  # between two collections in the driver
+FEW = 1 << 16  # rows of a few numbers each that one task groups
 _collected = 0.0
 
 
@@ -56,6 +57,11 @@ def discard(*frames: DataFrame) -> None:
             place.getFileSystem(hadoop).delete(place, True)
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """``df``, narrow rows of a stored table, in one task if they are ``FEW`` at most: grouping them shuffles nothing then."""
+    return df.coalesce(1) if df.count() <= FEW else df
+
+
 def reads(df: DataFrame, written: DataFrame) -> bool:
     """Whether ``df`` reads files of a table that ``stored`` wrote."""
     folder = written._written_to.rsplit("/", 1)[-1]

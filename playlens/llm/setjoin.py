@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playlens.llm.common import bounded_batches, discard, stored
+from playlens.llm.common import bounded_batches, discard, gathered, stored
 from playlens.llm.components import connected_components
 from playlens.operators.sieve import Sieve
 
@@ -337,8 +337,8 @@ def _groups(cards: DataFrame, rule: Rule) -> DataFrame:
     rows = cards.select(F.explode("firsts").alias("e"), "size", "fp")
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     found = stored(dealt.mapInArrow(_groups_of(rule), "g long, fp long, size int, open boolean"), "alike-runs")
-    ends = found.where("open").select(F.xxhash64("g").alias("g"), "fp", "size").distinct()
-    several = ends.groupBy("g").count().where("count > 1").select("g")
+    ends = found.where("open").select(F.xxhash64("g").alias("g"), "fp", "size")
+    several = ends.groupBy("g").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y").select("g")
     closed = found.where("NOT open").select("g", "fp", "size")
     groups = stored(closed.union(ends.join(several, "g", "left_semi")).distinct(), "alike-groups")
     once = stored(_without_repeats(groups), "alike-groups")
@@ -521,13 +521,13 @@ def _may_be_alike(rule: Rule, x: bytes, y: bytes, total: int) -> bool:
     return (rule.den + rule.num) * apart <= (rule.den - rule.num) * total
 
 
-def _compared(pairs: DataFrame, cards: DataFrame, columns: list[str]) -> tuple[DataFrame, list[DataFrame]]:
-    """``pairs(a, b)`` with columns of the cards of both texts, and what was stored on the way."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "alike-wanted")
+def _compared(pairs: DataFrame, cards: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Stored ``pairs(a, b)`` with columns of the cards of both texts, and these cards, which are stored too."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp"))
     own = cards.where("sketch IS NOT NULL").select("fp", *columns).join(wanted, "fp", "left_semi")
     own = stored(own.groupBy("fp").agg(*[F.first(c).alias(c) for c in columns]), "alike-compared")
     left, right = (own.select(F.col("fp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
-    return pairs.join(left, "a").join(right, "b"), [wanted, own]
+    return pairs.join(left, "a").join(right, "b"), own
 
 
 def _passing(pairs: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
@@ -548,32 +548,30 @@ def _passing(pairs: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
         out = [all(_share(p[i].as_buffer(), q[i].as_buffer()) for p, q in both) for i in range(len(firsts[0]))]
         return pa.array(out, pa.bool_())
 
-    both, parts = _compared(pairs.select("a", "b"), cards, ["size", "fine"])
+    both, own = _compared(pairs.select("a", "b"), cards, ["size", "fine"])
     left = stored(both.where(near("size_a", "size_b", "fine_a", "fine_b")).select("a", "b"), "alike-near")
-    discard(*parts)
-    both, parts = _compared(left, cards, OTHERS)
+    discard(own)
+    both, own = _compared(left, cards, OTHERS)
     kept = stored(both.where(share(*[f"{c}_{x}" for c in OTHERS for x in "ab"])).select("a", "b"), "alike-passing")
-    discard(left, *parts)
+    discard(left, own)
     return kept
 
 
-def _sent(pairs: DataFrame, texts: DataFrame, cards: DataFrame) -> DataFrame:
+def _sent(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(a, block, b, text)``: each pair's member with its text, and (``b`` NULL) the hub's once for ``HUB_PAIRS`` of them.
 
-    Of the copies of a text one is read, found by its number and hash; only rows that may be among the
+    Of the copies of a text one is read, found by the number and hash that ``nodes`` name; only rows that may be among the
     wanted ones, as a bitmap tells, leave their task, so copies under other numbers stay.
     """
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(HUB_PAIRS)).cast("int").alias("blocks"))
+    many = gathered(pairs).groupBy("a").agg(F.ceil(F.count("*") / F.lit(HUB_PAIRS)).cast("int").alias("blocks"))
+    many = stored(many, "alike-hubs")
     members = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b", F.col("b").alias("fp"))
     hubs = many.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("b"), F.col("a").alias("fp"))
     needed = stored(members.union(hubs), "alike-needed")
-    rows = cards.select("fp", "doc_id", "th").join(needed.select("fp").distinct(), "fp", "left_semi")
-    rows = rows.groupBy("fp", "doc_id", "th").agg(F.count("*").alias("n"))
-    one = rows.groupBy("fp").agg(F.min(F.struct("n", "doc_id", "th")).alias("one")).select("fp", "one.*")
-    sent = stored(needed.join(one, "fp").select("a", "block", "b", "n", "doc_id", "th"), "alike-sent")
-    discard(needed)
+    sent = stored(needed.join(nodes, "fp").select("a", "block", "b", "n", "doc_id", "th"), "alike-sent")
+    discard(many, needed)
     row = F.xxhash64("th", "doc_id")
-    some = Sieve(sent.select(row)).among(texts, row).alias("t")
+    some = Sieve(gathered(sent).select(row)).among(texts, row).alias("t")
     same = (F.col("t.th") == F.col("s.th")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))
     found = some.join(sent.where(F.col("n") <= OFTEN).alias("s"), same).select("a", "block", "b", "text")
     often = sent.where(F.col("n") > OFTEN)
@@ -583,12 +581,15 @@ def _sent(pairs: DataFrame, texts: DataFrame, cards: DataFrame) -> DataFrame:
     return found
 
 
-def _verified(found: DataFrame, texts: DataFrame, cards: DataFrame, rule: Rule) -> DataFrame:
+def _verified(found: DataFrame, texts: DataFrame, cards: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """The candidate pairs that are alike, as links ``(a, b)``."""
-    once = found.where("low IS NOT NULL").groupBy("low", "high").agg(F.max("hub").alias("a"))
+    once = gathered(found.where("low IS NOT NULL")).groupBy("low", "high").agg(F.max("hub").alias("a"))
     pairs = stored(once.select("a", (F.expr("CASE WHEN a = low THEN high ELSE low END")).alias("b")), "alike-pairs")
     kept = _passing(pairs, cards, rule)
-    dealt = _sent(kept, texts, cards).repartition("a", "block")
+    if kept.isEmpty():
+        discard(pairs)
+        return kept
+    dealt = _sent(kept, texts, nodes).repartition("a", "block")
     dealt = dealt.sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -615,10 +616,10 @@ def _verified(found: DataFrame, texts: DataFrame, cards: DataFrame, rule: Rule)
     return links
 
 
-def alike_links(texts: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame | None = None) -> DataFrame:
+def alike_links(texts: DataFrame, cards: DataFrame, nodes: DataFrame, rule: Rule, seeds: DataFrame | None = None) -> DataFrame:
     """``(node, root)`` of all texts that have a link, from ``texts(th, text)`` and their ``cards``.
 
-    ``seeds`` are pairs ``(low, high, hub)`` to be tried first.
+    ``nodes`` name the row ``(n, doc_id, th)`` to read each text in; ``seeds`` are pairs ``(low, high, hub)`` to be tried first.
     """
     spark = texts.sparkSession
     groups = _groups(cards.where("sketch IS NOT NULL"), rule)
@@ -633,7 +634,7 @@ def alike_links(texts: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame
         """The roots after the links among ``found``, by way of the roots so far."""
         if found.where("low IS NOT NULL").isEmpty():
             return roots
-        links = _verified(found, texts, cards, rule)
+        links = _verified(found, texts, cards, nodes, rule)
         if links.isEmpty():
             discard(links)
             return roots
@@ -644,11 +645,18 @@ def alike_links(texts: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame
 
     if seeds is not None:
         roots = linked(roots, seeds)
+
+    def rooted(groups: DataFrame) -> DataFrame:
+        out = groups.select("g", "fp", "size", "earlier").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+        return out.select("g", "fp", "size", "earlier", F.coalesce("root", "fp").alias("root"))
+
     for number, window in enumerate(WINDOWS):
-        known = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        known = known.select("g", "fp", "size", "earlier", F.coalesce("root", "fp").alias("root"))
+        known = groups if number else rooted(groups)
         if number:
-            mixed = known.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("g")
+            mixed = gathered(known.select("g", "root")).groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+            mixed = stored(mixed.where("x <> y").select("g"), "alike-mixed")
+            if mixed.isEmpty():
+                break
             known = known.join(mixed, "g", "left_semi")
         known = known.join(single, "fp").withColumn("block", F.lit(-1)).withColumn("home", F.lit(True))
         plain = known.join(counts, "g", "left_anti") if any_long else known
@@ -664,14 +672,12 @@ def alike_links(texts: DataFrame, cards: DataFrame, rule: Rule, seeds: DataFrame
                 blocks = _blocks(long, counts).repartition("g", "block").sortWithinPartitions(*order)
                 found = found.union(blocks.mapInArrow(_candidates_of(rule, (0, 1 << 62)), CANDIDATE))
         found = stored(found, "alike-candidates")
-        left = stored(found.where("g IS NOT NULL").select("g").distinct(), "alike-left")
+        left = stored(found.where("g IS NOT NULL").select("g"), "alike-left")
         roots = linked(roots, found)
         if number == 0 and any_long:
             left = left.union(counts.select("g"))
-        before, groups = groups, stored(groups.join(left, "g", "left_semi"), "alike-groups")
+        before, groups = groups, stored(rooted(groups.join(left, "g", "left_semi")), "alike-groups")
         discard(before, found)
-        if groups.isEmpty():
-            break
     discard(groups, counts, single)
     return roots
 
@@ -692,13 +698,15 @@ def similar_documents(docs: DataFrame, rule: Rule, seeds: DataFrame | None = Non
     texts = texts.withColumn("th", F.xxhash64("text"))
     cards = stored(_cards(texts, rule), "alike-cards")
     rows = stored(cards.select("doc_id", "fp", "size"), "alike-rows")
-    roots = alike_links(texts, cards, rule, seeds)
-    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "alike-nodes")
+    equal = cards.groupBy("fp", "doc_id", "th").agg(F.count("*").alias("n"))
+    nodes = equal.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("n", "doc_id", "th")).alias("one"))
+    nodes = stored(nodes.select("fp", "first_id", "one.*"), "alike-nodes")
+    roots = alike_links(texts, cards, nodes, rule, seeds)
     linked = roots.join(nodes, roots.node == nodes.fp).select("fp", "root", "first_id")
     first = F.min_by("fp", F.struct(F.isnull("first_id"), "first_id", "fp"))
     least = linked.groupBy("root").agg(F.min("first_id").alias("linked_id"), first.alias("linked_fp"))
     of_linked = linked.join(least, "root").select("fp", "linked_id", "linked_fp")
-    classes = nodes.join(of_linked, "fp", "left").select(
+    classes = nodes.select("fp", "first_id").join(of_linked, "fp", "left").select(
         "fp", F.coalesce("linked_id", "first_id").alias("component_id"), F.coalesce("linked_fp", "fp").alias("keeper")
     )
     # Written, so that the last join is one that can split a hot text.

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
 import pytest
 import xxhash
 
+from playlens.llm import common
 from playlens.llm.components import connected_components
 from playlens.llm.simhash import fingerprint_links, near_duplicates, near_texts, text_fingerprint
 
@@ -77,6 +79,25 @@ def test_a_chain_and_loops(spark):
     assert {r.node: r.root for r in found} == {i: 0 for i in range(41)} | {60: 60, 61: 60}
 
 
+@pytest.mark.parametrize(("few", "most"), [(1 << 16, 6), (0, 10**6)])
+def test_components_of_few_links_take_few_tasks(spark, monkeypatch, few, most):
+    """Links left in one task's reach are finished there; more of them go through rounds, with the same result."""
+    monkeypatch.setattr(common, "FEW", few)
+    rng = random.Random(2)
+    links = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(250)] + [(i, i + 1) for i in range(1000, 1200)]
+    tracker, group = spark.sparkContext.statusTracker(), f"components-{few}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = connected_components(spark.createDataFrame(links, "a long, b long").repartition(3), "a", "b").collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    near = {frozenset(pair) for pair in links}
+    nodes = sorted({x for a, b in links if a != b for x in (a, b)})
+    assert len(found) == len(nodes)
+    assert {r.node: r.root for r in found} == components(nodes, lambda a, b: frozenset((a, b)) in near)
+    assert len(tracker.getJobIdsForGroup(group)) <= most
+
+
 def test_every_row_has_its_component(spark):
     rows = odd_documents()
     found = near_duplicates(frame(spark, rows, "component_id")).collect()
