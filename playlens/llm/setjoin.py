@@ -153,9 +153,9 @@ def _slots(elements: np.ndarray, order: int) -> np.ndarray:
 
 
 def _frequencies(texts: DataFrame, rule: Rule) -> np.ndarray:
-    """Each order's hashed counters over all sets: one row of fixed size a task, added up in two steps.
+    """Each order's hashed counters over all sets: of fixed size for each task, in ``REDUCERS`` pieces that are added up piece by piece.
 
-    Counts only order elements, so a text may count once for each task that holds it.
+    So the driver gets each counter once. Counts only order elements, so a text may count once for each task that holds it.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,18 +173,23 @@ def _frequencies(texts: DataFrame, rule: Rule) -> np.ndarray:
             for order in range(ORDERS):
                 total[order] += np.bincount(_slots(elements, order), minlength=1 << SLOT_BITS)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.uint32).tobytes()])], ["counts"])
+            pieces = [x.tobytes() for x in np.split(total.astype(np.uint32).ravel(), REDUCERS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(REDUCERS), pa.int32()), pa.array(pieces)], ["piece", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(ORDERS << SLOT_BITS, np.int64)
+        sums: dict[int, np.ndarray] = {}
         for rows in batches:
-            for counts in rows.column(0):
-                total += np.frombuffer(counts.as_buffer(), np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["counts"])
-
-    counts = texts.select("text").mapInArrow(count, "counts binary")
-    sums = counts.repartition(REDUCERS).mapInArrow(add, "counts binary").collect()  # REDUCERS rows
-    total = sum((np.frombuffer(r[0], np.int64) for r in sums), np.zeros(ORDERS << SLOT_BITS, np.int64))
+            for piece, counts in zip(rows.column(0).to_pylist(), rows.column(1)):
+                sums[piece] = sums.get(piece, np.int64(0)) + np.frombuffer(counts.as_buffer(), np.uint32)
+        columns = [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["piece", "counts"])
+
+    form = "piece int, counts binary"
+    counts = texts.select("text").mapInArrow(count, form)
+    sums = counts.repartition(REDUCERS, "piece").mapInArrow(add, form).collect()  # REDUCERS rows
+    total = np.zeros((REDUCERS, (ORDERS << SLOT_BITS) // REDUCERS), np.int64)
+    for piece, of_piece in sums:
+        total[piece] = np.frombuffer(of_piece, np.int64)
     return total.reshape(ORDERS, -1)
 
 

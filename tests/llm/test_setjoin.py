@@ -96,6 +96,29 @@ def test_groups_equal_brute_force(spark, monkeypatch, rule):
     assert found(spark, rows, rule) == expected(rows, rule)
 
 
+def test_the_driver_gets_each_counter_once(spark, monkeypatch):
+    rows = near_copies(RULE)
+    texts, sent = frame(spark, rows, "fp").repartition(5), []
+    kind = type(texts)
+    collect = kind.collect
+
+    def counted(df):
+        out = collect(df)
+        sent.append(sum(len(value) for row in out for value in row if isinstance(value, (bytes, bytearray))))
+        return out
+
+    monkeypatch.setattr(kind, "collect", counted)
+    counts = setjoin._frequencies(texts, RULE)
+    total = np.zeros_like(counts)
+    parts = texts.select("text").rdd.glom().map(lambda part: {r.text for r in part}).collect()
+    for text in (t for part in parts for t in part):
+        elements = setjoin.shingles(setjoin.word_hashes(text), RULE.shingle)
+        for order in range(setjoin.ORDERS):
+            total[order] += np.bincount(setjoin._slots(elements, order), minlength=1 << setjoin.SLOT_BITS)
+    assert (counts == total).all() and total.any()
+    assert sent == [8 * setjoin.ORDERS << setjoin.SLOT_BITS]
+
+
 def test_long_groups_are_cut_into_blocks(spark, monkeypatch):
     """Copies of one text that are alike only through it, more than a task holds, and windows of one partner."""
     monkeypatch.setattr(setjoin, "HELD", 16)
