@@ -19,7 +19,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import split_count, stored
+from playlens.llm.common import drop_shuffles, split_count, stored
 
 BLOCK_WINDOWS = 50_000
 
@@ -164,6 +164,7 @@ def decontaminate(
     found = find_hits(docs.select("text", *renamed), windows, block)
     found = found.withColumn("sets", F.array_sort(F.array_distinct(F.transform("hits", lambda x: x["set"]))))
     found = scanned = stored(found, "found")
+    drop_shuffles(docs.sparkSession)  # and the scan's plan, which holds all windows
     # Texts hit by the same sets of items have the same items.
     sets = found.where(F.size("sets") > 0).select("sets").distinct().withColumn("set", F.explode("sets"))
     text_of_item = F.collect_set(F.col("item_id").cast("string"))

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from playlens.llm import decontaminate as decontaminate_module
 from playlens.llm.decontaminate import decontaminate
 
 from .helpers import frame, odd_documents, sentence
@@ -85,3 +86,12 @@ def test_nothing_to_find(spark):
     rows, items = tables()
     assert judged(spark, [], items).collect() == []
     assert not any(r.n_hit for r in judged(spark, rows, []).collect())
+
+
+def test_the_plan_that_holds_all_windows_goes_once_it_has_run(spark, monkeypatch):
+    seen, kept = [], decontaminate_module.stored
+    monkeypatch.setattr(decontaminate_module, "stored", lambda df, label: seen.append(label) or kept(df, label))
+    monkeypatch.setattr(decontaminate_module, "drop_shuffles", lambda spark: seen.append("collected"))
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+    decontaminate_module.decontaminate(docs, docs.withColumnRenamed("doc_id", "item_id")).collect()
+    assert seen[seen.index("found") + 1] == "collected"
